@@ -182,7 +182,7 @@ def replay(
     sf_dir: str,
     params: Params,
     results: tuple[str, ...],
-    slices: int = 4,
+    slices: int = 3,
     late: bool = False,
 ) -> FileStore:
     """Run the streaming job over fixture E, stopping and restarting it after every slice."""
@@ -190,6 +190,8 @@ def replay(
     code_file(spark, sf_dir).write.csv(f"{work}/codes", header=True)
     landing = f"{work}/landing"
     store = FileStore(f"{work}/results")
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = min(configured, spark.sparkContext.defaultParallelism)
 
     def advance() -> None:
         source = RecordSource.text(landing)
@@ -203,6 +205,7 @@ def replay(
                 params,
                 trigger={"availableNow": True},
                 results=results,
+                state_partitions=partitions,
             )
         )
 

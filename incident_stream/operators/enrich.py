@@ -52,7 +52,7 @@ def enrich(
     """Left join on the normalised code; records without a match keep a null category.
 
     A table of up to `broadcast_bytes`, which is measured first, is broadcast, so the records do
-    not move. A larger one is joined by shuffle. Its rows are repeated once per salt, and the
+    not move. A larger one is joined by shuffle and merge, which can spill. Its rows are repeated once per salt, and the
     records take the number of the partition they were read in as salt: a code that a third of
     all records carry, or a third without any code, is spread over `salts` tasks, and a task
     that runs again gives its rows the same salts. With `unique`, duplicate codes are an error.
@@ -66,7 +66,7 @@ def enrich(
         return records.join(F.broadcast(codes), "IUCR", "left")
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     salted = records.withColumn("salt", F.spark_partition_id() % F.lit(salts))
-    repeated = codes.withColumn("salt", copies)
+    repeated = codes.withColumn("salt", copies).hint("merge")
     return salted.join(repeated, ["IUCR", "salt"], "left").drop("salt")
 
 

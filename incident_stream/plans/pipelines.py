@@ -19,6 +19,7 @@ from incident_stream.settings import (
     Params,
     RecordSource,
     prepare_session,
+    shuffle_partitions,
 )
 from incident_stream.sources.codes import normalize_codes, read_codes
 from incident_stream.sources.records import read_record_stream
@@ -63,9 +64,15 @@ def run(
     sink_mode: str = "upsert",
     trigger: dict | None = None,
     results: tuple[str, ...] = ("aggregates", "anomalies"),
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Start the anomaly query and the aggregate query on one source. The two are independent:
-    each reads the source itself and has its own watermark, state and checkpoint."""
+    each reads the source itself and has its own watermark, state and checkpoint.
+
+    `state_partitions` is the number of state stores per query, in place of
+    `spark.sql.shuffle.partitions`; a checkpoint keeps the number it was made with. It should
+    follow the number of result keys: records are summed up per key before they are shuffled.
+    """
     prepare_session(spark)
     records = enriched(read_record_stream(spark, source), read_codes(spark, codes_path))
     wanted: list[tuple[DataFrame, Contract]] = []
@@ -80,5 +87,6 @@ def run(
         checkpoint = f"{checkpoint_root.rstrip('/')}/{names[contract.table]}"
         writer = batch_writer(store, contract, sink_mode, run_number(spark, checkpoint))
         mode = OUTPUT_MODES[contract.table]
-        started.append(start_query(frame, mode, writer, checkpoint, trigger))
+        with shuffle_partitions(spark, state_partitions):
+            started.append(start_query(frame, mode, writer, checkpoint, trigger))
     return started

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -92,6 +94,19 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def shuffle_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
+    """Another number of shuffle partitions for the queries started inside."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if number is not None:
+        spark.conf.set(name, number)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 # For a state too large for the executors' heap: pass these when the session is built.
 LARGE_STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
