@@ -16,18 +16,17 @@ from incident_stream.functions import (
 def parse_records(lines: DataFrame) -> DataFrame:
     """`csv_line` to ID, IUCR, Arrest, Domestic, District, event_time, year_month.
 
-    The struct is flattened by `inline` and not by selecting its fields. A projection would let
-    the optimizer move the event-time filter of a window below it, which parses every line once
-    per use of a field; a generator keeps it at one parse per line.
+    The record struct and the event time come out of generators (`inline` and `explode` of one
+    element) and not out of projections. The optimizer moves the event-time filter of a window
+    below a projection and there repeats the expressions it refers to, so that a line would be
+    parsed several times; it moves no filter below a generator that makes its column.
     """
     fields = lines.select(F.inline(F.array(parse_line(F.col("csv_line")))))
-    timed = fields.withColumn("event_time", parse_event_time(F.col("Date")))
-    return timed.select(
-        "ID",
-        strip_leading_zeros(F.col("IUCR")).alias("IUCR"),
-        "Arrest",
-        "Domestic",
-        "District",
-        "event_time",
-        month_label(F.col("event_time")).alias("year_month"),
+    event_time = F.explode(F.array(parse_event_time(F.col("Date")))).alias("event_time")
+    timed = fields.select("ID", "IUCR", "Arrest", "Domestic", "District", event_time)
+    return timed.withColumns(
+        {
+            "IUCR": strip_leading_zeros(F.col("IUCR")),
+            "year_month": month_label(F.col("event_time")),
+        }
     )

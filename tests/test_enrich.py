@@ -1,0 +1,168 @@
+import pytest
+from pyspark.sql import functions as F
+
+from incident_stream import fixtures
+from incident_stream.operators.aggregate import aggregate_monthly
+from incident_stream.operators.enrich import (
+    duplicate_codes,
+    enrich,
+    fill_unknown,
+    profile_codes,
+)
+from incident_stream.plans.pipelines import enriched
+from incident_stream.sources.codes import normalize_codes, read_codes
+
+SF = "/root/testdata/sf0.001"
+RECORD = "ID string, IUCR string, District double, year_month string"
+CODE = "IUCR string, category string, index_code string"
+
+
+@pytest.fixture
+def codes(spark):
+    return spark.createDataFrame(
+        [("110", "HOMICIDE", "I"), ("", "NOTHING", "N"), ("31A", "ROBBERY", "I")], CODE
+    )
+
+
+@pytest.fixture
+def records(spark):
+    return spark.createDataFrame(
+        [
+            ("1", "110", 1.0, "2001-01"),
+            ("2", None, None, None),
+            ("3", "", float("nan"), "2001-01"),
+            ("4", "999", 4.0, None),
+            ("5", "31A", 5.0, "2001-02"),
+        ],
+        RECORD,
+    )
+
+
+def rows(df, *columns):
+    return sorted(map(tuple, df.select(*columns).collect()), key=str)
+
+
+EXPECTED = [
+    ("1", "HOMICIDE", "I"),
+    ("2", None, None),
+    ("3", "NOTHING", "N"),
+    ("4", None, None),
+    ("5", "ROBBERY", "I"),
+]
+
+
+def test_unmatched_and_null_codes_survive(records, codes):
+    joined = enrich(records, codes)
+    assert joined.columns == ["IUCR", "ID", "District", "year_month", "category", "index_code"]
+    assert rows(joined, "ID", "category", "index_code") == EXPECTED
+
+
+def test_large_code_table_is_joined_by_shuffle(records, codes):
+    joined = enrich(records, codes, broadcast_bytes=0, salts=4)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert joined.columns == ["IUCR", "ID", "District", "year_month", "category", "index_code"]
+    assert rows(joined, "ID", "category", "index_code") == EXPECTED
+
+
+def test_small_code_table_is_broadcast(records, codes):
+    plan = enrich(records, codes)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+
+
+def test_hot_code_is_spread_over_the_salts(spark, codes):
+    """Every second record carries one code and the others none at all: neither meets in one
+    task."""
+    hot = spark.range(0, 8000, 1, 16).select(
+        F.col("id").cast("string").alias("ID"),
+        F.when(F.col("id") % 2 == 0, "110").alias("IUCR"),
+        F.lit(1.0).alias("District"),
+        F.lit("2001-01").alias("year_month"),
+    )
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        joined = enrich(hot, codes, broadcast_bytes=0, salts=16)
+        placed = joined.select("IUCR", F.spark_partition_id().alias("task"))
+        per_task = placed.groupBy("IUCR", "task").count()
+        found = per_task.groupBy("IUCR").agg(F.sum("count").alias("n"), F.count("*").alias("tasks"))
+        assert sorted(r["IUCR"] or "" for r in found.collect()) == ["", "110"]
+        assert all(r["n"] == 4000 and r["tasks"] >= 4 for r in found.collect())
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_duplicate_codes_multiply_and_are_reported(spark, records, codes):
+    twice = normalize_codes(codes.unionByName(spark.createDataFrame([("0110", "X", "N")], CODE)))
+    assert rows(duplicate_codes(twice), "IUCR", "copies") == [("110", 2)]
+    assert profile_codes(twice).largest_fan_out == 2
+    assert enrich(records, twice).where("ID = '1'").count() == 2
+    assert enrich(records, twice, broadcast_bytes=0).where("ID = '1'").count() == 2
+    with pytest.raises(ValueError, match="2 times"):
+        enrich(records, twice, unique=True)
+
+
+def test_repeated_null_code_is_no_duplicate(spark, records, codes):
+    nulls = codes.unionByName(spark.createDataFrame([(None, "X", "N"), (None, "Y", "N")], CODE))
+    assert profile_codes(nulls).largest_fan_out == 1
+    assert duplicate_codes(nulls).count() == 0
+    assert enrich(records, nulls, unique=True).count() == 5
+
+
+def test_profile_of_an_empty_table(spark, records):
+    empty = spark.createDataFrame([], CODE)
+    assert profile_codes(empty) == type(profile_codes(empty))(0, 0, 0)
+    assert enrich(records, empty).count() == 5
+
+
+def test_profile_measures_text(spark):
+    table = spark.createDataFrame([("1", "ä", "I"), ("2", None, "N")], CODE)
+    assert profile_codes(table).bytes == 2 * 64 + (1 + 2 + 1) + (1 + 0 + 1)
+
+
+def test_fill_unknown(records, codes):
+    filled = fill_unknown(enrich(records, codes))
+    assert rows(filled, "ID", "category", "District", "year_month", "index_code") == [
+        ("1", "HOMICIDE", 1.0, "2001-01", "I"),
+        ("2", "UNKNOWN", -1.0, "UNKNOWN_MONTH", None),
+        ("3", "NOTHING", -1.0, "2001-01", "N"),
+        ("4", "UNKNOWN", 4.0, "UNKNOWN_MONTH", None),
+        ("5", "ROBBERY", 5.0, "2001-02", "I"),
+    ]
+    assert dict(filled.dtypes)["District"] == "double"
+
+
+def test_enriched_column_order(spark):
+    frame = enriched(fixtures.event_lines(spark, SF), fixtures.codes(spark, SF))
+    assert frame.columns == [
+        "IUCR",
+        "ID",
+        "Arrest",
+        "Domestic",
+        "District",
+        "event_time",
+        "year_month",
+        "category",
+        "index_code",
+    ]
+
+
+def test_duplicates_double_the_counts(spark):
+    lines = fixtures.event_lines(spark, SF)
+    once = aggregate_monthly(enriched(lines, fixtures.codes(spark, SF)))
+    twice = aggregate_monthly(enriched(lines, fixtures.codes_with_duplicates(spark, SF)))
+    code = F.split("csv_line", ",")[2].cast("int")
+    hit = lines.where((code % 5 == 0) & (code < 25)).count()
+    assert once.agg(F.sum("total_crimes")).first()[0] == lines.count()
+    assert twice.agg(F.sum("total_crimes")).first()[0] == lines.count() + hit
+
+
+def test_read_codes_by_name(spark, tmp_path):
+    (tmp_path / "codes.csv").write_text(
+        "EXTRA,INDEX CODE,IUCR,PRIMARY DESCRIPTION\n1,I,0110,HOMICIDE\n2,N,0000,\"A, B\"\n"
+    )
+    table = read_codes(spark, str(tmp_path / "codes.csv"))
+    assert table.dtypes == [("IUCR", "string"), ("category", "string"), ("index_code", "string")]
+    assert rows(table, "*") == [("0000", "A, B", "N"), ("0110", "HOMICIDE", "I")]
+    assert rows(normalize_codes(table), "IUCR") == [("",), ("110",)]
