@@ -42,7 +42,8 @@ def file_lines(spark: SparkSession, in_dir: str, on_error: str = "fail") -> Data
     if on_error not in ("fail", "skip"):
         raise ValueError(f"on_error must be 'fail' or 'skip', not {on_error!r}")
     reader = spark.read.option("pathGlobFilter", "*.csv")
-    reader = reader.option("ignoreCorruptFiles", str(on_error == "skip").lower())
+    for fault in ("ignoreCorruptFiles", "ignoreMissingFiles"):
+        reader = reader.option(fault, str(on_error == "skip").lower())
     first = F.col("_metadata.file_block_start") == 0
     placed = reader.text(in_dir).select(
         "value", F.when(first, F.col("_metadata.file_path")).alias("first_block_of")

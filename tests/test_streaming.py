@@ -1,0 +1,313 @@
+import datetime as dt
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from incident_stream import fixtures
+from incident_stream.operators.aggregate import (
+    aggregate_monthly,
+    aggregate_windowed,
+    anomalies,
+)
+from incident_stream.plans.pipelines import checkpoint_names, enriched, run
+from incident_stream.schema import ANOMALIES, MONTHLY, WINDOWED
+from incident_stream.settings import FileStore, Params, RecordSource, shuffle_partitions
+from incident_stream.sources.records import read_record_stream
+from incident_stream.sources.results import read_results
+from incident_stream.streaming.queries import await_all, start_query
+from incident_stream.streaming.sinks import batch_writer
+
+CODES = [("0110", "HOMICIDE", "I"), ("0486", "BATTERY", "N")]
+CODE_SCHEMA = "IUCR string, category string, index_code string"
+
+
+def line(day, district=1.0, code="0110", arrest="False", clock="12:00:00"):
+    return f"1,2024-01-{day:02d} {clock},{code},{arrest},False,{district},,,"
+
+
+class Feed:
+    """A folder of lines, a job on it, and everything the job handed out."""
+
+    def __init__(self, spark, root):
+        self.spark, self.root, self.files = spark, root, 0
+        (root / "in").mkdir()
+        self.batches, self.progress = [], []
+
+    def add(self, *lines):
+        (self.root / "in" / f"{self.files:03d}.txt").write_text("\n".join(lines) + "\n")
+        self.files += 1
+
+    def lines(self):
+        return read_record_stream(self.spark, RecordSource.text(str(self.root / "in")))
+
+    def step(self, result, mode, name="q", **options):
+        """Process what has been added, and return the rows handed out for it."""
+        codes = self.spark.createDataFrame(CODES, CODE_SCHEMA)
+        rows = []
+        with shuffle_partitions(self.spark, 2):
+            query = start_query(
+                result(enriched(self.lines(), codes, **options)),
+                mode,
+                lambda df, _: rows.extend(df.collect()),
+                str(self.root / name),
+                {"availableNow": True},
+            )
+        await_all([query])
+        self.progress = query.recentProgress
+        return rows
+
+    def dropped(self):
+        return sum(
+            state["numRowsDroppedByWatermark"]
+            for progress in self.progress
+            for state in progress["stateOperators"]
+        )
+
+
+@pytest.fixture
+def feed(spark, tmp_path):
+    return Feed(spark, tmp_path)
+
+
+def week(records):
+    return anomalies(records, 7, 40.0)
+
+
+def test_windows_are_handed_out_once_when_they_close(feed):
+    feed.add(line(1))
+    assert feed.step(week, "append") == []
+    feed.add(line(15, clock="00:00:00"))  # watermark: Jan 8 00:00, the end of the window of Jan 1
+    rows = feed.step(week, "append")
+    assert max(r["window_end"] for r in rows) == dt.datetime(2024, 1, 8)  # equality closes
+    assert len(rows) == 7
+    feed.add(line(30))
+    later = feed.step(week, "append")
+    assert {r["window_start"] for r in later}.isdisjoint({r["window_start"] for r in rows})
+    assert max(r["window_end"] for r in later) == dt.datetime(2024, 1, 22)
+
+
+def test_windows_below_the_threshold_are_never_handed_out(feed):
+    feed.add(line(1), *[line(1, code="0486")] * 2, line(1, 2.0), line(1, 2.0, "0486"))
+    feed.add(line(30))
+    rows = feed.step(week, "append")
+    rows += feed.step(week, "append")
+    assert {r["District"] for r in rows} == {2.0}
+    assert {r["pct_fbi"] for r in rows} == {50.0}
+
+
+def test_late_row_is_dropped_from_each_closed_window(feed):
+    feed.add(line(1))
+    feed.step(week, "append")
+    feed.add(line(30))
+    feed.step(week, "append")
+    feed.add(line(1))
+    assert feed.step(week, "append") == []
+    assert feed.dropped() == 7
+
+
+def test_row_late_for_some_windows_counts_in_the_others(feed):
+    """A watermark within the week of the row: this is why days are not summed up beforehand."""
+    feed.add(line(10))
+    feed.step(week, "append")
+    feed.add(line(17, clock="06:00:00"))  # watermark: Jan 10 06:00
+    feed.step(week, "append")
+    feed.add(line(6))  # its windows end on Jan 7 to Jan 13; those up to Jan 10 have closed
+    feed.step(week, "append")
+    assert feed.dropped() == 4
+    feed.add(line(31))
+    rows = feed.step(week, "append")
+    total = {r["window_end"].day: r["total_crimes"] for r in rows}
+    assert [total[day] for day in (11, 12, 13, 14)] == [2, 2, 2, 1]
+
+
+def test_late_row_of_a_30_day_window_is_dropped_once(feed):
+    feed.add("1,2024-01-01 12:00:00,0110,True,False,1.0,,,")
+    feed.step(aggregate_windowed, "append")
+    feed.add("2,2024-06-01 12:00:00,0110,True,False,1.0,,,")
+    closed = feed.step(aggregate_windowed, "append")
+    assert [tuple(r) for r in closed] == [("2023-12", "HOMICIDE", 1.0, 1, 1, 0, 1)]
+    feed.add("3,2024-01-01 12:00:00,0110,True,False,1.0,,,")
+    assert feed.step(aggregate_windowed, "append") == []
+    assert feed.dropped() == 1
+
+
+def test_monthly_counts_keep_late_and_undated_rows(feed):
+    feed.add(line(1), "2,bad,0110,True,False,,,,")
+    first = feed.step(aggregate_monthly, "update")
+    assert {r["year_month"] for r in first} == {"2024-01", "UNKNOWN_MONTH"}
+    feed.add("3,2024-06-01,0486,True,False,2.0,,,")
+    changed = feed.step(aggregate_monthly, "update")
+    assert [r["year_month"] for r in changed] == ["2024-06"]  # changed groups only
+    feed.add(line(1))
+    (late,) = feed.step(aggregate_monthly, "update")
+    assert (late["year_month"], late["total_crimes"]) == ("2024-01", 2)
+    assert feed.dropped() == 0
+
+
+def test_monthly_counts_cannot_be_appended(feed):
+    feed.add(line(1))
+    with pytest.raises(Exception, match="(?i)append"):
+        feed.step(aggregate_monthly, "append")
+
+
+def test_stream_with_a_large_code_table(feed):
+    feed.add(line(1), line(1, code="0486"), line(1, code="9"), "x")
+    rows = feed.step(aggregate_monthly, "update", broadcast_bytes=0, salts=3)
+    assert sorted((r["category"], r["total_crimes"]) for r in rows) == [
+        ("BATTERY", 1),
+        ("HOMICIDE", 1),
+        ("UNKNOWN", 1),
+        ("UNKNOWN", 1),
+    ]
+
+
+def codes_file(tmp_path):
+    path = tmp_path / "codes.csv"
+    rows = [",".join((code, name, index)) for code, name, index in CODES]
+    path.write_text("\n".join(["IUCR,PRIMARY DESCRIPTION,INDEX CODE", *rows]) + "\n")
+    return str(path)
+
+
+def go(spark, tmp_path, store, params, checkpoints="checkpoints", **options):
+    queries = run(
+        spark,
+        RecordSource.text(str(tmp_path / "in")),
+        codes_file(tmp_path),
+        store,
+        str(tmp_path / checkpoints),
+        params,
+        trigger={"availableNow": True},
+        state_partitions=2,
+        **options,
+    )
+    await_all(queries)
+    return queries
+
+
+def snapshot(spark, store, contract):
+    return sorted(map(str, read_results(spark, store, contract).collect()))
+
+
+@pytest.mark.parametrize("delay, contract", [("A", MONTHLY), ("C", WINDOWED)])
+def test_job_keeps_both_tables(spark, feed, tmp_path, delay, contract):
+    feed.add(line(1), line(2, arrest="True"), line(3, 2.0, "0486"))
+    feed.add(line(30), "9,2024-04-01,0486,False,False,,,,")
+    store = FileStore(str(tmp_path / "results"))
+    queries = go(spark, tmp_path, store, Params(delay, 2, 50.0))
+    assert len({q.name for q in queries}) == 2 and not any(q.isActive for q in queries)
+    counts = read_results(spark, store, contract)
+    assert counts.columns == contract.names
+    assert counts.agg(F.sum("total_crimes")).first()[0] == (5 if delay == "A" else 4)
+    assert read_results(spark, store, ANOMALIES).where("pct_fbi < 50").count() == 0
+    assert read_results(spark, store, ANOMALIES).count() > 0
+
+
+def test_restart_continues_and_a_fresh_replay_ends_the_same(spark, feed, tmp_path):
+    store = FileStore(str(tmp_path / "results"))
+    for day in (1, 8, 20, 30):
+        feed.add(line(day), line(day, 2.0, "0486"))
+        go(spark, tmp_path, store, Params("A", 3))
+    before = snapshot(spark, store, MONTHLY), snapshot(spark, store, ANOMALIES)
+    go(spark, tmp_path, store, Params("A", 3))  # nothing new
+    assert (snapshot(spark, store, MONTHLY), snapshot(spark, store, ANOMALIES)) == before
+    go(spark, tmp_path, store, Params("A", 3), checkpoints="fresh")
+    assert (snapshot(spark, store, MONTHLY), snapshot(spark, store, ANOMALIES)) == before
+    plain = FileStore(str(tmp_path / "plain"))
+    go(spark, tmp_path, plain, Params("A", 3), checkpoints="other")
+    assert snapshot(spark, plain, MONTHLY) == before[0]
+
+
+def test_replace_keeps_the_last_batch_only(spark, feed, tmp_path):
+    """Here the last batch is the empty one that follows the data."""
+    feed.add(line(1))
+    for mode, rows in (("upsert", 1), ("replace", 0)):
+        store = FileStore(str(tmp_path / mode))
+        go(spark, tmp_path, store, Params("A"), mode, sink_mode=mode, results=("aggregates",))
+        assert read_results(spark, store, MONTHLY).count() == rows
+
+
+def test_checkpoints_differ_by_parameters():
+    names = [checkpoint_names(Params("A", d, p)) for d, p in ((7, 40), (3, 40), (7, 40.5))]
+    assert len({n[ANOMALIES.table] for n in names}) == 3
+    assert names[0][MONTHLY.table] != names[0][WINDOWED.table]
+    assert names[0] == checkpoint_names(Params("C", 7, 40.0))
+
+
+def test_failure_of_one_query_ends_the_wait_and_the_other(spark, feed, tmp_path):
+    feed.add(line(1))
+
+    def fail(df, batch_id):
+        raise RuntimeError("no room left")
+
+    codes = spark.createDataFrame(CODES, CODE_SCHEMA)
+    records = enriched(feed.lines(), codes)
+    with shuffle_partitions(spark, 2):
+        lasting = start_query(
+            aggregate_monthly(records), "update", lambda df, _: df.collect(), str(tmp_path / "a")
+        )
+        failing = start_query(anomalies(records), "append", fail, str(tmp_path / "b"))
+    with pytest.raises(StreamingQueryException, match="no room left"):
+        await_all([lasting, failing])
+    assert not lasting.isActive and not failing.isActive
+
+
+def test_batch_that_failed_is_written_again(spark, feed, tmp_path):
+    """The sink fails after writing; the restart repeats the batch and nothing counts twice."""
+    feed.add(line(1), line(2))
+    store = FileStore(str(tmp_path / "results"))
+    codes = spark.createDataFrame(CODES, CODE_SCHEMA)
+    write = batch_writer(store, MONTHLY, run=1)
+
+    def write_and_fail(df, batch_id):
+        write(df, batch_id)
+        raise RuntimeError("lost")
+
+    def start(writer):
+        with shuffle_partitions(spark, 2):
+            return start_query(
+                aggregate_monthly(enriched(feed.lines(), codes)),
+                "update",
+                writer,
+                str(tmp_path / "q"),
+                {"availableNow": True},
+            )
+
+    with pytest.raises(StreamingQueryException):
+        await_all([start(write_and_fail)])
+    feed.add(line(3))
+    await_all([start(write)])
+    (row,) = read_results(spark, store, MONTHLY).collect()
+    assert row["total_crimes"] == 3
+
+
+def test_parameters_are_checked():
+    for bad in (("B", 7, 40), ("a", 7, 40), ("A", 0, 40), ("A", 7, 101), ("C", 7, -1)):
+        with pytest.raises(ValueError):
+            Params(*bad)
+    assert Params("A") == Params("A", 7, 40.0)
+
+
+def test_shuffle_partitions_are_put_back(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with shuffle_partitions(spark, 3):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    with shuffle_partitions(spark, None):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+@pytest.mark.parametrize("delay", ["A", "C"])
+def test_stream_equals_batch_on_closed_windows(spark, delay):
+    sf = "/root/testdata/sf0.001"
+    params = Params(delay, 3, 30.0)
+    store = fixtures.replay(spark, sf, params, ("aggregates", "anomalies"), slices=4)
+    records = enriched(fixtures.event_lines(spark, sf), fixtures.codes(spark, sf))
+    last = F.lit(records.agg(F.max("event_time")).first()[0])
+    wanted = anomalies(records, 3, 30.0).where(
+        F.col("window_end") <= last - F.expr("INTERVAL 3 DAYS")
+    )
+    found = read_results(spark, store, ANOMALIES).withColumnRenamed("district", "District")
+    both = wanted.withColumn("District", F.col("District").cast("int"))
+    assert wanted.count() > 0
+    assert both.exceptAll(found).count() == found.exceptAll(both).count() == 0
