@@ -69,7 +69,9 @@ def build_parser() -> argparse.ArgumentParser:
     process.add_argument("-P", "--threshold", type=float, default=DEFAULT_THRESHOLD)
     process.add_argument("--sink-mode", choices=MODES, default="upsert")
     process.add_argument("--state-partitions", type=int)
-    process.add_argument("--available-now", action="store_true", help="end at the last record")
+    pace = process.add_mutually_exclusive_group()
+    pace.add_argument("--available-now", action="store_true", help="end at the last record")
+    pace.add_argument("--processing-time", metavar="INTERVAL", help="e.g. '1 minute'")
 
     results = commands.add_parser("results", help="show the stored results")
     _add_store(results)
@@ -98,6 +100,12 @@ def store_of(args: argparse.Namespace) -> FileStore | JdbcStore:
     return FileStore(args.results_dir)
 
 
+def trigger_of(args: argparse.Namespace) -> dict | None:
+    if args.available_now:
+        return {"availableNow": True}
+    return {"processingTime": args.processing_time} if args.processing_time else None
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     args = build_parser().parse_args(argv)
     spark = prepare_session(SparkSession.builder.appName("incident-stream").getOrCreate())
@@ -112,7 +120,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             args.checkpoint_location,
             Params(args.delay, args.window_days, args.threshold),
             args.sink_mode,
-            {"availableNow": True} if args.available_now else None,
+            trigger_of(args),
             state_partitions=args.state_partitions,
         )
         await_all(queries)

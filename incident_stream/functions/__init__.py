@@ -23,6 +23,12 @@ def month_label(moment: Column) -> Column:
     return F.date_format(moment, MONTH_FORMAT)
 
 
+def month_start(moment: Column) -> Column:
+    """First day of the month: as a grouping key it says the same as the label and costs a
+    fraction."""
+    return F.trunc(moment, "month")
+
+
 def strip_leading_zeros(code: Column) -> Column:
     """`0110` to `110`, `0000` to the empty string. Trimming needs no regular expression."""
     return F.ltrim(code, F.lit("0"))

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incident_stream.functions import flag_is, month_label, percent_of
+from incident_stream.functions import flag_is, month_label, month_start, percent_of
 from incident_stream.schema import (
     AGGREGATE_DELAY,
     CLOSED_WINDOW,
     DEFAULT_THRESHOLD,
     DEFAULT_WINDOW_DAYS,
     INDEXED,
+    MISSING_KEYS,
     SLIDE,
     YES,
 )
@@ -38,11 +39,15 @@ def _all_counts() -> list[Column]:
 def aggregate_monthly(enriched: DataFrame) -> DataFrame:
     """Counts per month, category and district, for streams in update mode.
 
-    The event time is not part of the key, so late records count, records without a date are
-    kept under their own label, and the state holds every key ever seen.
+    The window of time is not part of the key, so late records count, records without a date are
+    kept under their own label, and the state holds every key ever seen. Months are grouped as
+    dates and labelled once per group.
     """
     timed = enriched.withWatermark("event_time", AGGREGATE_DELAY)
-    return timed.groupBy("year_month", "category", "District").agg(*_all_counts())
+    month = month_start(F.col("event_time")).alias("month")
+    counted = timed.groupBy(month, "category", "District").agg(*_all_counts())
+    label = F.coalesce(month_label(F.col("month")), F.lit(MISSING_KEYS["year_month"]))
+    return counted.select(label.alias("year_month"), *counted.columns[1:])
 
 
 def aggregate_windowed(enriched: DataFrame, keep_window: bool = False) -> DataFrame:

@@ -11,7 +11,7 @@ from incident_stream.schema import MISSING_KEYS
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 64
-SALTS = 32
+SALTS = 8
 
 
 @dataclass(frozen=True)
@@ -55,7 +55,8 @@ def enrich(
     not move. A larger one is joined by shuffle and merge, which can spill. Its rows are repeated once per salt, and the
     records take the number of the partition they were read in as salt: a code that a third of
     all records carry, or a third without any code, is spread over `salts` tasks, and a task
-    that runs again gives its rows the same salts. With `unique`, duplicate codes are an error.
+    that runs again gives its rows the same salts. What is still too large for one task adaptive
+    execution splits further, in a batch; a micro-batch is bounded by its source. With `unique`, duplicate codes are an error.
     """
     profile = profile_codes(codes)
     if unique and profile.largest_fan_out > 1:

@@ -114,8 +114,15 @@ def stream_anomalies_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_results(spark, store, ANOMALIES)
 
 
+def stream_anomalies_all_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every closed window, whatever its share."""
+    store = fixtures.replay(spark, sf_dir, Params("A", threshold=0), ("anomalies",))
+    return read_results(spark, store, ANOMALIES)
+
+
 def stream_late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = fixtures.replay(spark, sf_dir, Params("A"), ("anomalies",), late=True)
+    """The same, with the lines of the first day coming once more at the end."""
+    store = fixtures.replay(spark, sf_dir, Params("A", threshold=0), ("anomalies",), late=True)
     return read_results(spark, store, ANOMALIES)
 
 
@@ -233,6 +240,7 @@ BATCH: dict[str, Query] = {
 
 STREAMING: dict[str, Query] = {
     "stream_anomalies_closed": stream_anomalies_closed,
+    "stream_anomalies_all_closed": stream_anomalies_all_closed,
     "stream_window30_closed": stream_window30_closed,
     "stream_monthly_upsert": stream_monthly_upsert,
     "stream_late_dropped": stream_late_dropped,

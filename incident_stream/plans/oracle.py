@@ -210,8 +210,11 @@ SQL: dict[str, str] = {
     "stream_anomalies_closed": _with(
         CODES, EVENTS, ENRICHED, _anomalies(7, 40.0), final=_stored_anomalies(7)
     ),
+    "stream_anomalies_all_closed": _with(
+        CODES, EVENTS, ENRICHED, _anomalies(7, 0), final=_stored_anomalies(7)
+    ),
     "stream_late_dropped": _with(
-        CODES, EVENTS, ENRICHED, _anomalies(7, 40.0), final=_stored_anomalies(7)
+        CODES, EVENTS, ENRICHED, _anomalies(7, 0), final=_stored_anomalies(7)
     ),
     "stream_window30_closed": _with(
         CODES,

@@ -29,7 +29,8 @@ def read_results(
 
 def _latest(log: DataFrame, contract: Contract) -> DataFrame:
     """The last written row of each key."""
-    newest = F.max(F.struct(*LOG_ORDER, *contract.values)).alias("newest")
+    order = [F.col(name).cast("bigint") for name in LOG_ORDER]  # from folder names
+    newest = F.max(F.struct(*order, *contract.values)).alias("newest")
     kept = log.groupBy(*contract.key).agg(newest)
     return kept.select(
         [F.col(c) if c in contract.key else F.col(f"newest.{c}") for c in contract.names]

@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from incident_stream.functions import month_label
 from incident_stream.operators import aggregate
 from incident_stream.operators.aggregate import (
     aggregate_monthly,
@@ -120,6 +121,35 @@ def test_monthly_counts(spark):
     ]
 
 
+def test_months_are_the_labels_of_the_records(spark):
+    """Also before year 1 and beyond four digits."""
+    texts = [
+        "0002-03-01 10:00:00",
+        "-0001-03-31 23:59:59",
+        "-0001-03-01",
+        "0000-01-15",
+        "0001-01-15",
+        "1582-10-10",
+        "1969-12-31 23:59:59",
+        "+12345-06-07",
+        "2024-02-29",
+        None,
+    ]
+    frame_ = spark.createDataFrame([(t,) for t in texts], "t string")
+    moment = F.try_to_timestamp("t")
+    records = frame_.select(
+        moment.alias("event_time"),
+        F.coalesce(month_label(moment), F.lit("UNKNOWN_MONTH")).alias("year_month"),
+        F.lit("A").alias("category"),
+        F.lit(1.0).alias("District"),
+        *[F.lit("True").alias(c) for c in ("Arrest", "Domestic", "index_code")],
+    )
+    assert records.where("event_time IS NULL").count() == 1
+    wanted = records.groupBy("year_month").count().collect()
+    found = aggregate_monthly(records).select("year_month", "total_crimes").collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, wanted))
+
+
 def test_identical_records_count_each_time(spark):
     (row,) = aggregate_monthly(frame(spark, [record()] * 3)).collect()
     assert row["total_crimes"] == 3

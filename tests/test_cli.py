@@ -45,6 +45,13 @@ def test_sources():
         cli.source_of(args_of(*PROCESS))
 
 
+def test_triggers():
+    assert cli.trigger_of(args_of(*PROCESS)) is None
+    assert cli.trigger_of(args_of(*PROCESS, "--available-now")) == {"availableNow": True}
+    paced = args_of(*PROCESS, "--processing-time", "1 minute")
+    assert cli.trigger_of(paced) == {"processingTime": "1 minute"}
+
+
 def test_stores(monkeypatch):
     monkeypatch.setenv("INCIDENT_DB_USER", "someone")
     monkeypatch.delenv("INCIDENT_DB_PASSWORD", raising=False)
