@@ -120,24 +120,22 @@ def undated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture E with one kind of irregularity per line, chosen by the remainder of event_id."""
     kind = F.col("event_id") % 10
-    fields = event_fields(spark, sf_dir).withColumns(
-        {
-            "District": F.when(kind == 1, "abc").when(kind == 2, " 7.0 ").otherwise(
-                F.col("District")
-            ),
-            "IUCR": F.when(kind == 3, F.concat(F.lit(" "), F.col("IUCR"), F.lit(" ")))
-            .when(kind == 4, F.lit('"0,1"'))
-            .otherwise(F.col("IUCR")),
-            "Arrest": F.when(kind == 5, F.lower("Arrest")).otherwise(F.col("Arrest")),
-            "Date": F.when(kind == 6, F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000Z")))
-            .when(kind == 7, F.date_format("ts", "yyyy-MM-dd"))
-            .otherwise(F.col("Date")),
-        }
-    )
+    number, district, code = F.col("event_id"), F.col("District"), F.col("IUCR")
+    iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000Z"))
+    day_only = F.date_format("ts", "yyyy-MM-dd")
+    changed = {
+        "District": F.when(kind == 1, "abc").when(kind == 2, " 7.0 ").otherwise(district),
+        "IUCR": F.when(kind == 3, F.concat(F.lit(" "), code, F.lit(" ")))
+        .when(kind == 4, '"0,1"')
+        .otherwise(code),
+        "Arrest": F.when(kind == 5, F.lower("Arrest")).otherwise(F.col("Arrest")),
+        "Date": F.when(kind == 6, iso).when(kind == 7, day_only).otherwise(F.col("Date")),
+    }
+    fields = event_fields(spark, sf_dir).withColumns(changed)
     short = F.concat_ws(",", "ID", "Date", "IUCR")
     line = (
         F.when(kind == 8, short)
-        .when((kind == 9) & (F.col("event_id") % 20 == 9), F.lit(""))
+        .when(number % 20 == 9, "")
         .when(kind == 9, to_line(F.lit("EXTRA")))
         .otherwise(to_line())
     )

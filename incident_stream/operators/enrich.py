@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,25 +12,12 @@ ROW_OVERHEAD = 64
 SALTS = 8
 
 
-@dataclass(frozen=True)
-class CodeProfile:
-    rows: int
-    bytes: int
-    largest_fan_out: int
-
-
-def profile_codes(codes: DataFrame) -> CodeProfile:
-    """Size of the code table and the most rows that share one code, in one small job."""
+def table_bytes(codes: DataFrame) -> int:
+    """Size of the code table in memory, from above, in one small job."""
     width = F.lit(ROW_OVERHEAD)
     for name in codes.columns:
         width = width + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
-    per_code = codes.groupBy("IUCR").agg(F.count("*").alias("n"), F.sum(width).alias("b"))
-    found = per_code.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum("b"), F.lit(0)).alias("bytes"),
-        F.coalesce(F.max(F.when(F.col("IUCR").isNotNull(), F.col("n"))), F.lit(0)).alias("fan"),
-    ).first()
-    return CodeProfile(found["rows"], found["bytes"], found["fan"])
+    return codes.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
 def duplicate_codes(codes: DataFrame) -> DataFrame:
@@ -52,18 +37,16 @@ def enrich(
     """Left join on the normalised code; records without a match keep a null category.
 
     A table of up to `broadcast_bytes`, which is measured first, is broadcast, so the records do
-    not move. A larger one is joined by shuffle and merge, which can spill. Its rows are repeated once per salt, and the
-    records take the number of the partition they were read in as salt: a code that a third of
-    all records carry, or a third without any code, is spread over `salts` tasks, and a task
-    that runs again gives its rows the same salts. What is still too large for one task adaptive
-    execution splits further, in a batch; a micro-batch is bounded by its source. With `unique`, duplicate codes are an error.
+    not move. A larger one is joined by shuffle and merge, which can spill. Its rows are repeated
+    once per salt, and the records take the number of the partition they were read in as salt: a
+    code that a third of all records carry, or a third without any code, is spread over `salts`
+    tasks, and a task that runs again gives its rows the same salts. What is still too large for
+    one task adaptive execution splits further, in a batch; a micro-batch is bounded by its
+    source. With `unique`, duplicate codes are an error.
     """
-    profile = profile_codes(codes)
-    if unique and profile.largest_fan_out > 1:
-        raise ValueError(
-            f"a code stands {profile.largest_fan_out} times in the code table after normalising"
-        )
-    if profile.bytes <= broadcast_bytes:
+    if unique and not duplicate_codes(codes).isEmpty():
+        raise ValueError("a code stands more than once in the code table after normalising")
+    if table_bytes(codes) <= broadcast_bytes:
         return records.join(F.broadcast(codes), "IUCR", "left")
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     salted = records.withColumn("salt", F.spark_partition_id() % F.lit(salts))

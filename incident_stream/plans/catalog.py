@@ -69,11 +69,18 @@ def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- batch ---------------------------------------------------------------------------------
 
 
+def _carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many records carry each normalised code."""
+    parsed = parse_records(fixtures.event_lines(spark, sf_dir))
+    return parsed.groupBy("IUCR").agg(F.count("*").alias("records"))
+
+
 def code_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the code file, read it back, normalise."""
+    """Write the code file, read it back, normalise, and count the records of each code."""
     path = f"{new_work_dir(spark)}/codes"
     fixtures.code_file(spark, sf_dir).write.csv(path, header=True, quoteAll=True)
-    return normalize_codes(read_codes(spark, path))
+    table = normalize_codes(read_codes(spark, path))
+    return table.join(_carried(spark, sf_dir), "IUCR", "left")
 
 
 def normalized_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +100,9 @@ def parsed_dirty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def duplicated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return duplicate_codes(normalize_codes(fixtures.codes_with_duplicates(spark, sf_dir)))
+    """Codes that stand in the table more than once, and the records that they multiply."""
+    found = duplicate_codes(normalize_codes(fixtures.codes_with_duplicates(spark, sf_dir)))
+    return found.join(_carried(spark, sf_dir), "IUCR", "left")
 
 
 def monthly_with_duplicate_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

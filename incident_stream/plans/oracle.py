@@ -166,6 +166,9 @@ def _flagged(records: str, days: int = 7, percent: float = 40.0) -> str:
     return _with(CODES, records, ENRICHED, found, final="SELECT * FROM anomalies")
 
 
+CARRIED = """
+carried AS (SELECT IUCR, count(*) AS records FROM records GROUP BY IUCR)"""
+
 LATE_AGAIN = """
 late AS (
   SELECT * FROM records
@@ -175,14 +178,24 @@ late AS (
 )"""
 
 SQL: dict[str, str] = {
-    "code_table": _with(CODES, final="SELECT * FROM codes"),
+    "code_table": _with(
+        CODES,
+        EVENTS,
+        CARRIED,
+        final="""SELECT IUCR, category, index_code, records
+          FROM codes LEFT JOIN carried USING (IUCR)""",
+    ),
     "normalized_codes": """
         SELECT raw_code, regexp_replace(raw_code, '^0+', '') AS code, count(*) AS n
         FROM (SELECT lpad(CAST(event_id % 30 AS VARCHAR), 4, '0') AS raw_code FROM events)
         GROUP BY raw_code""",
     "duplicated_codes": _with(
         CODES_TWICE,
-        final="SELECT IUCR, count(*) AS copies FROM codes GROUP BY IUCR HAVING count(*) > 1",
+        EVENTS,
+        CARRIED,
+        final="""SELECT IUCR, copies, records FROM (
+            SELECT IUCR, count(*) AS copies FROM codes GROUP BY IUCR HAVING count(*) > 1
+          ) LEFT JOIN carried USING (IUCR)""",
     ),
     "parsed_records": _with(EVENTS, final=PARSED),
     "parsed_dirty_records": _with(DIRTY, final=PARSED),
