@@ -82,11 +82,16 @@ def run(
     if "aggregates" in results:
         wanted.append(aggregates_for(records, params))
     names = checkpoint_names(params)
-    started = []
-    for frame, contract in wanted:
-        checkpoint = f"{checkpoint_root.rstrip('/')}/{names[contract.table]}"
-        writer = batch_writer(store, contract, sink_mode, run_number(spark, checkpoint))
-        mode = OUTPUT_MODES[contract.table]
-        with shuffle_partitions(spark, state_partitions):
-            started.append(start_query(frame, mode, writer, checkpoint, trigger))
+    started: list[StreamingQuery] = []
+    try:
+        for frame, contract in wanted:
+            checkpoint = f"{checkpoint_root.rstrip('/')}/{names[contract.table]}"
+            writer = batch_writer(store, contract, sink_mode, run_number(spark, checkpoint))
+            mode = OUTPUT_MODES[contract.table]
+            with shuffle_partitions(spark, state_partitions):
+                started.append(start_query(frame, mode, writer, checkpoint, trigger))
+    except Exception:
+        for query in started:
+            query.stop()
+        raise
     return started

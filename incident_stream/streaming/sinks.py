@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incident_stream.schema import Contract
@@ -24,9 +24,21 @@ LOG_ORDER = ("run", "batch")
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
     """Names, types and column order of the stored table; the district becomes an integer."""
-    return df.select(
-        [F.col(ours).cast(kind).alias(stored) for ours, stored, kind in contract.columns]
-    )
+    kinds = dict(df.dtypes)
+
+    def stored_as(ours: str, kind: str) -> Column:
+        column = F.col(ours)
+        if kind == "int" and kinds[ours] == "double":
+            column = _whole(column, ours)
+        return column.cast(kind)
+
+    return df.select([stored_as(ours, kind).alias(name) for ours, name, kind in contract.columns])
+
+
+def _whole(number: Column, name: str) -> Column:
+    """A fraction stops the batch: cut off, it would put two groups under one key."""
+    text = F.concat(F.lit(f"{name} is no whole number: "), number.cast("string"))
+    return F.when(number != F.floor(number), F.raise_error(text)).otherwise(number)
 
 
 def batch_writer(

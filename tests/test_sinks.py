@@ -53,6 +53,16 @@ def test_conform_names_types_and_order(spark):
 MONTHLY_INPUT = [ours for ours, _, _ in MONTHLY.columns]
 
 
+def test_district_must_be_whole(spark):
+    rows = [("2001-01", "A", district, 1, 0, 0, 0) for district in (-1.0, 0.0, -0.0, 25.0, None)]
+    found = conform(spark.createDataFrame(rows, SCHEMA), MONTHLY).collect()
+    assert [r["district"] for r in found] == [-1, 0, 0, 25, None]
+    for bad in (1.5, 1e10, float("inf")):
+        row = [("2001-01", "A", bad, 1, 0, 0, 0)]
+        with pytest.raises(Exception, match="(?i)whole number|overflow"):
+            conform(spark.createDataFrame(row, SCHEMA), MONTHLY).collect()
+
+
 def test_keys():
     assert MONTHLY.key == ("year_month", "category", "district")
     assert WINDOWED.key == ("window_start", "category", "district")
