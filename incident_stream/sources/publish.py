@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,23 +12,28 @@ from pyspark.sql import functions as F
 from incident_stream.settings import RecordSource
 
 
-def _without_header_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop the first row of each file's first block.
+def _header_filter() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function that drops the first row of each file's first block.
 
     The rows of a task come block by block, in file order. `first_block_of` names the file for
     rows of a first block and is null for all others, so a header is a row whose name is set and
-    differs from that of the row before it.
+    differs from that of the row before it. The function is made here, and not at module level,
+    so that Spark sends its code along: the Python workers need not have this package.
     """
-    before = pa.scalar(None, pa.string())
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        names = batch.column("first_block_of")
-        previous = pa.concat_arrays([pa.array([before], names.type), names[:-1]])
-        same = pc.fill_null(pc.equal(names, previous), False)
-        keep = pc.or_(pc.is_null(names), same)
-        before = pa.scalar(names[-1].as_py(), names.type)
-        yield pa.RecordBatch.from_arrays([batch.column("value").filter(keep)], ["value"])
+
+    def without_header_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            names = batch.column("first_block_of")
+            previous = pa.concat_arrays([pa.array([before], names.type), names[:-1]])
+            same = pc.fill_null(pc.equal(names, previous), False)
+            keep = pc.or_(pc.is_null(names), same)
+            before = names[-1].as_py()
+            yield pa.RecordBatch.from_arrays([batch.column("value").filter(keep)], ["value"])
+
+    return without_header_lines
 
 
 def file_lines(spark: SparkSession, in_dir: str, on_error: str = "fail") -> DataFrame:
@@ -48,7 +53,7 @@ def file_lines(spark: SparkSession, in_dir: str, on_error: str = "fail") -> Data
     placed = reader.text(in_dir).select(
         "value", F.when(first, F.col("_metadata.file_path")).alias("first_block_of")
     )
-    return placed.mapInArrow(_without_header_lines, "value string")
+    return placed.mapInArrow(_header_filter(), "value string")
 
 
 def publish_lines(

@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -99,6 +103,30 @@ def test_blocks_batches_and_packed_files(spark, tmp_path, block, batch_rows):
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def test_workers_need_not_have_the_package(tmp_path):
+    """A session that is started elsewhere and finds the package on the driver's path only."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("h\n1\n2\n")
+    script = (
+        "import sys; sys.path.insert(0, sys.argv[1])\n"
+        "from pyspark.sql import SparkSession\n"
+        "from incident_stream.sources.publish import file_lines\n"
+        "spark = SparkSession.builder.master('local[2]')"
+        ".config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "print('lines', file_lines(spark, sys.argv[2]).count())\n"
+    )
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run(
+        [sys.executable, "-c", script, repo, str(tmp_path / "in")],
+        cwd=tmp_path,
+        capture_output=True,
+        text=True,
+        timeout=120,
+        env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"},
+    )
+    assert "lines 2" in done.stdout, done.stderr[-2000:]
+
+
 def test_published_lines_can_be_read_and_streamed(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text(f"{HEADER}\n1,2001-01-02,0110,True,False,9.0,,,\n\n")

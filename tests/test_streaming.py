@@ -12,7 +12,13 @@ from incident_stream.operators.aggregate import (
 )
 from incident_stream.plans.pipelines import checkpoint_names, enriched, run
 from incident_stream.schema import ANOMALIES, MONTHLY, WINDOWED
-from incident_stream.settings import FileStore, Params, RecordSource, shuffle_partitions
+from incident_stream.settings import (
+    LARGE_STATE_CONF,
+    FileStore,
+    Params,
+    RecordSource,
+    shuffle_partitions,
+)
 from incident_stream.sources.records import read_record_stream
 from incident_stream.sources.results import read_results
 from incident_stream.streaming.queries import await_all, start_query
@@ -288,6 +294,23 @@ def test_parameters_are_checked():
     assert Params("A") == Params("A", 7, 40.0)
 
 
+def test_large_state_settings(spark, feed, tmp_path):
+    """The same results with the state in RocksDB, over a restart."""
+    before = {name: spark.conf.get(name, None) for name in LARGE_STATE_CONF}
+    try:
+        for name, value in LARGE_STATE_CONF.items():
+            spark.conf.set(name, value)
+        store = FileStore(str(tmp_path / "results"))
+        for day in (1, 2):
+            feed.add(line(day))
+            go(spark, tmp_path, store, Params("A"), results=("aggregates",))
+        (row,) = read_results(spark, store, MONTHLY).collect()
+        assert row["total_crimes"] == 2
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_shuffle_partitions_are_put_back(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with shuffle_partitions(spark, 3):
