@@ -13,7 +13,7 @@ SALTS = 8
 
 
 def table_bytes(codes: DataFrame) -> int:
-    """Size of the code table in memory, from above, in one small job."""
+    """Size of the code table, its text and a fixed amount per row, in one small job."""
     width = F.lit(ROW_OVERHEAD)
     for name in codes.columns:
         width = width + F.coalesce(F.octet_length(F.col(name)), F.lit(0))

@@ -5,10 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 # The CSV layout of one record line, in field order.
-RECORD_DDL = (
-    "ID STRING, Date STRING, IUCR STRING, Arrest STRING, Domestic STRING, "
-    "District DOUBLE, ComArea DOUBLE, Latitude DOUBLE, Longitude DOUBLE"
-)
+RECORD_DDL = "ID STRING, Date STRING, IUCR STRING, Arrest STRING, Domestic STRING, District DOUBLE, ComArea DOUBLE, Latitude DOUBLE, Longitude DOUBLE"  # noqa: E501
 
 # Header names in the code table file, and what they are called here.
 CODE_COLUMNS = {

@@ -15,18 +15,24 @@ def read_results(
 ) -> DataFrame:
     """Every row of the table: no filter, no order, no limit."""
     if isinstance(store, JdbcStore):
-        # one query per share of the key, so that no single task reads the whole table
-        n = store.connections
-        shares = [f"ABS(MOD(district, {n})) = {i}" for i in range(n)]
-        return spark.read.jdbc(
-            store.url, contract.table, predicates=shares, properties=store.properties
-        )
+        return _read_jdbc(spark, store, contract)
     stored = spark.read.parquet(store.path(contract.table))
     if not set(LOG_ORDER) <= set(stored.columns):
         return stored
     return _latest(stored, contract)
 
 
+def _read_jdbc(spark: SparkSession, store: JdbcStore, contract: Contract) -> DataFrame:
+    """One query per share of the districts, so that no single task reads the whole table. With
+    one connection it is one plain query, as a table needs that Spark itself has defined."""
+    n, table = store.connections, contract.table
+    if n == 1:
+        return spark.read.jdbc(store.url, table, properties=store.properties)
+    shares = [f"ABS(MOD(district, {n})) = {i}" for i in range(n)]
+    shares[0] += " OR district IS NULL"
+    return spark.read.jdbc(store.url, table, predicates=shares, properties=store.properties)
+
+
 def _latest(log: DataFrame, contract: Contract) -> DataFrame:
     """The last written row of each key."""
     order = [F.col(name).cast("bigint") for name in LOG_ORDER]  # from folder names

@@ -227,14 +227,19 @@ def test_calls_for_a_database(monkeypatch, mode, expected):
     assert executed == ([staged] if mode == "upsert" else [])
 
 
-def test_reading_a_database_is_split_over_the_key():
+def test_reading_a_database_is_split_over_the_districts():
     class Session:
         read = Recorder()
 
-    Session.read.jdbc = lambda url, table, predicates, properties: (table, predicates)
+    Session.read.jdbc = lambda url, table, predicates=None, properties=None: (table, predicates)
     table, shares = read_results(Session, JdbcStore("jdbc:x:y", connections=2), ANOMALIES)
     assert table == "crime_anomalies"
-    assert shares == ["ABS(MOD(district, 2)) = 0", "ABS(MOD(district, 2)) = 1"]
+    assert shares == [
+        "ABS(MOD(district, 2)) = 0 OR district IS NULL",
+        "ABS(MOD(district, 2)) = 1",
+    ]
+    whole = read_results(Session, JdbcStore("jdbc:x:y", connections=1), ANOMALIES)
+    assert whole == ("crime_anomalies", None)
 
 
 def test_work_dir_follows_the_session(spark):
