@@ -9,7 +9,8 @@ from incident_stream.schema import MISSING_KEYS
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 64
-SALTS = 8
+REPEATED_BYTES = 1024 * 1024 * 1024
+FEWEST_SALTS = 8
 
 
 def table_bytes(codes: DataFrame) -> int:
@@ -20,6 +21,12 @@ def table_bytes(codes: DataFrame) -> int:
     return codes.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
+def salts_for(size: int, partitions: int) -> int:
+    """As many salts as there are shuffle partitions, since a small table has too few codes to
+    fill them; fewer where the repeated table would exceed `REPEATED_BYTES`."""
+    return max(FEWEST_SALTS, min(partitions, REPEATED_BYTES // max(size, 1)))
+
+
 def duplicate_codes(codes: DataFrame) -> DataFrame:
     """Codes that stand in the table more than once after normalising. Each such row multiplies
     the records it matches."""
@@ -31,7 +38,7 @@ def enrich(
     records: DataFrame,
     codes: DataFrame,
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    salts: int | None = None,
     unique: bool = False,
 ) -> DataFrame:
     """Left join on the normalised code; records without a match keep a null category.
@@ -40,14 +47,18 @@ def enrich(
     not move. A larger one is joined by shuffle and merge, which can spill. Its rows are repeated
     once per salt, and the records take the number of the partition they were read in as salt: a
     code that a third of all records carry, or a third without any code, is spread over `salts`
-    tasks, and a task that runs again gives its rows the same salts. What is still too large for
-    one task adaptive execution splits further, in a batch; a micro-batch is bounded by its
-    source. With `unique`, duplicate codes are an error.
+    tasks (by default `salts_for`), and a task that runs again gives its rows the same salts. What
+    is still too large for one task adaptive execution splits further, in a batch; a micro-batch
+    is bounded by its source. With `unique`, duplicate codes are an error.
     """
     if unique and not duplicate_codes(codes).isEmpty():
         raise ValueError("a code stands more than once in the code table after normalising")
-    if table_bytes(codes) <= broadcast_bytes:
+    size = table_bytes(codes)
+    if size <= broadcast_bytes:
         return records.join(F.broadcast(codes), "IUCR", "left")
+    if salts is None:
+        partitions = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salts = salts_for(size, partitions)
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     salted = records.withColumn("salt", F.spark_partition_id() % F.lit(salts))
     repeated = codes.withColumn("salt", copies).hint("merge")

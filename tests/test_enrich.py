@@ -7,6 +7,7 @@ from incident_stream.operators.enrich import (
     duplicate_codes,
     enrich,
     fill_unknown,
+    salts_for,
     table_bytes,
 )
 from incident_stream.plans.pipelines import enriched
@@ -65,6 +66,13 @@ def test_large_code_table_is_joined_by_shuffle(records, codes):
     assert rows(joined, "ID", "category", "index_code") == EXPECTED
 
 
+def test_number_of_salts():
+    assert salts_for(2_000, 20_000) == 20_000
+    assert salts_for(64 * 1024 * 1024, 20_000) == 16
+    assert salts_for(10 * 1024 * 1024 * 1024, 20_000) == 8
+    assert salts_for(0, 4) == 8
+
+
 def test_small_code_table_is_broadcast(records, codes):
     plan = enrich(records, codes)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
