@@ -1,0 +1,117 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from incident_stream.llm import packing
+from incident_stream.llm import textkernel as tk
+from incident_stream.llm.queries import op7_packing
+from tests.llm.conftest import MIDDLE, documents, prose, rows_of
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def theirs():
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def random_texts():
+    rng = random.Random(5)
+    alphabet = ["a", "B", "é", "中", "😀", "1", "9", "'", "s", ".", "#", " ", " ", "  ", "\n", "\t", "\r\n", "\x0b", " ", "　", " ", "\u0085", " ", "\x1c", "don't", " 's", "<|endoftext|>"]
+    for n in range(600):
+        yield "".join(rng.choice(alphabet) for _ in range(n % 40))
+    yield from ["", " ", "\n", "   \n  ", " x", "x ", "x  \n  y", prose(1, 3000)]
+
+
+def test_same_ids_as_the_library(theirs):
+    texts = list(random_texts())
+    coder = packing.Coder(VOCABULARY, public_tokenizers.PATTERN)
+    for limit in (1, 200, 1 << 20):
+        for chunk in tk.chunks(pa.array(texts), limit):
+            ids, ends = coder.chunk(chunk)
+            lo = 0
+            for i, hi in enumerate(ends):
+                assert ids[lo:hi].tolist() == theirs(texts[chunk.first + i]), repr(texts[chunk.first + i])
+                lo = hi
+
+
+def check_pieces(rows, ids_of):
+    """Every id in exactly one piece; sequences without gaps and with little padding."""
+    docs, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        docs[r["doc_id"]].append(r)
+        sequences[r["sequence_id"]].append(r)
+    assert set(docs) == set(ids_of)
+    for doc, pieces in docs.items():
+        ids = [*ids_of[doc], 1]
+        at = 0
+        for p in sorted(pieces, key=lambda p: p["start"]):
+            part = np.array(ids[p["start"] : p["start"] + p["length"]], "<u4")
+            assert (p["start"], p["doc_tokens"]) == (at, len(ids))
+            assert p["ids_crc32"] == zlib.crc32(part.tobytes())
+            at += p["length"]
+        assert at == len(ids)
+    padding = 0
+    for pieces in sequences.values():
+        at = 0
+        for p in sorted(pieces, key=lambda p: p["offset"]):
+            assert p["offset"] == at and p["length"] > 0
+            at += p["length"]
+        assert at <= 2048
+        padding += 0 if at & (at - 1) == 0 else 2048 - at
+    return padding, sequences
+
+
+def test_query(spark, theirs):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{MIDDLE}/documents.parquet").collect()}
+    rows = op7_packing(spark, MIDDLE).collect()
+    padding, sequences = check_pieces(rows, {d: theirs(t or "") for d, t in texts.items()})
+    assert padding < 2048 * spark.read.parquet(f"{MIDDLE}/documents.parquet").rdd.getNumPartitions()
+    steps = defaultdict(int)
+    for pieces in sequences.values():
+        steps[pieces[0]["tier"], pieces[0]["step_group"]] += pieces[0]["tier"]
+    assert max(steps.values()) <= packing.STEP_IDS
+    tiers = {tier for tier, _ in steps}
+    for tier in tiers:  # all but the last group of a tier are full
+        groups = sorted(g for t, g in steps if t == tier)
+        assert all(steps[tier, g] == packing.STEP_IDS for g in groups[:-1])
+
+
+@pytest.mark.parametrize("group", [1, 3000, 1 << 20])
+def test_packer(group, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_IDS", group)
+    rng = random.Random(7)
+    packer = packing.Packer(packing.TIERS, 5 << 40)
+    ids_of = {}
+    for doc in range(400):
+        ids = np.array([rng.randrange(50_000) for _ in range(rng.choice([0, 1, 255, 300, 1023, 2047, rng.randrange(6000)]))], "<u4")
+        ids_of[doc] = ids.tolist()
+        packer.add(doc, np.append(ids, np.uint32(1)).astype("<u4"))
+    packer.pack()
+    packer.pack(last=True)
+    rows = [dict(zip(packing._NAMES, r, strict=True)) for r in packer.taken()]
+    padding, sequences = check_pieces(rows, ids_of)
+    assert padding < 2048
+    assert min(sequences) == 5 << 40
+    assert {r["tier"] for r in rows} == set(packing.TIERS)
+
+
+def test_edges(spark, theirs):
+    texts = [None, "", " ", "x", "x", prose(1, 20_000), "<|endoftext|>"]
+    docs = documents(spark, texts).withColumnRenamed("lang", "part").withColumnRenamed("source", "tier")
+    rows = packing.pack(docs, VOCABULARY, public_tokenizers.PATTERN).collect()
+    check_pieces(rows, {i: theirs(t or "") for i, t in enumerate(texts)})
+    assert rows_of(packing.pack(documents(spark, []), VOCABULARY, public_tokenizers.PATTERN)) == []
+
+
+def test_rows_with_one_id(spark):
+    rows = packing.pack(documents(spark, [(1, "a b"), (1, "a b"), (None, "c")]), VOCABULARY, public_tokenizers.PATTERN).collect()
+    assert sorted((r["doc_id"] or 0, r["length"]) for r in rows) == [(0, 2), (1, 3), (1, 3)]
