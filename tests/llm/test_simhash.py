@@ -1,0 +1,130 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from incident_stream.llm import common, simhash
+from incident_stream.llm.queries import op8_simhash
+from tests.llm.conftest import MIDDLE, components_of, documents, prose, rows_of
+
+
+def fingerprint(text):
+    raw = (text or "").encode()
+    words = bytes(b + 32 if 65 <= b <= 90 else b for b in raw).split()
+    shingles = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64(s, seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def near_pairs(values, distance=3):
+    x = np.array(values, dtype=np.uint64)
+    for i in range(len(x) - 1):
+        for j in np.flatnonzero(np.bitwise_count(x[i + 1 :] ^ x[i]) <= distance):
+            yield int(x[i]), int(x[i + 1 + j])
+
+
+def expected(texts):
+    """{id: (fingerprint, component)} for pairs of id and text."""
+    prints = [(i, fingerprint(t)) for i, t in texts]
+    root = components_of({p for _, p in prints}, near_pairs(sorted({p for _, p in prints})))
+    least = {}
+    for i, p in prints:
+        if i is not None:
+            least[root[p]] = min(least.get(root[p], i), i)
+    return sorted(((i, f"{p:016x}", least.get(root[p])) for i, p in prints), key=repr)
+
+
+def test_query_against_all_pairs(spark):
+    texts = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{MIDDLE}/documents.parquet").collect()]
+    wanted = expected(texts)
+    assert sorted(rows_of(op8_simhash(spark, MIDDLE)), key=repr) == wanted
+    assert any(w[0] != w[2] for w in wanted)
+
+
+def linked(spark, values):
+    signed = np.array(values, dtype=np.uint64).view(np.int64).tolist()
+    df = spark.createDataFrame([(v,) for v in signed], "fp bigint")
+    links = rows_of(simhash.fingerprint_links(df))
+    back = [(int(np.int64(u).view(np.uint64)), int(np.int64(v).view(np.uint64))) for u, v in links]
+    return components_of(set(values), back)
+
+
+@pytest.mark.parametrize("leaf,block", [(128, 4096), (4, 16), (2, 8)])
+def test_index_finds_the_components_of_all_pairs(spark, leaf, block, monkeypatch):
+    """Random fingerprints, chains of near ones, and a dense ball; small leaves and blocks make
+    nodes of several levels and pairs of blocks."""
+    monkeypatch.setattr(simhash, "LEAF", leaf)
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng = random.Random(11)
+    values = {rng.getrandbits(64) for _ in range(300)} | {0, 1, (1 << 64) - 1, 7, 15}
+    centre = rng.getrandbits(64)
+    for _ in range(250):
+        values.add(centre ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(0, 4))))
+    for _ in range(20):
+        x = rng.getrandbits(64)
+        for _ in range(8):
+            x ^= sum(1 << b for b in rng.sample(range(64), rng.randrange(1, 6)))
+            values.add(x)
+    values = sorted(values)
+    assert linked(spark, values) == components_of(set(values), near_pairs(values))
+
+
+def test_search_prunes_and_links_whole_groups():
+    rng = random.Random(3)
+    values = sorted({rng.getrandbits(64) for _ in range(500)} | {5 << 40 | x for x in range(8)})
+    rows = np.array(values, dtype=np.uint64)
+    forest = common.Forest()
+    index = simhash._Index(rows)
+    simhash.search(index, index, 3, forest)
+    root = components_of(set(values), near_pairs(values))
+    for v in values:
+        assert forest.find(v) == root[v]
+
+
+def test_edges(spark):
+    texts = [
+        (3, None), (4, ""), (5, " \n"), (6, "one"), (7, "ONE"), (8, "one two"), (9, "One\tTWO"),
+        (10, "É a b"), (11, "é a b"), (12, prose(1, 30_000)), (2, prose(1, 30_000)),
+        (2, prose(1, 30_000)), (None, "one"), (None, "nobody else has this"), (13, "x" * 100_000),
+    ]
+    docs = documents(spark, texts).withColumnRenamed("lang", "fp").withColumnRenamed("source", "least")
+    got = simhash.near_duplicates(docs)
+    assert sorted(rows_of(got.select("doc_id", "fingerprint", "component_id")), key=repr) == expected(texts)
+    kept = simhash.keep_one(docs.withColumnRenamed("fp", "_keep").withColumnRenamed("least", "_times"), common.written(got))
+    assert kept.columns == ["doc_id", "text", "_keep", "_times", "n_chars"]
+    wanted = {i for i, _, root in expected(texts) if i == root}
+    assert sorted((r[0] for r in rows_of(kept)), key=repr) == sorted(wanted, key=repr)
+
+
+def test_empty_table(spark):
+    assert rows_of(simhash.near_duplicates(documents(spark, []))) == []
+
+
+def test_components_of_a_long_chain_and_a_hub(spark):
+    rng = random.Random(5)
+    names = list(range(1000, 3000))
+    rng.shuffle(names)
+    links = list(zip(names[:600], names[1:601], strict=True))
+    links += [(names[700], x) for x in names[701:1500]]
+    links += [(5, 5)]
+    df = spark.createDataFrame(links, "u bigint, v bigint").repartition(8)
+    got = dict(rows_of(common.components(df)))
+    ids = {x for pair in links for x in pair} - {5}
+    assert got == {i: r for i, r in components_of(ids | {5}, links).items() if i != 5}
+
+
+def test_hot_keys_and_null_keys_in_a_join(spark):
+    rows = spark.range(5000).select(
+        F.col("id").alias("number"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 != 0, F.col("id").cast("string")).alias("k"),
+        F.lit("mine").alias("n"),
+    )
+    totals = rows.where("k is not null").groupBy("k").agg(F.count("*").alias("n"), F.max("number").alias("most"))
+    got = {r["number"]: (r["most"], r["n"]) for r in common.join_hot(rows, totals, "k", ["most"]).collect()}
+    most = {}
+    for r in rows.collect():
+        if r["k"] is not None:
+            most[r["k"]] = max(most.get(r["k"], -1), r["number"])
+    assert got == {r["number"]: (most.get(r["k"]), "mine") for r in rows.collect()}
