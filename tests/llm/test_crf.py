@@ -1,0 +1,108 @@
+import itertools
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from incident_stream.llm import crf
+from incident_stream.llm import textkernel as tk
+from incident_stream.llm.queries import op9_toxicity
+from tests.llm.conftest import documents, prose, rows_of
+
+LARGE = "/root/testdata/sf0.1"
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
+def tokens(texts):
+    (chunk,) = tk.chunks(pa.array(texts), limit=1 << 40)
+    return chunk, crf.tokens_of(chunk)
+
+
+def test_tokens_have_their_place_in_the_text():
+    texts = ["Hello, (World)! x-y", None, "", "!!! ...", "É#a\tB", "x"]
+    chunk, found = tokens(texts)
+    at = [
+        (int(d), chunk.data[s:e].tobytes().decode()) for d, s, e in zip(found.doc, found.start, found.end, strict=True)
+    ]
+    assert at == [(0, "Hello"), (0, "World"), (0, "x-y"), (4, "É#a"), (4, "B"), (5, "x")]
+    _, same = tokens(["hello WORLD xy"])
+    assert same.word.tolist() == found.word[:3].tolist()
+
+
+def test_marginals_against_all_labellings():
+    rng = np.random.default_rng(1)
+    lengths = [1, 4, 0, 6, 2]
+    doc = np.repeat(np.arange(5), lengths)
+    odds, move = np.exp(rng.normal(size=len(doc))), np.exp(rng.normal(size=4))
+    chains = crf.Chains(doc, 5)
+    forward, backward = chains.ratios(odds, move)
+    p = forward * backward / (1 + forward * backward)
+    at = 0
+    for n in lengths:
+        if n:
+            total, marked = 0.0, np.zeros(n)
+            for labels in itertools.product((0, 1), repeat=n):
+                w = np.prod([odds[at + i] if y else 1.0 for i, y in enumerate(labels)])
+                w *= np.prod([move[2 * a + b] for a, b in itertools.pairwise(labels)])
+                total += w
+                marked += w * np.array(labels)
+            assert np.allclose(p[at : at + n], marked / total)
+        at += n
+
+
+def test_held_out_accuracy(spark):
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{LARGE}/labels.parquet").collect()}
+    hit = {(y, p): 0 for y in (0, 1) for p in (0, 1)}
+    for r in op9_toxicity(spark, LARGE).collect():
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.7)
+        if r["held_out"] and r["doc_id"] in labels:
+            hit[labels[r["doc_id"]], r["predicted"]] += 1
+    # some labels have no visible cause: no word in the text is rarer in clean documents
+    assert hit[1, 1] >= 0.8 * (hit[1, 1] + hit[1, 0])
+    assert hit[0, 1] <= 0.01 * (hit[0, 1] + hit[0, 0])
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    """Clean prose; toxic documents have one of three words of their own in it."""
+    rng = random.Random(2)
+    texts, labels = [], []
+    for i in range(300):
+        words = prose(i, 60, 300).split()
+        toxic = int(i % 3 == 0)
+        if toxic:
+            words[rng.randrange(60)] = rng.choice(["Vile!", "FOUL", "nasty,"])
+        texts.append(" ".join(words))
+        labels.append((i, 1, toxic))
+    return documents(spark, texts), spark.createDataFrame(labels, LABELS), texts
+
+
+def test_spans_and_edges(spark, small):
+    docs, labels, texts = small
+    model = crf.fit(docs.withColumnRenamed("lang", "_pick").withColumnRenamed("source", "toxic"), labels)
+    cases = [None, "", " \n", "é ñ you NASTY one, vile!", texts[1], texts[1], prose(1, 20_000, 300) + " foul"]
+    found = rows_of(crf.tag(documents(spark, cases).withColumnRenamed("lang", "_score"), model, carry=["doc_id", "_score"]))
+    by = {r[0]: (r[1], r[2], [(s["start"], s["end"]) for s in r[3]]) for r in found}
+    assert [by[i][1] for i in (0, 1, 2)] == [0, 0, 0] and by[0][0] == "en"
+    assert [cases[3][a:b] for a, b in by[3][2]] in (["NASTY", "vile"], ["NASTY one, vile"])
+    assert by[3][1] > 0.7 and by[4][1] < 0.3 and by[4] [1:] == by[5][1:]
+    assert by[6][1] > 0.7 and cases[6][slice(*by[6][2][-1])] == "foul"
+
+
+def test_labels_of_the_held_out_fold_are_not_used(spark, small):
+    docs, labels, _ = small
+    fold = crf.in_fold()
+    lies = labels.selectExpr("doc_id", "quality", "1 - toxic as toxic").where(~fold).union(labels.where(fold))
+    one, two = crf.fit(docs, labels), crf.fit(docs, lies)
+    assert one.bias == two.bias and all((a == b).all() for a, b in zip(one.tables, two.tables, strict=True))
+
+
+def test_without_labels(spark):
+    none = spark.createDataFrame([], LABELS)
+    docs = documents(spark, ["a b", None])
+    assert crf.fit(docs, none) is None
+    assert [r[1:] for r in rows_of(crf.tag(docs, None, carry=["doc_id"]))] == [(0.0, []), (0.0, [])]
+    assert rows_of(crf.tag(documents(spark, []), None)) == []
