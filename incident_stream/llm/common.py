@@ -160,6 +160,20 @@ def offsets_of(sums: dict[int, tuple[int, ...]]) -> dict[int, tuple[int, ...]]:
     return before
 
 
+def hash_sample(df: DataFrame, key: str, limit: int, salt: str = "") -> DataFrame:
+    """The first `limit` rows, or nearly so many, in the order of a hash of `key`.
+
+    A threshold on the hash first leaves about one and a half times as many rows over all tasks, so
+    that what is sorted and sent does not grow with the number of tasks.
+    """
+    number = F.xxhash64(key, F.lit(salt))
+    rows = df.count()
+    if rows > 2 * limit:
+        most = int(1.5 * limit / rows * (1 << 63))
+        df = df.where(F.shiftrightunsigned(number, 1) < F.lit(most))
+    return df.orderBy(number, *df.columns).limit(limit)
+
+
 def importable(spark: SparkSession) -> None:
     """Let the Python workers import this package from where the driver has it. On a cluster whose
     executors do not see that folder, pass the package with `--py-files` instead."""

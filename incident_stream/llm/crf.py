@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from incident_stream.llm import textkernel as tk
+from incident_stream.llm.common import hash_sample
 
 # The model is fitted on at most this many documents of each label, those first in the order of
 # a hash of their id; longer texts than MAX_FIT_BYTES are left out of the fit, never of the scores.
@@ -244,9 +245,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     Equal texts count once. At most MAX_FIT_DOCS documents of each label reach the driver.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & in_fold())
-    order = F.xxhash64("doc_id")
     chosen = [
-        known.where(F.col("toxic") == kind).orderBy(order, "doc_id").limit(MAX_FIT_DOCS)
+        hash_sample(known.where(F.col("toxic") == kind).select("doc_id", "toxic"), "doc_id", MAX_FIT_DOCS)
         for kind in (0, 1)
     ]
     picked = chosen[0].union(chosen[1]).select(F.col("doc_id").alias("_pick"), "toxic")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incident_stream.llm.common import components, join_hot, written
+from incident_stream.llm.common import components, hash_sample, join_hot, written
 
 THRESHOLD = 0.93
 # The search works with half precision; what it keeps has this margin and is then checked.
@@ -430,8 +430,8 @@ def _recall(nodes: DataFrame, result: DataFrame, threshold: float) -> float:
     The nodes are AUDIT_NODES of all, those first in the order of a hash; they are compared with
     every node.
     """
-    order = F.xxhash64("node", F.lit("audit"))
-    sample = nodes.orderBy(order, "node").limit(AUDIT_NODES).select("node", "grp", "full").collect()
+    keys = hash_sample(nodes.select("node"), "node", AUDIT_NODES, "audit")
+    sample = nodes.join(F.broadcast(keys), "node").select("node", "grp", "full").collect()
     queries = [(r["node"], r["grp"], bytes(r["full"])) for r in sample]
     if not queries:
         return 1.0

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from incident_stream.llm import textkernel as tk
+from incident_stream.llm.common import hash_sample
 
 REPEAT_WIDTH = 5
 # The list is fitted on at most this many labelled rows, those first in the order of a hash.
@@ -278,11 +279,8 @@ def fit(stats: DataFrame, labels: DataFrame, id_column: str, max_rows: int = MAX
         F.col(id_column).alias("_id"),
         *[F.expr(sql).alias(f"f_{name}") for name, sql in FEATURES.items()],
     )
-    chosen = rows.join(known, F.col("_id") == F.col("_label_id")).withColumn(
-        "_order", F.xxhash64("_id")
-    )
-    order = ["_order", "_quality", *[f"f_{name}" for name in FEATURES]]
-    sample = chosen.select(*order).orderBy(*order).limit(max_rows).toPandas()
+    chosen = rows.join(known, F.col("_id") == F.col("_label_id")).drop("_label_id")
+    sample = hash_sample(chosen, "_id", max_rows).toPandas()
     bad = sample["_quality"].to_numpy() == 0
     if len(bad) == 0 or bad.all() or not bad.any():
         return DecisionList(())
