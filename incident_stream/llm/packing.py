@@ -30,8 +30,7 @@ END_ID = 1
 # Documents are packed together in groups of about so many ids, which bounds a task's memory.
 GROUP_IDS = 1 << 20
 STEP_IDS = 1 << 16
-CHUNK_BYTES = 4 << 20
-CACHE_WORDS = 300_000
+CHUNK_BYTES = 12 << 20
 
 
 def byte_symbols() -> dict[str, int]:
@@ -44,11 +43,12 @@ def byte_symbols() -> dict[str, int]:
 
 
 class Coder:
-    """Ids of whole texts, by coding each different piece between blanks once.
+    """Ids of whole texts, by coding each different piece between blanks of a chunk once.
 
     The vocabulary file's pattern never lets a match reach across a blank that is followed by a
-    word, except that one space belongs to the word behind it. Texts with white space outside
-    ASCII are coded whole.
+    word, except that one space belongs to the word behind it. So different words can be coded in
+    one go, with line feeds between them, which come out as ids of their own. Texts with white space
+    outside ASCII are coded whole.
     """
 
     def __init__(self, vocabulary: str, pattern: str) -> None:
@@ -63,33 +63,41 @@ class Coder:
         self.encoding = tiktoken.Encoding(
             "vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
         )
-        self.known: dict[bytes, bytes] = {}
+        self.line_feed = ranks[b"\n"]
 
     def ids(self, text: str) -> list[int]:
         return self.encoding.encode_ordinary(text)
 
-    def _piece(self, raw: bytes) -> bytes:
-        found = self.known.get(raw)
-        if found is None:
-            found = np.array(self.ids(raw.decode("utf-8")), dtype="<u4").tobytes()
-            if len(self.known) >= CACHE_WORDS:
-                self.known.clear()
-            self.known[raw] = found
-        return found
+    def _words(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words without line feeds, one after the other, and how many each has."""
+        length = end - start
+        joined = data[tk.expand(start, length)]
+        text = np.insert(joined, np.cumsum(length), 0x0A).tobytes().decode("utf-8")
+        ids = np.array(self.ids(text), dtype="<u4")
+        stops = np.flatnonzero(ids == self.line_feed)
+        return ids[ids != self.line_feed], np.diff(stops, prepend=-1) - 1
 
     def chunk(self, texts: tk.Texts) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a chunk, one after the other, and where each text's ids end."""
-        starts, doc = pieces(texts)
+        starts, doc, is_word = pieces(texts)
         if len(starts) == 0:
             return np.empty(0, "<u4"), np.zeros(len(texts), np.int64)
         ends = np.append(starts[1:], len(texts.data))
         hashes = tk.span_hashes(texts, tk.Spans(starts, ends, doc))
         _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
-        data = texts.data.tobytes()
-        coded = [self._piece(data[s:e]) for s, e in zip(starts[first], ends[first], strict=True)]
-        length = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // 4
-        flat = np.frombuffer(b"".join(coded), dtype="<u4")
-        at = np.cumsum(length) - length
+        length = np.zeros(len(first), dtype=np.int64)
+        at = np.zeros(len(first), dtype=np.int64)
+        plain = np.flatnonzero(is_word[first])
+        flat, length[plain] = self._words(texts.data, starts[first[plain]], ends[first[plain]])
+        at[plain] = np.cumsum(length[plain]) - length[plain]
+        parts, size = [flat], len(flat)
+        for k in np.flatnonzero(~is_word[first]):
+            raw = texts.data[starts[first[k]] : ends[first[k]]].tobytes().decode("utf-8")
+            coded = np.array(self.ids(raw), dtype="<u4")
+            parts.append(coded)
+            at[k], length[k] = size, len(coded)
+            size += len(coded)
+        flat = np.concatenate(parts)
         ids = flat[tk.expand(at[number], length[number])]
         per_doc = np.bincount(doc, weights=length[number], minlength=len(texts))
         return ids, np.cumsum(per_doc).astype(np.int64)
@@ -114,8 +122,9 @@ def _wide_blanks(texts: tk.Texts) -> np.ndarray:
     return out
 
 
-def pieces(texts: tk.Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Where the pieces start that can be coded one by one, and their texts; they leave no gap.
+def pieces(texts: tk.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the pieces start that can be coded one by one, the texts that they lie in, and which
+    are words; they leave no gap.
 
     A word takes one space before it along. Of the blanks left before a word, the last one is a
     piece of its own, and so are all before it; if a space went with the word, all are one piece.
@@ -137,15 +146,20 @@ def pieces(texts: tk.Texts) -> tuple[np.ndarray, np.ndarray]:
     last[spans.doc] = spans.end  # spans are in order, so the last one stays
     tail = np.where(last >= 0, last, begin)
     tail = tail[tail < stop]
-    starts = np.concatenate(
-        (unit, prev_end[unit > prev_end], spans.start[apart] - 1, tail)
-    )
-    starts = np.unique(starts)
+    # marks on the bytes are in order and hold no start twice
+    mark = np.zeros(len(texts.data), dtype=np.uint8)
+    mark[prev_end[unit > prev_end]] = 1
+    mark[spans.start[apart] - 1] = 1
+    mark[tail] = 1
+    mark[unit] = 2
+    starts = np.flatnonzero(mark)
+    is_word = mark[starts] == 2
     doc = np.searchsorted(texts.offsets, starts, "right") - 1
     if whole.any():
         stay = ~whole[doc] | (starts == begin[doc])
         starts, doc = starts[stay], doc[stay]
-    return starts, doc
+        is_word = is_word[stay] & ~whole[doc]
+    return starts, doc, is_word
 
 
 class Packer:

@@ -135,10 +135,20 @@ def _prefix_sums(values: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray
 
 
 def span_hashes(texts: Texts, spans: Spans, which: int = 0) -> np.ndarray:
-    """A 64-bit hash of the bytes of every span: equal bytes, equal hash."""
-    sums, inverse = _prefix_sums(texts.data.astype(np.uint64) + np.uint64(1), which)
-    raw = (sums[spans.end] - sums[spans.start]) * inverse[spans.start]
-    return mix(raw ^ ((spans.end - spans.start).astype(np.uint64) * BASES[1 - which]))
+    """A 64-bit hash of the bytes of every span: equal bytes, equal hash. Spans must ascend; they
+    are hashed in blocks of about CHUNK_BYTES, so that long texts need no larger arrays."""
+    length = spans.end - spans.start
+    raw = np.empty(len(spans), dtype=np.uint64)
+    lo = 0
+    while lo < len(spans):
+        base = int(spans.start[lo])
+        hi = max(lo + 1, int(np.searchsorted(spans.end, base + CHUNK_BYTES, "right")))
+        block = texts.data[base : int(spans.end[hi - 1])]
+        sums, inverse = _prefix_sums(block.astype(np.uint64) + np.uint64(1), which)
+        start, end = spans.start[lo:hi] - base, spans.end[lo:hi] - base
+        raw[lo:hi] = (sums[end] - sums[start]) * inverse[start]
+        lo = hi
+    return mix(raw ^ (length.astype(np.uint64) * BASES[1 - which]))
 
 
 def window_starts(doc: np.ndarray, width: int) -> np.ndarray:
