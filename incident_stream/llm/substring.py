@@ -1,7 +1,10 @@
 """Removal of passages that occur more than once, behind a count-min prefilter.
 
-First pass: every task adds the hashes of its windows to a count-min sketch with counters that
-stop at two; the sketches of all tasks are merged. A window whose estimate is one occurs once. The
+First pass: every task adds to a count-min sketch with counters that stop at two; the sketches of
+all tasks are merged. A window is counted by its anchor, the least hash among the shingles in it:
+equal windows have equal anchors at equal places, so the count of an anchor is never below that of
+a window, while neighbouring windows share anchors and the sketch has a tenth of the entries. A
+window whose estimate is one occurs once. The
 second pass takes only windows whose estimate is two or more and groups them exactly, by 128 bits
 of two independent hashes of their word sequence. What it has to hand back are only the windows
 which the sketch overestimated: they occur once, so each belongs to one document, and no answer has
@@ -22,25 +25,51 @@ from incident_stream.llm.common import free_name
 
 WIDTH = 35
 # The sketch has two rows of at most 2 ** ROW_BITS counters: 64 MB as bits when it is broadcast.
-# Above some 100 million windows it overestimates more of them; the exact pass then gets more to
+# Beyond some billion windows it overestimates more of them; the exact pass then gets more to
 # group, and the result stays the same.
 ROW_BITS = 28
 BLOCK_BITS = 17
-FLUSH = 2_000_000
+FLUSH = 800_000
 
 
-def _windows(texts: tk.Texts, width: int) -> tuple[tk.Spans, np.ndarray, list[np.ndarray]]:
-    """The words, the starts of windows, and two hashes of each window."""
-    spans = tk.words(texts)
-    starts = tk.window_starts(spans.doc, width)
-    hashes = [
-        tk.window_hashes(tk.span_hashes(texts, spans, r), starts, width, r) for r in (0, 1)
-    ]
-    return spans, starts, hashes
+class Windows:
+    """The words of a chunk of texts, the windows in them, and their anchors."""
 
+    def __init__(self, texts: tk.Texts, width: int) -> None:
+        self.width = width
+        self.spans = tk.words(texts)
+        self.starts = tk.window_starts(self.spans.doc, width)
+        self.word_hashes = [tk.span_hashes(texts, self.spans, row) for row in (0, 1)]
+        self.shingle = max(1, width // 3)
+        every = np.arange(max(0, len(self.spans) - self.shingle + 1))
+        self.shingles = tk.window_hashes(self.word_hashes[0], every, self.shingle, 0)
+        self.reach = width - self.shingle + 1
+        self.anchors = _sliding(np.minimum, self.shingles, self.reach)[self.starts]
 
-def _cells(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return hashes >> np.uint64(64 - bits)
+    def hashes(self, starts: np.ndarray) -> list[np.ndarray]:
+        """Two hashes of the word sequence of each window."""
+        return [tk.window_hashes(h, starts, self.width, r) for r, h in enumerate(self.word_hashes)]
+
+    def anchored(self) -> np.ndarray:
+        """The shingles that are the anchor of a window, once for each place where they stand."""
+        least = np.zeros(len(self.shingles) + self.reach - 1, dtype=np.uint64)
+        least[self.starts + self.reach - 1] = self.anchors
+        here = _sliding(np.maximum, least, self.reach)
+        return self.shingles[here == self.shingles]
+
+
+def _sliding(best, values: np.ndarray, reach: int) -> np.ndarray:
+    """The least or largest of every `reach` neighbours."""
+    size, held = 1, values
+    while 2 * size <= reach:
+        held = best(held[:-size], held[size:])
+        size *= 2
+    rest = reach - size
+    return best(held[: len(held) - rest], held[rest:]) if rest else held
+
+
+def _cells(anchors: np.ndarray, row: int, bits: int) -> np.ndarray:
+    return tk.mix(anchors ^ tk.BASES[row]) >> np.uint64(64 - bits)
 
 
 def _packed(sorted_codes: np.ndarray) -> bytes:
@@ -83,10 +112,10 @@ def _sketched(width: int, bits: int):
         n = 0
         for batch in batches:
             for texts in tk.chunks(batch.column(0)):
-                _, starts, hashes = _windows(texts, width)
+                anchors = Windows(texts, width).anchored()
                 for row in (0, 1):
-                    held[row].append(_cells(hashes[row], bits))
-                n += len(starts)
+                    held[row].append(_cells(anchors, row, bits))
+                n += len(anchors)
                 if n >= FLUSH:
                     yield from flush(held)
                     held, n = [[], []], 0
@@ -127,11 +156,11 @@ class Sketch:
     def __init__(self, bits: int, table: np.ndarray) -> None:
         self.bits, self.table = bits, table
 
-    def repeated(self, hashes: list[np.ndarray]) -> np.ndarray:
+    def repeated(self, anchors: np.ndarray) -> np.ndarray:
         """Whether the estimated count of a window is two or more."""
         out = None
         for row in (0, 1):
-            cell = _cells(hashes[row], self.bits) + np.uint64(row << self.bits)
+            cell = _cells(anchors, row, self.bits) + np.uint64(row << self.bits)
             byte = self.table[(cell >> np.uint64(3)).astype(np.int64)]
             bit = (byte >> (cell & np.uint64(7)).astype(np.uint8)) & 1
             out = bit if out is None else out & bit
@@ -139,9 +168,10 @@ class Sketch:
 
 
 def build_sketch(docs: DataFrame, text_column: str, width: int) -> Sketch:
-    """Two counters for every six bytes of text in each row, up to the bound."""
+    """A counter for every ten bytes of text or fewer in each row, up to the bound: some six for
+    every anchor."""
     total = docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
-    bits = min(ROW_BITS, max(BLOCK_BITS, int(total // 3).bit_length()))
+    bits = min(ROW_BITS, max(BLOCK_BITS, int(total // 10).bit_length()))
     parts = docs.select(text_column).mapInArrow(_sketched(width, bits), "block int, part binary")
     dealt = parts.repartition("block").sortWithinPartitions("block")
     merged = dealt.mapInArrow(_merged, "block int, bits binary")
@@ -186,16 +216,14 @@ def _candidates(width: int, shared):
             missing = np.asarray(ids.is_null())
             ids, texts_hash = np.asarray(ids.fill_null(0)), np.asarray(batch.column(1))
             for texts in tk.chunks(batch.column(2)):
-                spans, starts, hashes = _windows(texts, width)
-                likely = sketch.repeated(hashes)
-                starts = starts[likely]
-                row = spans.doc[starts]
-                first_word = np.searchsorted(spans.doc, np.arange(len(texts)))
+                found = Windows(texts, width)
+                starts = found.starts[sketch.repeated(found.anchors)]
+                hashes = found.hashes(starts)
+                row = found.spans.doc[starts]
+                first_word = np.searchsorted(found.spans.doc, np.arange(len(texts)))
                 place = (starts - first_word[row]).astype(np.int32)
                 row = row + texts.first
-                held.append(
-                    (hashes[0][likely], hashes[1][likely], ids[row], texts_hash[row], place, missing[row])
-                )
+                held.append((*hashes, ids[row], texts_hash[row], place, missing[row]))
                 n += len(starts)
                 if n >= FLUSH // 2:
                     yield flush(held)
@@ -216,10 +244,11 @@ def _cleaned(width: int, shared):
             n_words, n_removed = np.zeros(n, np.int64), np.zeros(n, np.int64)
             kept: list[str] = [""] * n
             for texts in tk.chunks(column):
-                spans, starts, hashes = _windows(texts, width)
+                found = Windows(texts, width)
+                spans = found.spans
                 first_word = np.searchsorted(spans.doc, np.arange(len(texts) + 1))
                 repeated = np.zeros(len(spans), dtype=bool)
-                repeated[starts[sketch.repeated(hashes)]] = True
+                repeated[found.starts[sketch.repeated(found.anchors)]] = True
                 for i in range(len(texts)):
                     single = once[texts.first + i]
                     if single.is_valid:

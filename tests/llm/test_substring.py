@@ -84,3 +84,19 @@ def test_empty_table(spark):
 def test_parts_of_a_sketch():
     codes = np.unique(np.random.default_rng(1).integers(0, 1 << 18, 5000)).astype(np.uint32)
     assert (substring._unpacked(substring._packed(codes)) == codes).all()
+
+
+def test_anchors_of_equal_windows_are_counted_at_each_place():
+    """However often a window occurs, its anchor is counted at least as often."""
+    import pyarrow as pa
+
+    from incident_stream.llm import textkernel as tk
+
+    texts = ["a b c " * 30, "x " * 50, prose(1, 200, 4), "", "p q", prose(1, 200, 4), prose(2, 90)]
+    for width in (1, 2, 3, 5, 35):
+        (chunk,) = tk.chunks(pa.array(texts))
+        found = substring.Windows(chunk, width)
+        counted = Counter(found.anchored().tolist())
+        windows = Counter(zip(found.hashes(found.starts)[0].tolist(), found.anchors.tolist(), strict=True))
+        assert all(counted[anchor] >= n for (_, anchor), n in windows.items())
+        assert len(windows) == len({h for h, _ in windows})
