@@ -23,7 +23,7 @@ from incident_stream.llm.common import hash_sample
 
 # The model is fitted on at most this many documents of each label, those first in the order of
 # a hash of their id; longer texts than MAX_FIT_BYTES are left out of the fit, never of the scores.
-MAX_FIT_DOCS = 1500
+MAX_FIT_DOCS = 1000
 MAX_FIT_BYTES = 20_000
 WORD_BITS, NEAR_BITS = 18, 14
 STEMS = (3, 4, 5, 6, 8)
@@ -160,32 +160,36 @@ def token_labels(tokens: Tokens, toxic: np.ndarray) -> np.ndarray:
     MIN_SHARE of the toxic documents are taken in any case.
     """
     n_toxic, n_clean = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    units = np.stack([tokens.word, *tokens.stems])
-    pairs = np.unique(
-        np.stack([units.ravel(), np.tile(tokens.doc.astype(np.uint64), len(units))]), axis=1
-    )
-    doc = pairs[1].astype(np.int64)
-    known, number = np.unique(pairs[0], return_inverse=True)
-    in_toxic = np.bincount(number[toxic[doc]], minlength=len(known))
-    in_clean = np.bincount(number[~toxic[doc]], minlength=len(known))
-    share, clean_share = in_toxic / n_toxic, in_clean / n_clean
-    telling = share >= MIN_PRECISION * (share + clean_share)
-    able = telling & (in_toxic >= MIN_SUPPORT)
-    chosen = able & (share >= MIN_SHARE)
-    todo = toxic[doc] & able[number]
-    unit, of = number[todo], doc[todo]
+    n_docs = len(toxic)
+    able, gains, places = [], [], []  # for each kind of unit: words, then stems of each length
+    for units in (tokens.word, *tokens.stems):
+        known, number = np.unique(units, return_inverse=True)
+        pair = np.unique(number * n_docs + tokens.doc)
+        unit, doc = pair // n_docs, pair % n_docs
+        in_toxic = np.bincount(unit[toxic[doc]], minlength=len(known))
+        in_clean = np.bincount(unit[~toxic[doc]], minlength=len(known))
+        share, clean_share = in_toxic / n_toxic, in_clean / n_clean
+        telling = (share >= MIN_PRECISION * (share + clean_share)) & (in_toxic >= MIN_SUPPORT)
+        slot = np.cumsum(telling) - 1 + sum(map(len, able))
+        able.append(share[telling] >= MIN_SHARE)
+        use = toxic[doc] & telling[unit]
+        gains.append((slot[unit[use]], doc[use]))
+        places.append(np.where(telling, slot, -1)[number].astype(np.int32))
+    chosen = np.concatenate(able)
+    unit, of = (np.concatenate([g[i] for g in gains]) for i in (0, 1))
     left = toxic.copy()
     left[of[chosen[unit]]] = False
     while len(unit):
-        gain = np.bincount(unit[left[of]], minlength=len(known))
+        gain = np.bincount(unit[left[of]], minlength=len(chosen))
         best = int(np.argmax(gain))
         if gain[best] < max(MIN_SUPPORT, MIN_GAIN * n_toxic):
             break
         chosen[best] = True
         left[of[unit == best]] = False
     taken = np.zeros(len(tokens.doc), dtype=bool)
-    for row in units:
-        taken |= chosen[np.searchsorted(known, row)]
+    for place in places:
+        hit = place >= 0
+        taken[hit] |= chosen[place[hit]]
     return taken & toxic[tokens.doc]
 
 
@@ -201,7 +205,9 @@ def train(tokens: Tokens, n_docs: int, truth: np.ndarray) -> Model:
     a, b = truth[same], truth[same + 1]
     seen = np.array([(~a & ~b).sum(), (~a & b).sum(), (a & ~b).sum(), (a & b).sum()], float)
     used = [np.unique(f) for f in tokens.features]
-    slot = [np.searchsorted(u, f) for u, f in zip(used, tokens.features, strict=True)]
+    slot = [
+        np.searchsorted(u, f).astype(np.int32) for u, f in zip(used, tokens.features, strict=True)
+    ]
     params = [np.zeros(len(u)) for u in used] + [np.array([-2.0]), np.zeros(4)]
     first = [np.zeros_like(p) for p in params]
     second = [np.zeros_like(p) for p in params]
