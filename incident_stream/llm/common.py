@@ -17,6 +17,7 @@ from incident_stream.settings import new_work_dir
 HOT = 1000
 SALTS = 1024
 FIND_ROUNDS = 60
+BATCH_ROWS = 1000
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -184,12 +185,23 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Fewer rows for each Arrow batch, unless the session has a number of its own: rows hold whole
+    texts, and ten thousand long ones would not fit into a worker. The workers' Arrow gives freed
+    memory back."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting, None) is None:
+        spark.conf.set(setting, BATCH_ROWS)
+    spark.sparkContext.environment.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+
+
 def job(function: Callable) -> Callable:
     """Marks a function of (spark, ...) that runs operators of this subpackage."""
 
     @wraps(function)
     def run(spark: SparkSession, *args, **options):
         importable(spark)
+        bounded_batches(spark)
         return function(spark, *args, **options)
 
     return run
