@@ -1,4 +1,4 @@
-"""Command line of the job, for spark-submit with `main.py`: publish, process, results."""
+"""Command line of the job, for spark-submit with `main.py`: publish, process, results, fold, tables."""
 
 from __future__ import annotations
 
@@ -27,9 +27,10 @@ from incident_stream.settings import (
 from incident_stream.sources.publish import publish_lines
 from incident_stream.sources.results import read_results
 from incident_stream.streaming.queries import await_all
-from incident_stream.streaming.sinks import MODES, create_tables
+from incident_stream.streaming.sinks import MODES, create_tables, fold
 
 DEFAULT_TOPIC = "incident-records"
+RESULTS = ("aggregates", "anomalies")
 
 
 def _add_source(parser: argparse.ArgumentParser) -> None:
@@ -48,6 +49,7 @@ def _add_source(parser: argparse.ArgumentParser) -> None:
 def _add_store(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--results-dir", help="folder for result tables as Parquet")
     parser.add_argument("--jdbc-url", help="database for result tables, in place of the folder")
+    parser.add_argument("--connections", type=int, default=8, help="database connections")
 
 
 def build_parser() -> argparse.ArgumentParser:
@@ -69,14 +71,31 @@ def build_parser() -> argparse.ArgumentParser:
     process.add_argument("-P", "--threshold", type=float, default=DEFAULT_THRESHOLD)
     process.add_argument("--sink-mode", choices=MODES, default="upsert")
     process.add_argument("--state-partitions", type=int)
+    process.add_argument(
+        "--results",
+        choices=RESULTS,
+        nargs="+",
+        default=list(RESULTS),
+        help="which of the two to maintain, so that two jobs need not do one twice",
+    )
+    process.add_argument(
+        "--unique-codes", action="store_true", help="refuse codes that stand more than once"
+    )
     pace = process.add_mutually_exclusive_group()
     pace.add_argument("--available-now", action="store_true", help="end at the last record")
     pace.add_argument("--processing-time", metavar="INTERVAL", help="e.g. '1 minute'")
 
-    results = commands.add_parser("results", help="show the stored results")
+    results = commands.add_parser("results", help="write out both stored results in full")
     _add_store(results)
     results.add_argument("--delay", choices=DELAYS, default="A")
-    results.add_argument("--rows", type=int, default=20, help="rows to print of each table")
+    results.add_argument(
+        "--out-dir", required=True, help="folder for both tables, all rows, as CSV with header"
+    )
+    results.add_argument("--rows", type=int, help="also print so many rows of each, as a preview")
+
+    folding = commands.add_parser("fold", help="merge the finished batches of upserted tables")
+    folding.add_argument("--results-dir", required=True)
+    folding.add_argument("--delay", choices=DELAYS, default="A")
 
     tables = commands.add_parser("tables", help="create the result tables in a database")
     tables.add_argument("--jdbc-url", required=True)
@@ -94,7 +113,7 @@ def source_of(args: argparse.Namespace) -> RecordSource:
 
 def store_of(args: argparse.Namespace) -> FileStore | JdbcStore:
     if args.jdbc_url:
-        return JdbcStore(args.jdbc_url, database_properties())
+        return JdbcStore(args.jdbc_url, database_properties(), args.connections)
     if not args.results_dir:
         raise SystemExit("one of --results-dir and --jdbc-url is required")
     return FileStore(args.results_dir)
@@ -121,13 +140,20 @@ def main(argv: Sequence[str] | None = None) -> None:
             Params(args.delay, args.window_days, args.threshold),
             args.sink_mode,
             trigger_of(args),
+            results=tuple(args.results),
             state_partitions=args.state_partitions,
+            unique_codes=args.unique_codes,
         )
         await_all(queries)
     elif args.command == "tables":
         store = JdbcStore(args.jdbc_url, database_properties())
         create_tables(spark, store, MONTHLY, WINDOWED, ANOMALIES)
     else:
-        counts = MONTHLY if args.delay == "A" else WINDOWED
-        for contract in (counts, ANOMALIES):
-            read_results(spark, store_of(args), contract).show(args.rows, truncate=False)
+        for contract in (MONTHLY if args.delay == "A" else WINDOWED, ANOMALIES):
+            if args.command == "fold":
+                fold(spark, FileStore(args.results_dir), contract)
+                continue
+            found = read_results(spark, store_of(args), contract)
+            found.write.csv(f"{args.out_dir.rstrip('/')}/{contract.table}", header=True)
+            if args.rows:
+                found.show(args.rows, truncate=False)

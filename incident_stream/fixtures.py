@@ -13,6 +13,7 @@ from incident_stream.settings import FileStore, Params, RecordSource, new_work_d
 from incident_stream.streaming.queries import await_all
 
 LINE_TIME = "yyyy-MM-dd HH:mm:ss"
+STATE_PARTITIONS = 8
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -136,6 +137,7 @@ def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = (
         F.when(kind == 8, short)
         .when(number % 20 == 9, "")
+        .when(number % 1000 == 0, F.concat(to_line(), F.repeat(F.lit(","), F.lit(21_000))))
         .when(kind == 9, to_line(F.lit("EXTRA")))
         .otherwise(to_line())
     )
@@ -143,7 +145,12 @@ def dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land_in_slices(
-    spark: SparkSession, sf_dir: str, landing: str, slices: int, advance: Callable[[], None]
+    spark: SparkSession,
+    sf_dir: str,
+    landing: str,
+    slices: int,
+    advance: Callable[[], None],
+    lines: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write fixture E into a folder of text files, one stretch of time after the other, and call
     `advance` after each."""
@@ -154,7 +161,10 @@ def land_in_slices(
         inside = F.col("ts") >= _moment(ends["first"] + i * step)
         if i + 1 < slices:
             inside = inside & (F.col("ts") < _moment(ends["first"] + (i + 1) * step))
-        _land(fields.where(inside), landing)
+        if i == 0:  # a line without a time belongs to the first stretch
+            inside = (F.col("ts") < _moment(ends["first"] + step)) | F.col("ts").isNull()
+        part = fields.where(inside)
+        _land(lines(part) if lines else part, landing)
         advance()
 
 
@@ -182,14 +192,15 @@ def replay(
     results: tuple[str, ...],
     slices: int = 3,
     late: bool = False,
+    store: FileStore | None = None,
+    lines: Callable[[DataFrame], DataFrame] | None = None,
 ) -> FileStore:
-    """Run the streaming job over fixture E, stopping and restarting it after every slice."""
+    """Run the streaming job over fixture E, stopping and restarting it after every slice. `store`
+    takes the results of several such jobs; `lines` changes the fields of the fixture."""
     work = new_work_dir(spark)
     code_file(spark, sf_dir).write.csv(f"{work}/codes", header=True)
     landing = f"{work}/landing"
-    store = FileStore(f"{work}/results")
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = min(configured, spark.sparkContext.defaultParallelism)
+    store = store or FileStore(f"{work}/results")
 
     def advance() -> None:
         source = RecordSource.text(landing)
@@ -203,11 +214,11 @@ def replay(
                 params,
                 trigger={"availableNow": True},
                 results=results,
-                state_partitions=partitions,
+                state_partitions=STATE_PARTITIONS,
             )
         )
 
-    land_in_slices(spark, sf_dir, landing, slices, advance)
+    land_in_slices(spark, sf_dir, landing, slices, advance, lines)
     if late:
         land_first_day_again(spark, sf_dir, landing)
         advance()

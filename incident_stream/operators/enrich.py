@@ -9,8 +9,7 @@ from incident_stream.schema import MISSING_KEYS
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 64
-REPEATED_BYTES = 1024 * 1024 * 1024
-FEWEST_SALTS = 8
+SALTS = 8
 
 
 def table_bytes(codes: DataFrame) -> int:
@@ -21,12 +20,6 @@ def table_bytes(codes: DataFrame) -> int:
     return codes.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def salts_for(size: int, partitions: int) -> int:
-    """As many salts as there are shuffle partitions, since a small table has too few codes to
-    fill them; fewer where the repeated table would exceed `REPEATED_BYTES`."""
-    return max(FEWEST_SALTS, min(partitions, REPEATED_BYTES // max(size, 1)))
-
-
 def duplicate_codes(codes: DataFrame) -> DataFrame:
     """Codes that stand in the table more than once after normalising. Each such row multiplies
     the records it matches."""
@@ -40,29 +33,41 @@ def enrich(
     broadcast_bytes: int = BROADCAST_BYTES,
     salts: int | None = None,
     unique: bool = False,
+    join_partitions: int | None = None,
 ) -> DataFrame:
     """Left join on the normalised code; records without a match keep a null category.
 
     A table of up to `broadcast_bytes`, which is measured first, is broadcast, so the records do
-    not move. A larger one is joined by shuffle and merge, which can spill. Its rows are repeated
-    once per salt, and the records take the number of the partition they were read in as salt: a
-    code that a third of all records carry, or a third without any code, is spread over `salts`
-    tasks (by default `salts_for`), and a task that runs again gives its rows the same salts. What
-    is still too large for one task adaptive execution splits further, in a batch; a micro-batch
-    is bounded by its source. With `unique`, duplicate codes are an error.
+    not move. A larger one is joined by shuffle and merge, which can spill, in `join_partitions`
+    tasks (by default the shuffle partitions of the session when the join is made).
+
+    In a batch, adaptive execution splits the tasks of a hot code, and nothing is copied. A stream
+    has no adaptive execution, and where a session has none, every code is salted: the table is
+    repeated `salts` times and a record takes its salt from a hash of itself and the number of the
+    partition it was read in, so that the records of a code spread over `salts` tasks however few
+    partitions the source has, and a task that runs again gives the same salts. Records without a
+    code need no partner: they take salts of all partitions, of which no copies are made. With
+    `unique`, duplicate codes are an error.
     """
     if unique and not duplicate_codes(codes).isEmpty():
         raise ValueError("a code stands more than once in the code table after normalising")
-    size = table_bytes(codes)
-    if size <= broadcast_bytes:
+    if table_bytes(codes) <= broadcast_bytes:
         return records.join(F.broadcast(codes), "IUCR", "left")
+    conf = records.sparkSession.conf
+    partitions = join_partitions or int(conf.get("spark.sql.shuffle.partitions"))
+    adaptive = conf.get("spark.sql.adaptive.enabled") == "true" and not records.isStreaming
     if salts is None:
-        partitions = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        salts = salts_for(size, partitions)
+        salts = 1 if adaptive else min(SALTS, partitions)
+    if salts == 1 and adaptive:
+        return records.join(codes.hint("merge"), "IUCR", "left")
+    number = F.xxhash64(F.spark_partition_id(), *records.columns)
+    spread = F.when(F.col("IUCR").isNull(), F.pmod(number, F.lit(partitions)))
+    salt = F.coalesce(spread, F.pmod(number, F.lit(salts))).cast("int")
+    salted = records.withColumn("salt", salt).repartition(partitions, "IUCR", "salt")
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted = records.withColumn("salt", F.spark_partition_id() % F.lit(salts))
-    repeated = codes.withColumn("salt", copies).hint("merge")
-    return salted.join(repeated, ["IUCR", "salt"], "left").drop("salt")
+    known = codes.where(F.col("IUCR").isNotNull())
+    repeated = known.withColumn("salt", copies).repartition(partitions, "IUCR", "salt")
+    return salted.join(repeated.hint("merge"), ["IUCR", "salt"], "left").drop("salt")
 
 
 def fill_unknown(records: DataFrame) -> DataFrame:

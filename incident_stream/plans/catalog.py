@@ -34,7 +34,7 @@ from incident_stream.sources.codes import normalize_codes, read_codes
 from incident_stream.sources.publish import publish_lines
 from incident_stream.sources.records import read_record_stream
 from incident_stream.sources.results import read_results
-from incident_stream.streaming.sinks import batch_writer
+from incident_stream.streaming.sinks import batch_writer, fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,21 +118,25 @@ def enriched_by_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -----------------------------------------------------------------------------
 
 
+def _closed_anomalies(spark: SparkSession, store: FileStore) -> DataFrame:
+    return read_results(spark, store, ANOMALIES).drop("threshold")
+
+
 def stream_anomalies_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = fixtures.replay(spark, sf_dir, Params("A"), ("anomalies",))
-    return read_results(spark, store, ANOMALIES)
+    return _closed_anomalies(spark, store)
 
 
 def stream_anomalies_all_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every closed window, whatever its share."""
     store = fixtures.replay(spark, sf_dir, Params("A", threshold=0), ("anomalies",))
-    return read_results(spark, store, ANOMALIES)
+    return _closed_anomalies(spark, store)
 
 
 def stream_late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, with the lines of the first day coming once more at the end."""
     store = fixtures.replay(spark, sf_dir, Params("A", threshold=0), ("anomalies",), late=True)
-    return read_results(spark, store, ANOMALIES)
+    return _closed_anomalies(spark, store)
 
 
 def stream_window30_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,6 +193,18 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_records(read_record_stream(spark, published, streaming=False))
 
 
+def publish_beside_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a folder that also holds a sub-folder with a CSV file."""
+    work = new_work_dir(spark)
+    empty = [F.lit(None).cast("string").alias(c) for c in ("ComArea", "Latitude", "Longitude")]
+    table = fixtures.event_fields(spark, sf_dir).select(*fixtures.FIELDS, *empty)
+    table.write.csv(f"{work}/in", header=True)
+    table.write.csv(f"{work}/in/x=1", header=True)
+    published = RecordSource.text(f"{work}/lines")
+    publish_lines(spark, f"{work}/in", published)
+    return parse_records(read_record_stream(spark, published, streaming=False))
+
+
 def _read_back(
     spark: SparkSession, contract: Contract, mode: str, batches: list[DataFrame]
 ) -> DataFrame:
@@ -218,6 +234,52 @@ def results_readback_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_back(spark, MONTHLY, "upsert", [first, second])
 
 
+def results_readback_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with the log folded after the first batch and after the second."""
+    store = FileStore(f"{new_work_dir(spark)}/results")
+    write = batch_writer(store, MONTHLY)
+    orders = _orders(spark, sf_dir)
+    for number, records in enumerate([orders, orders.where(F.col("Arrest") == "True")]):
+        write(aggregate_monthly(records), number)
+        fold(spark, store, MONTHLY)
+    return read_results(spark, store, MONTHLY)
+
+
+def stream_anomalies_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 30 days, closed by the day of the same length after the last record."""
+    params = Params("A", window_days=30, threshold=0)
+    return _closed_anomalies(spark, fixtures.replay(spark, sf_dir, params, ("anomalies",)))
+
+
+def stream_anomalies_two_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two lengths and thresholds in one store; the second is read back."""
+    store = fixtures.replay(spark, sf_dir, Params("A"), ("anomalies",))
+    second = Params("A", window_days=3, threshold=60.0)
+    fixtures.replay(spark, sf_dir, second, ("anomalies",), store=store)
+    days = F.datediff("window_end", "window_start")
+    found = read_results(spark, store, ANOMALIES).where((days == 3) & (F.col("threshold") == 60.0))
+    return found.drop("threshold")
+
+
+def stream_rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fiftieth record has half a district: its groups stand beside the table."""
+
+    def halved(fields: DataFrame) -> DataFrame:
+        number = F.col("event_id") % 25 + F.lit(0.5)
+        half = F.when(F.col("event_id") % 50 == 0, number.cast("string"))
+        return fields.withColumn("District", F.coalesce(half, F.col("District")))
+
+    store = fixtures.replay(spark, sf_dir, Params("A"), ("aggregates",), slices=2, lines=halved)
+    kept = read_results(spark, store, MONTHLY).select(
+        F.lit("stored").alias("place"), F.col("district").cast("double").alias("district"), "total_crimes"
+    )
+    path = f"{store.path(MONTHLY.table)}_rejected"
+    newest = F.max("total_crimes").alias("total_crimes")  # counts of a group only grow
+    rejected = spark.read.parquet(path).groupBy("year_month", "category", "District").agg(newest)
+    both = kept.union(rejected.select(F.lit("rejected"), "District", "total_crimes"))
+    return both.groupBy("place", "district").agg(F.sum("total_crimes").alias("records"))
+
+
 BATCH: dict[str, Query] = {
     "code_table": code_table,
     "normalized_codes": normalized_codes,
@@ -255,10 +317,15 @@ STREAMING: dict[str, Query] = {
     "stream_late_dropped": stream_late_dropped,
     "stream_monthly_late_counted": stream_monthly_late_counted,
     "stream_two_queries": stream_two_queries,
+    "stream_anomalies_30d": stream_anomalies_30d,
+    "stream_anomalies_two_settings": stream_anomalies_two_settings,
+    "stream_rejected_rows": stream_rejected_rows,
 }
 
 STORAGE: dict[str, Query] = {
     "publish_roundtrip": publish_roundtrip,
+    "publish_beside_folders": publish_beside_folders,
+    "results_readback_folded": results_readback_folded,
     "results_readback": results_readback,
     "results_readback_recreated": results_readback_recreated,
     "results_readback_upserted": results_readback_upserted,

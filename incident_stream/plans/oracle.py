@@ -177,6 +177,23 @@ late AS (
   WHERE event_time < (SELECT date_trunc('day', min(event_time)) + INTERVAL 1 DAY FROM records)
 )"""
 
+UPSERTED = _with(
+    CODES,
+    ORDERS,
+    ENRICHED,
+    MONTHLY,
+    final="""SELECT year_month, category, CAST(District AS INTEGER) AS district,
+      CASE WHEN arrests > 0 THEN arrests ELSE total_crimes END AS total_crimes, arrests,
+      CASE WHEN arrests > 0 THEN both_flags ELSE domestics END AS domestics,
+      CASE WHEN arrests > 0 THEN both_indexed ELSE fbi_indexed END AS fbi_indexed
+      FROM monthly JOIN (
+        SELECT year_month, category, District,
+          count(*) FILTER (Arrest = 'True' AND Domestic = 'True') AS both_flags,
+          count(*) FILTER (Arrest = 'True' AND index_code = 'I') AS both_indexed
+        FROM enriched GROUP BY ALL
+      ) USING (year_month, category, District)""",
+)
+
 SQL: dict[str, str] = {
     "code_table": _with(
         CODES,
@@ -261,22 +278,23 @@ SQL: dict[str, str] = {
             total_crimes, fbi_indexed FROM anomalies WHERE {_closed(3)}""",
     ),
     "publish_roundtrip": _with(EVENTS, final=PARSED),
+    "publish_beside_folders": _with(EVENTS, final=PARSED),
+    "stream_anomalies_30d": _with(
+        CODES, EVENTS, ENRICHED, _anomalies(30, 0), final=_stored_anomalies(30)
+    ),
+    "stream_anomalies_two_settings": _with(
+        CODES, EVENTS, ENRICHED, _anomalies(3, 60.0), final=_stored_anomalies(3)
+    ),
+    "stream_rejected_rows": _with(
+        EVENTS,
+        final="""SELECT CASE WHEN half THEN 'rejected' ELSE 'stored' END AS place,
+            CASE WHEN half THEN CAST(ID AS BIGINT) % 25 + 0.5::DOUBLE
+              ELSE coalesce(District, -1.0) END AS district,
+            count(*) AS records
+          FROM (SELECT *, CAST(ID AS BIGINT) % 50 = 0 AS half FROM records) GROUP BY ALL""",
+    ),
     "results_readback": _with(CODES, EVENTS, ENRICHED, MONTHLY, final=STORED_MONTHLY),
     "results_readback_recreated": _monthly(CODES, EVENTS),
-    "results_readback_upserted": _with(
-        CODES,
-        ORDERS,
-        ENRICHED,
-        MONTHLY,
-        final="""SELECT year_month, category, CAST(District AS INTEGER) AS district,
-          CASE WHEN arrests > 0 THEN arrests ELSE total_crimes END AS total_crimes, arrests,
-          CASE WHEN arrests > 0 THEN both_flags ELSE domestics END AS domestics,
-          CASE WHEN arrests > 0 THEN both_indexed ELSE fbi_indexed END AS fbi_indexed
-          FROM monthly JOIN (
-            SELECT year_month, category, District,
-              count(*) FILTER (Arrest = 'True' AND Domestic = 'True') AS both_flags,
-              count(*) FILTER (Arrest = 'True' AND index_code = 'I') AS both_indexed
-            FROM enriched GROUP BY ALL
-          ) USING (year_month, category, District)""",
-    ),
+    "results_readback_upserted": UPSERTED,
+    "results_readback_folded": UPSERTED,
 }

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from incident_stream.operators.aggregate import (
@@ -10,7 +14,7 @@ from incident_stream.operators.aggregate import (
     aggregate_windowed,
     anomalies,
 )
-from incident_stream.operators.enrich import enrich, fill_unknown
+from incident_stream.operators.enrich import duplicate_codes, enrich, fill_unknown
 from incident_stream.operators.parse import parse_records
 from incident_stream.schema import ANOMALIES, MONTHLY, WINDOWED, Contract
 from incident_stream.settings import (
@@ -23,8 +27,8 @@ from incident_stream.settings import (
 )
 from incident_stream.sources.codes import normalize_codes, read_codes
 from incident_stream.sources.records import read_record_stream
-from incident_stream.streaming.queries import run_number, start_query
-from incident_stream.streaming.sinks import batch_writer
+from incident_stream.streaming.queries import start_query
+from incident_stream.streaming.sinks import batch_writer, claim_run
 
 # Output mode of each stored result.
 OUTPUT_MODES = {MONTHLY.table: "update", WINDOWED.table: "append", ANOMALIES.table: "append"}
@@ -45,15 +49,34 @@ def aggregates_for(records: DataFrame, params: Params) -> tuple[DataFrame, Contr
 
 def checkpoint_names(params: Params) -> dict[str, str]:
     """Checkpoint folder per result. The state of one window length must never be continued with
-    another, so the parameters are part of the name."""
-    days, share = params.window_days, f"{float(params.threshold):g}"
+    another, and two jobs must never write one checkpoint, so the parameters and the job are part
+    of the name."""
+    days, share = params.window_days, repr(float(params.threshold))
     return {
         MONTHLY.table: "aggregates_A",
         WINDOWED.table: "aggregates_C",
-        ANOMALIES.table: f"anomalies_D{days}_P{share}",
+        ANOMALIES.table: f"anomalies_{params.delay}_D{days}_P{share}",
     }
 
 
+def staging_name(checkpoint: str) -> str:
+    """A short name for the query with this checkpoint, fit for a table name."""
+    return hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
+
+def warn_of_duplicates(codes: DataFrame) -> None:
+    """One warning with the number of codes and, as an example, one of them."""
+    found = duplicate_codes(normalize_codes(codes)).agg(
+        F.count("*").alias("n"), F.min("IUCR").alias("first")
+    ).first()
+    if found["n"]:
+        warnings.warn(
+            f"{found['n']} codes stand more than once in the code table, {found['first']!r} for one;"
+            " records that carry them count as often",
+            stacklevel=3,
+        )
+
+
 def run(
     spark: SparkSession,
     source: RecordSource,
@@ -65,6 +88,7 @@ def run(
     trigger: dict | None = None,
     results: tuple[str, ...] = ("aggregates", "anomalies"),
     state_partitions: int | None = None,
+    unique_codes: bool = False,
 ) -> list[StreamingQuery]:
     """Start the anomaly query and the aggregate query on one source. The two are independent:
     each reads the source itself and has its own watermark, state and checkpoint.
@@ -72,13 +96,20 @@ def run(
     `state_partitions` is the number of state stores per query, in place of
     `spark.sql.shuffle.partitions`; a checkpoint keeps the number it was made with. It should
     follow the number of result keys: records are summed up per key before they are shuffled.
+
+    Codes that stand more than once in the code table multiply the records that they match; they
+    are reported as a warning, or, with `unique_codes`, refused.
     """
     prepare_session(spark)
-    records = enriched(read_record_stream(spark, source), read_codes(spark, codes_path))
+    codes = read_codes(spark, codes_path)
+    if not unique_codes:
+        warn_of_duplicates(codes)
+    records = enriched(read_record_stream(spark, source), codes, unique=unique_codes)
     wanted: list[tuple[DataFrame, Contract]] = []
     if "anomalies" in results:
         found = anomalies(records, params.window_days, params.threshold)
-        wanted.append((found, ANOMALIES))
+        share = F.lit(float(params.threshold)).alias("threshold")
+        wanted.append((found.select("*", share), ANOMALIES))
     if "aggregates" in results:
         wanted.append(aggregates_for(records, params))
     names = checkpoint_names(params)
@@ -86,7 +117,8 @@ def run(
     try:
         for frame, contract in wanted:
             checkpoint = f"{checkpoint_root.rstrip('/')}/{names[contract.table]}"
-            writer = batch_writer(store, contract, sink_mode, run_number(spark, checkpoint))
+            number = claim_run(spark, store, contract)
+            writer = batch_writer(store, contract, sink_mode, number, staging_name(checkpoint))
             mode = OUTPUT_MODES[contract.table]
             with shuffle_partitions(spark, state_partitions):
                 started.append(start_query(frame, mode, writer, checkpoint, trigger))

@@ -79,6 +79,8 @@ WINDOWED = Contract(
     key=("window_start", "category", "district"),
 )
 
+# Runs with other window lengths or thresholds share the table, so both are part of the key: the
+# length by the window's end.
 ANOMALIES = Contract(
     table="crime_anomalies",
     columns=(
@@ -88,6 +90,7 @@ ANOMALIES = Contract(
         ("fbi_indexed", "fbi_indexed", "bigint"),
         ("total_crimes", "total_crimes", "bigint"),
         ("pct_fbi", "pct_fbi", "double"),
+        ("threshold", "threshold", "double"),
     ),
-    key=("window_start", "district"),
+    key=("window_start", "window_end", "threshold", "district"),
 )

@@ -121,7 +121,8 @@ def new_work_dir(spark: SparkSession) -> str:
     (a test on one machine), below a new temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         base = tempfile.mkdtemp(prefix="incident-stream-")
     return f"{base.rstrip('/')}/incident-stream-{uuid.uuid4().hex}"

@@ -36,9 +36,25 @@ def _header_filter() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
     return without_header_lines
 
 
+def _checked_names(spark: SparkSession, in_dir: str, pattern: str) -> list[str]:
+    """The names that the pattern finds, without hidden ones."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    entries = [(s.getPath().getName(), s.isDirectory()) for s in found or []]
+    entries = [e for e in entries if not e[0].startswith(".")]
+    wrong = sorted(name for name, is_folder in entries if is_folder or name.startswith("_"))
+    if wrong:
+        raise ValueError(f"cannot be published from {in_dir}: {', '.join(wrong)}")
+    return [name for name, _ in entries]
+
+
 def file_lines(spark: SparkSession, in_dir: str, on_error: str = "fail") -> DataFrame:
     """All lines of the `*.csv` files in a directory but the first of each file, in `value`.
 
+    Files in sub-folders are not read. A name that Spark would pass over (with a leading
+    underscore), and a folder whose name ends in `.csv`, is an error; names with a leading dot are
+    hidden and left out.
     Blank lines are kept, and lines are not CSV records: a quoted line break splits one. Only the
     position decides what a header is, so a later line that looks like one is kept. With
     `on_error="skip"` the unreadable rest of a file is left out and Spark logs a warning; the
@@ -46,11 +62,14 @@ def file_lines(spark: SparkSession, in_dir: str, on_error: str = "fail") -> Data
     """
     if on_error not in ("fail", "skip"):
         raise ValueError(f"on_error must be 'fail' or 'skip', not {on_error!r}")
-    reader = spark.read.option("pathGlobFilter", "*.csv")
+    pattern = f"{in_dir.rstrip('/')}/*.csv"
+    if not _checked_names(spark, in_dir, pattern):
+        return spark.read.text(in_dir).where("false").select("value")
+    reader = spark.read
     for fault in ("ignoreCorruptFiles", "ignoreMissingFiles"):
         reader = reader.option(fault, str(on_error == "skip").lower())
     first = F.col("_metadata.file_block_start") == 0
-    placed = reader.text(in_dir).select(
+    placed = reader.text(pattern).select(
         "value", F.when(first, F.col("_metadata.file_path")).alias("first_block_of")
     )
     return placed.mapInArrow(_header_filter(), "value string")

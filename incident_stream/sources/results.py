@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from incident_stream.functions import month_label
 from incident_stream.schema import Contract
 from incident_stream.settings import FileStore, JdbcStore
-from incident_stream.streaming.sinks import LOG_ORDER
+from incident_stream.storage import Folder
+from incident_stream.streaming.sinks import LOG_ORDER, check_layout, log_folder, log_state
 
 
 def read_results(
@@ -16,28 +20,73 @@ def read_results(
     """Every row of the table: no filter, no order, no limit."""
     if isinstance(store, JdbcStore):
         return _read_jdbc(spark, store, contract)
-    stored = spark.read.parquet(store.path(contract.table))
-    if not set(LOG_ORDER) <= set(stored.columns):
-        return stored
-    return _latest(stored, contract)
+    if log_folder(spark, store, contract).exists():
+        check_layout(spark, store, contract, is_log=True)
+        return read_log(spark, store, contract)
+    if not Folder(spark, store.path(contract.table)).exists() and _has_runs(spark, store, contract):
+        return _empty(spark, contract)
+    return spark.read.parquet(store.path(contract.table))
+
+
+def _has_runs(spark: SparkSession, store: FileStore, contract: Contract) -> bool:
+    return Folder(spark, f"{store.path(contract.table)}_runs").exists()
+
+
+def _empty(spark: SparkSession, contract: Contract) -> DataFrame:
+    return spark.createDataFrame([], _ddl(contract))
+
+
+def _ddl(contract: Contract) -> str:
+    return ", ".join(f"{name} {kind}" for _, name, kind in contract.columns)
 
 
 def _read_jdbc(spark: SparkSession, store: JdbcStore, contract: Contract) -> DataFrame:
-    """One query per share of the districts, so that no single task reads the whole table. With
-    one connection it is one plain query, as a table needs that Spark itself has defined."""
+    """One query per share of the districts, so that no single task reads the whole table. A table
+    that Spark itself has defined has other column names and types, and is one plain query, and so
+    is any table with one connection."""
     n, table = store.connections, contract.table
-    if n == 1:
-        return spark.read.jdbc(store.url, table, properties=store.properties)
+    plain = spark.read.jdbc(store.url, table, properties=store.properties)
+    if n == 1 or dict(plain.dtypes).get("district") != "int":
+        return plain
     shares = [f"ABS(MOD(district, {n})) = {i}" for i in range(n)]
     shares[0] += " OR district IS NULL"
     return spark.read.jdbc(store.url, table, predicates=shares, properties=store.properties)
 
 
-def _latest(log: DataFrame, contract: Contract) -> DataFrame:
-    """The last written row of each key."""
-    order = [F.col(name).cast("bigint") for name in LOG_ORDER]  # from folder names
-    newest = F.max(F.struct(*order, *contract.values)).alias("newest")
-    kept = log.groupBy(*contract.key).agg(newest)
-    return kept.select(
-        [F.col(c) if c in contract.key else F.col(f"newest.{c}") for c in contract.names]
+def read_log(
+    spark: SparkSession, store: FileStore, contract: Contract, keep_order: bool = False
+) -> DataFrame:
+    """The last written row of each key, from the base and the finished batches beside it.
+
+    The order is one number, and a value that is text is derived from the key, so that all of it is
+    summed up by hash and nothing is sorted.
+    """
+    log = log_folder(spark, store, contract)
+    number, _, fresh = log_state(log)
+    order = ", ".join(f"{name} bigint" for name in LOG_ORDER)
+    parts = []
+    if number:
+        schema = f"{_ddl(contract)}, {order}"
+        parts.append(spark.read.schema(schema).parquet(f"{log.path}/base={number}"))
+    if fresh:
+        paths = [f"{log.path}/{place}" for place in fresh]
+        reader = spark.read.schema(f"{_ddl(contract)}, {order}").option("basePath", log.path)
+        parts.append(reader.parquet(*paths))
+    if not parts:
+        return spark.createDataFrame([], f"{_ddl(contract)}, {order}" if keep_order else _ddl(contract))
+    rows = reduce(DataFrame.unionByName, parts)
+    run, batch = LOG_ORDER
+    version = F.shiftleft(F.col(run), 32) + F.col(batch)
+    kinds = {name: kind for _, name, kind in contract.columns}
+    numbers = [c for c in contract.values if kinds[c] != "string"]
+    newest = rows.withColumn("version", version).groupBy(*contract.key).agg(
+        *[F.max_by(c, "version").alias(c) for c in numbers], F.max("version").alias("version")
     )
+    derived = {"year_month": month_label(F.col("window_start"))} if "window_start" in contract.key else {}
+    columns = [derived[c].alias(c) if c in contract.values and c in derived and kinds[c] == "string" else F.col(c) for c in contract.names]
+    if keep_order:
+        columns += [
+            F.shiftright("version", 32).alias(run),
+            F.col("version").bitwiseAND(F.lit((1 << 32) - 1)).alias(batch),
+        ]
+    return newest.select(columns)

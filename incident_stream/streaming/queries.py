@@ -1,27 +1,13 @@
-"""Start, identify and await streaming queries."""
+"""Start and await streaming queries."""
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 
-def run_number(spark: SparkSession, checkpoint: str) -> int:
-    """When the run with this checkpoint first started, in milliseconds.
-
-    Kept inside the checkpoint: a restart finds the number it had, and a run with a new
-    checkpoint, whose batches count from 0 again, gets a larger one.
-    """
-    place = f"{checkpoint}/run"
-    now = spark.range(1).select(F.lit(int(time.time() * 1000)).alias("started"))
-    now.write.mode("ignore").json(place)
-    return spark.read.schema("started bigint").json(place).first()["started"]
-
-
 def start_query(
     df: DataFrame,
     mode: str,

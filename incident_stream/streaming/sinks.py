@@ -4,78 +4,205 @@ Modes: `upsert` keeps the last row of every key and is what a query should use;
 empties the table and keeps its definition; `recreate` drops the table and lets Spark define it
 anew; `append` adds. With `replace` and `recreate` a table holds the last batch only, since a
 streaming query hands out closed or changed groups, never all of them.
+
+As files, an upserted table is a log in a folder of its own, `<table>_log`: a folder for each run
+and batch, which counts once Spark has put its success marker there. `fold` merges what has come
+in so far into a base.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from incident_stream.schema import Contract
 from incident_stream.settings import FileStore, JdbcStore
+from incident_stream.storage import Folder
 
 MODES = ("upsert", "replace", "recreate", "append")
 
-# Order of the entries of an upserted Parquet table: start of the run, then batch.
+# Order of the entries of an upserted Parquet table: number of the run, then batch.
 LOG_ORDER = ("run", "batch")
+MARKER = "_SUCCESS"
+REASON = "reason"
 
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
-    """Names, types and column order of the stored table; the district becomes an integer."""
-    kinds = dict(df.dtypes)
+    """Names, types and column order of the stored table; the district becomes an integer. Rows
+    with a `reject_reason` must be taken out before."""
+    return df.select(
+        [F.col(ours).cast(kind).alias(name) for ours, name, kind in contract.columns]
+    )
 
-    def stored_as(ours: str, kind: str) -> Column:
-        column = F.col(ours)
+
+def reject_reason(df: DataFrame, contract: Contract) -> Column:
+    """Why a row cannot be stored, null if it can: a number that is no whole one, or too large, in
+    a column of integers. Cut off, it would put two groups under one key."""
+    kinds = dict(df.dtypes)
+    reasons = []
+    for ours, _, kind in contract.columns:
         if kind == "int" and kinds[ours] == "double":
-            column = _whole(column, ours)
-        return column.cast(kind)
+            number = F.col(ours)
+            fits = (number == F.floor(number)) & number.between(-(2.0**31), 2.0**31 - 1)
+            text = F.concat(F.lit(f"{ours} is no whole number: "), number.cast("string"))
+            reasons.append(F.when(~fits, text))
+    return F.coalesce(*reasons, F.lit(None).cast("string"))
 
-    return df.select([stored_as(ours, kind).alias(name) for ours, name, kind in contract.columns])
 
+def claim_run(spark: SparkSession, store: FileStore | JdbcStore, contract: Contract) -> int:
+    """A number for a run that starts now, above those of all runs before it that wrote the table.
 
-def _whole(number: Column, name: str) -> Column:
-    """A fraction stops the batch: cut off, it would put two groups under one key."""
-    text = F.concat(F.lit(f"{name} is no whole number: "), number.cast("string"))
-    return F.when(number != F.floor(number), F.raise_error(text)).otherwise(number)
+    It is taken from the store, by making a file that must not be there yet: the order of runs does
+    not depend on clocks, a run that is resumed counts as the newest, and of two that start at the
+    same time each gets its own.
+    """
+    if not isinstance(store, FileStore):
+        return 0
+    folder = Folder(spark, f"{store.path(contract.table)}_runs")
+    number = max((int(n) for n in folder.names("*") if n.isdigit()), default=0) + 1
+    while not folder.claim(str(number)):
+        number += 1
+    return number
 
 
 def batch_writer(
-    store: FileStore | JdbcStore, contract: Contract, mode: str = "upsert", run: int = 0
+    store: FileStore | JdbcStore,
+    contract: Contract,
+    mode: str = "upsert",
+    run: int = 0,
+    name: str = "",
 ) -> Callable[[DataFrame, int], None]:
-    """The callback for `foreachBatch`. `run` orders the runs that write one Parquet table."""
+    """The callback for `foreachBatch`. `run` orders the runs that write one Parquet table; `name`
+    tells apart the queries that stage rows for one database table.
+
+    Rows that cannot be stored go to `<table>_rejected`, complete and with the reason, before the
+    others are written; the batch goes on.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch if mode == "recreate" else conform(batch, contract)
-        if isinstance(store, JdbcStore):
-            _write_jdbc(rows, store, contract, mode)
-        else:
-            _write_files(rows, store, contract, mode, run, batch_id)
+        if mode == "recreate":
+            _write(batch, store, contract, mode, run, batch_id, name)
+            return
+        marked = batch.withColumn(REASON, reject_reason(batch, contract)).persist()
+        try:
+            seen = Observation()
+            counted = marked.observe(seen, F.count(REASON).alias("bad"), F.count("*").alias("all"))
+            counted.write.format("noop").mode("overwrite").save()
+            if seen.get["bad"]:
+                rejected = marked.where(F.col(REASON).isNotNull())
+                _write_rejected(rejected, store, contract, run, batch_id)
+            if mode == "upsert" and seen.get["all"] == seen.get["bad"]:
+                return  # nothing to add
+            good = conform(marked.where(F.col(REASON).isNull()), contract)
+            _write(good, store, contract, mode, run, batch_id, name)
+        finally:
+            marked.unpersist()
 
     return write
 
 
-def _write_files(
-    rows: DataFrame, store: FileStore, contract: Contract, mode: str, run: int, batch_id: int
+def _write(
+    rows: DataFrame,
+    store: FileStore | JdbcStore,
+    contract: Contract,
+    mode: str,
+    run: int,
+    batch_id: int,
+    name: str,
 ) -> None:
-    path = store.path(contract.table)
-    if mode == "upsert":
-        # Each batch has a folder of its own: a batch that runs again after a failure writes the
-        # same folder anew, and nothing written before is read or rewritten.
-        rows.write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
+    if isinstance(store, JdbcStore):
+        _write_jdbc(rows, store, contract, mode, name)
+    else:
+        _write_files(rows, store, contract, mode, run, batch_id)
+
+
+def _write_rejected(
+    rows: DataFrame, store: FileStore | JdbcStore, contract: Contract, run: int, batch_id: int
+) -> None:
+    table = f"{contract.table}_rejected"
+    if isinstance(store, JdbcStore):
+        writer = rows.repartition(store.connections).write.mode("append")
+        writer.jdbc(store.url, table, properties=store.properties)
     else:
-        rows.write.mode("append" if mode == "append" else "overwrite").parquet(path)
+        place = f"{store.path(table)}/run={run}/batch={batch_id}"
+        rows.write.mode("overwrite").parquet(place)
+
+
+def log_folder(spark: SparkSession, store: FileStore, contract: Contract) -> Folder:
+    return Folder(spark, f"{store.path(contract.table)}_log")
+
+
+def check_layout(spark: SparkSession, store: FileStore, contract: Contract, is_log: bool) -> None:
+    """Refuse a table that was written the other way: as a log, or as plain files."""
+    other = f"{store.path(contract.table)}{'' if is_log else '_log'}"
+    if Folder(spark, other).exists():
+        modes = "upsert" if is_log else "append, replace or recreate"
+        raise ValueError(f"{other} exists: the table was not written with {modes}")
 
 
-def _write_jdbc(rows: DataFrame, store: JdbcStore, contract: Contract, mode: str) -> None:
+def _write_files(
+    rows: DataFrame, store: FileStore, contract: Contract, mode: str, run: int, batch_id: int
+) -> None:
+    spark = rows.sparkSession
+    check_layout(spark, store, contract, mode == "upsert")
+    if mode != "upsert":
+        rows.write.mode("append" if mode == "append" else "overwrite").parquet(
+            store.path(contract.table)
+        )
+        return
+    log = log_folder(spark, store, contract)
+    place = f"run={run}/batch={batch_id}"
+    # A batch that runs again after it was finished has the same rows; one that was not finished
+    # has no marker, so nobody reads what is overwritten.
+    if not log.exists(f"{place}/{MARKER}"):
+        rows.write.mode("overwrite").parquet(f"{log.path}/{place}")
+
+
+def fold(spark: SparkSession, store: FileStore, contract: Contract) -> int:
+    """Merge the base and all finished batches of an upserted table into a new base, and return
+    how many batches it took in. A running job goes on unaffected.
+
+    Rows keep the run and batch that they come from, so later batches of older runs are still
+    ordered as they were. The new base counts once its list of batches is there; then the batches
+    and the old base are deleted, which a reader that began before may notice as missing files.
+    """
+    from incident_stream.sources.results import read_log
+
+    log = log_folder(spark, store, contract)
+    number, covered, fresh = log_state(log)
+    if not fresh:
+        return 0
+    base = f"base={number + 1}"
+    merged = read_log(spark, store, contract, keep_order=True)
+    merged.write.mode("overwrite").parquet(f"{log.path}/{base}")
+    log.write_json(f"_base_{number + 1}.json", sorted(set(covered) | set(fresh)))
+    for place in [*fresh, *([f"base={number}"] if number else [])]:
+        log.delete(place)
+    return len(fresh)
+
+
+def log_state(log: Folder) -> tuple[int, list[str], list[str]]:
+    """Number of the current base (0: none), the batches in it, and the finished ones beside it."""
+    bases = [int(n[len("_base_") : -len(".json")]) for n in log.names("_base_*.json")]
+    number = max(bases, default=0)
+    covered = log.read_json(f"_base_{number}.json") if number else []
+    done = [n[: -len(MARKER) - 1] for n in log.names(f"run=*/batch=*/{MARKER}")]
+    return number, covered, sorted(set(done) - set(covered))
+
+
+def _write_jdbc(
+    rows: DataFrame, store: JdbcStore, contract: Contract, mode: str, name: str
+) -> None:
     # A shuffle, not coalesce: it bounds the number of connections without narrowing the stage
     # that updates the state.
     spread = rows.repartition(store.connections)
     if mode == "upsert":
-        staging = f"{contract.table}_staging"
+        # of its own for each query: two jobs may upsert into one table at the same time
+        staging = f"{contract.table}_staging{f'_{name}' if name else ''}"
         _overwrite(spread, store, staging, truncate=True)
         execute(rows.sparkSession, store, [merge_statement(contract, staging, store.dialect)])
     elif mode == "append":
@@ -109,9 +236,9 @@ def merge_statement(contract: Contract, staging: str, dialect: str) -> str:
     )
 
 
-# SQL types of the stored columns.
+# SQL types of the stored columns. A key column cannot be of unlimited length everywhere.
 _SQL_TYPES = {
-    "string": "VARCHAR(200)",
+    "string": "VARCHAR(4000)",
     "int": "INTEGER",
     "bigint": "BIGINT",
     "double": "DOUBLE PRECISION",

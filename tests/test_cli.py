@@ -62,10 +62,20 @@ def test_stores(monkeypatch):
         cli.store_of(args_of(*PROCESS))
 
 
+def test_results_need_a_folder_and_no_number_of_rows():
+    with pytest.raises(SystemExit):
+        args_of("results", "--results-dir", "r")
+    args = args_of("results", "--results-dir", "r", "--out-dir", "o", "--connections", "1")
+    assert args.rows is None and args.connections == 1
+    assert args_of(*PROCESS, "--results", "anomalies").results == ["anomalies"]
+    assert args_of(*PROCESS).results == ["aggregates", "anomalies"] and not args_of(*PROCESS).unique_codes
+
+
 def test_publish_process_show(spark, tmp_path, capsys):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text(
         f"{HEADER}\n1,2024-01-02,0110,True,False,9.0,,,\n2,2024-03-02,0486,True,False,9.0,,,\n"
+        + "".join(f"3,2024-03-02,0486,True,False,{100 + i},,,\n" for i in range(28))
     )
     (tmp_path / "codes.csv").write_text(
         "IUCR,PRIMARY DESCRIPTION,INDEX CODE\n0110,HOMICIDE,I\n0486,BATTERY,N\n"
@@ -94,6 +104,10 @@ def test_publish_process_show(spark, tmp_path, capsys):
             "--available-now",
         ]
     )
-    cli.main(["results", "--results-dir", results, "--delay", "A"])
+    cli.main(["fold", "--results-dir", results, "--delay", "A"])
+    out = str(tmp_path / "out")
+    cli.main(["results", "--results-dir", results, "--delay", "A", "--out-dir", out, "--rows", "5"])
     shown = capsys.readouterr().out
+    for table, rows in (("crime_aggregates", 30), ("crime_anomalies", 2)):
+        assert spark.read.csv(f"{out}/{table}", header=True).count() == rows
     assert "HOMICIDE" in shown and "2024-03" in shown and "100.0" in shown

@@ -7,7 +7,6 @@ from incident_stream.operators.enrich import (
     duplicate_codes,
     enrich,
     fill_unknown,
-    salts_for,
     table_bytes,
 )
 from incident_stream.plans.pipelines import enriched
@@ -66,39 +65,43 @@ def test_large_code_table_is_joined_by_shuffle(records, codes):
     assert rows(joined, "ID", "category", "index_code") == EXPECTED
 
 
-def test_number_of_salts():
-    assert salts_for(2_000, 20_000) == 20_000
-    assert salts_for(64 * 1024 * 1024, 20_000) == 16
-    assert salts_for(10 * 1024 * 1024 * 1024, 20_000) == 8
-    assert salts_for(0, 4) == 8
-
-
 def test_small_code_table_is_broadcast(records, codes):
     plan = enrich(records, codes)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
 
 
-def test_hot_code_is_spread_over_the_salts(spark, codes):
-    """Every second record carries one code and the others none at all: neither meets in one
-    task."""
-    hot = spark.range(0, 8000, 1, 16).select(
+@pytest.mark.parametrize("parts", [1, 3])
+def test_hot_code_is_spread_over_the_salts(spark, codes, parts):
+    """A third of the records carry one code and a third none, in few partitions, and nothing
+    adapts: both reach at least half as many tasks as there are salts."""
+    kind = F.col("id") % 3
+    hot = spark.range(0, 9000, 1, parts).select(
         F.col("id").cast("string").alias("ID"),
-        F.when(F.col("id") % 2 == 0, "110").alias("IUCR"),
+        F.when(kind == 0, "110").when(kind == 1, F.col("id").cast("string")).alias("IUCR"),
         F.lit(1.0).alias("District"),
         F.lit("2001-01").alias("year_month"),
     )
-    setting = "spark.sql.adaptive.coalescePartitions.enabled"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "false")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = enrich(hot, codes, broadcast_bytes=0, salts=16)
-        placed = joined.select("IUCR", F.spark_partition_id().alias("task"))
-        per_task = placed.groupBy("IUCR", "task").count()
-        found = per_task.groupBy("IUCR").agg(F.sum("count").alias("n"), F.count("*").alias("tasks"))
-        assert sorted(r["IUCR"] or "" for r in found.collect()) == ["", "110"]
-        assert all(r["n"] == 4000 and r["tasks"] >= 4 for r in found.collect())
+        joined = enrich(hot, codes, broadcast_bytes=0, salts=16, join_partitions=40)
+        placed = joined.select(
+            F.when(F.col("IUCR") == "110", "hot").when(F.col("IUCR").isNull(), "none").alias("kind"),
+            F.spark_partition_id().alias("task"),
+        )
+        found = placed.groupBy("kind").agg(F.count("*").alias("n"), F.countDistinct("task").alias("tasks"))
+        tasks = {r["kind"]: (r["n"], r["tasks"]) for r in found.collect()}
+        assert all(n == 3000 for n, _ in tasks.values())
+        assert tasks["hot"][1] >= 8 and tasks["none"][1] >= 8
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(IUCR" in plan and ", 40)" in plan
     finally:
-        spark.conf.set(setting, before)
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_a_batch_leaves_skew_to_adaptive_execution(records, codes):
+    plan = enrich(records, codes, broadcast_bytes=0)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Generate" not in plan and "salt" not in plan
 
 
 def test_duplicate_codes_multiply_and_are_reported(spark, records, codes):

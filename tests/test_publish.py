@@ -57,6 +57,32 @@ def test_only_csv_files_of_the_folder_itself(spark, tmp_path):
     assert lines_of(spark, tmp_path) == ["1"]
 
 
+def test_sub_folders_do_no_harm(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("h\n1\n")
+    (tmp_path / "x=1").mkdir()
+    (tmp_path / "x=1" / "b.csv").write_text("h\n2\n")
+    (tmp_path / ".hidden.csv").write_text("h\n3\n")
+    assert lines_of(spark, tmp_path) == ["1"]
+
+
+@pytest.mark.parametrize("on_error", ["fail", "skip"])
+def test_names_that_would_be_passed_over_are_an_error(spark, tmp_path, on_error):
+    (tmp_path / "a.csv").write_text("h\n1\n")
+    (tmp_path / "_b.csv").write_text("h\n2\n")
+    with pytest.raises(ValueError, match="_b.csv"):
+        file_lines(spark, str(tmp_path), on_error)
+    (tmp_path / "_b.csv").rename(tmp_path / "b.txt")
+    (tmp_path / "y.csv").mkdir()
+    with pytest.raises(ValueError, match="y.csv"):
+        publish_lines(spark, str(tmp_path), RecordSource.text(str(tmp_path / "out")), on_error)
+    assert not (tmp_path / "out").exists()
+
+
+def test_a_folder_without_csv_files(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("h\n1\n")
+    assert lines_of(spark, tmp_path) == []
+
+
 def test_missing_folder(spark, tmp_path):
     with pytest.raises(AnalysisException):
         file_lines(spark, str(tmp_path / "nowhere"))

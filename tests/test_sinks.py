@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 
@@ -6,11 +7,13 @@ from incident_stream.schema import ANOMALIES, MONTHLY, WINDOWED
 from incident_stream.settings import FileStore, JdbcStore, new_work_dir
 from incident_stream.sources.results import read_results
 from incident_stream.streaming import sinks
-from incident_stream.streaming.queries import run_number
 from incident_stream.streaming.sinks import (
     batch_writer,
+    claim_run,
     conform,
+    fold,
     merge_statement,
+    reject_reason,
     table_statement,
 )
 
@@ -54,19 +57,32 @@ MONTHLY_INPUT = [ours for ours, _, _ in MONTHLY.columns]
 
 
 def test_district_must_be_whole(spark):
-    rows = [("2001-01", "A", district, 1, 0, 0, 0) for district in (-1.0, 0.0, -0.0, 25.0, None)]
-    found = conform(spark.createDataFrame(rows, SCHEMA), MONTHLY).collect()
+    numbers = (-1.0, 0.0, -0.0, 25.0, None, 1.5, 1e10, float("inf"), float("nan"))
+    rows = [("2001-01", "A", district, 1, 0, 0, 0) for district in numbers]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    marked = frame.withColumn("reason", reject_reason(frame, MONTHLY))
+    assert [r["reason"] is None for r in marked.collect()] == [True] * 5 + [False] * 4
+    found = conform(marked.where("reason is null"), MONTHLY).collect()
     assert [r["district"] for r in found] == [-1, 0, 0, 25, None]
-    for bad in (1.5, 1e10, float("inf")):
-        row = [("2001-01", "A", bad, 1, 0, 0, 0)]
-        with pytest.raises(Exception, match="(?i)whole number|overflow"):
-            conform(spark.createDataFrame(row, SCHEMA), MONTHLY).collect()
+
+
+@pytest.mark.parametrize("mode", ["upsert", "append", "replace"])
+def test_rows_that_cannot_be_stored_are_kept_beside_the_table(spark, store, mode):
+    rows = [("2001-01", "A", d, 1, 2, 3, 4) for d in (7.5, 1.0, 1e10)]
+    batch_writer(store, MONTHLY, mode, run=2)(spark.createDataFrame(rows, SCHEMA), 3)
+    assert [r["district"] for r in read_results(spark, store, MONTHLY).collect()] == [1]
+    kept = spark.read.parquet(f"{store.path(MONTHLY.table)}_rejected").collect()
+    assert sorted((r["District"], r["total_crimes"], r["run"], r["batch"]) for r in kept) == [
+        (7.5, 1, 2, 3),
+        (1e10, 1, 2, 3),
+    ]
+    assert all("no whole number" in r["reason"] for r in kept)
 
 
 def test_keys():
     assert MONTHLY.key == ("year_month", "category", "district")
     assert WINDOWED.key == ("window_start", "category", "district")
-    assert ANOMALIES.key == ("window_start", "district")
+    assert ANOMALIES.key == ("window_start", "window_end", "threshold", "district")
     assert WINDOWED.names[:7] == MONTHLY.names
 
 
@@ -117,7 +133,7 @@ def test_upsert_of_a_repeated_batch_changes_nothing(spark, store):
     write(batch(spark, ("2001-01", 2)), 1)
     write(batch(spark, ("2001-01", 2)), 1)
     assert stored(spark, store) == {"2001-01": 2, "2001-02": 9}
-    assert spark.read.parquet(store.path(MONTHLY.table)).count() == 3
+    assert spark.read.parquet(f"{store.path(MONTHLY.table)}_log").count() == 3
 
 
 def test_later_run_wins_over_higher_batches_of_an_earlier_one(spark, store):
@@ -128,10 +144,91 @@ def test_later_run_wins_over_higher_batches_of_an_earlier_one(spark, store):
     assert stored(spark, store) == {"2001-01": 50}
 
 
-def test_run_number_stays_with_its_checkpoint(spark, tmp_path):
-    first = run_number(spark, str(tmp_path / "a"))
-    assert run_number(spark, str(tmp_path / "a")) == first
-    assert run_number(spark, str(tmp_path / "b")) > first
+def test_run_numbers_come_from_the_store(spark, store):
+    assert [claim_run(spark, store, MONTHLY) for _ in range(11)] == list(range(1, 12))
+    assert claim_run(spark, store, ANOMALIES) == 1
+
+
+def test_a_run_that_is_resumed_is_the_newest(spark, store):
+    old, new = (claim_run(spark, store, MONTHLY) for _ in range(2))
+    batch_writer(store, MONTHLY, run=old)(batch(spark, ("2001-01", 1)), 5)
+    batch_writer(store, MONTHLY, run=new)(batch(spark, ("2001-01", 2)), 0)
+    assert stored(spark, store) == {"2001-01": 2}
+    again = claim_run(spark, store, MONTHLY)
+    batch_writer(store, MONTHLY, run=again)(batch(spark, ("2001-01", 3)), 6)
+    assert stored(spark, store) == {"2001-01": 3}
+
+
+@pytest.mark.parametrize("first", sinks.MODES)
+@pytest.mark.parametrize("second", sinks.MODES)
+def test_a_table_that_is_written_in_two_modes(spark, store, first, second):
+    """Every row that the modes promise, or a clear refusal; nothing gets lost in silence."""
+    batch_writer(store, MONTHLY, first)(batch(spark, ("2001-01", 1)), 0)
+    write = batch_writer(store, MONTHLY, second)
+    if first != second and "upsert" in (first, second):
+        with pytest.raises(ValueError, match="was not written with"):
+            write(batch(spark, ("2001-02", 2)), 1)
+        assert stored(spark, store) == {"2001-01": 1}
+        return
+    if second == "append" and first == "recreate":
+        return  # columns of other names and types, which Spark itself tells apart
+    write(batch(spark, ("2001-02", 2)), 1)
+    kept = {"2001-01": 1} if second in ("append", "upsert") else {}
+    assert stored(spark, store) == kept | {"2001-02": 2}
+
+
+def test_a_batch_that_is_half_written_is_not_seen(spark, store):
+    write = batch_writer(store, MONTHLY, run=1)
+    write(batch(spark, ("2001-01", 1)), 0)
+    write(batch(spark, ("2001-01", 2), ("2001-02", 2)), 1)
+    half = f"{store.path(MONTHLY.table)}_log/run=1/batch=1/_SUCCESS"
+    os.remove(half)
+    assert stored(spark, store) == {"2001-01": 1}
+    write(batch(spark, ("2001-01", 3)), 1)
+    assert stored(spark, store) == {"2001-01": 3}
+
+
+def test_empty_batches_leave_nothing(spark, store):
+    claim_run(spark, store, MONTHLY)
+    write = batch_writer(store, MONTHLY, run=1)
+    write(batch(spark), 0)
+    assert stored(spark, store) == {}
+    assert not os.path.exists(f"{store.path(MONTHLY.table)}_log")
+    write(batch(spark, ("2001-01", 1)), 1)
+    assert stored(spark, store) == {"2001-01": 1}
+
+
+def test_folding_changes_nothing_that_is_read(spark, store):
+    """Also when an older run goes on afterwards: its batches keep their place."""
+    older = batch_writer(store, MONTHLY, run=1)
+    newer = batch_writer(store, MONTHLY, run=2)
+    older(batch(spark, ("2001-01", 1), ("2001-02", 1)), 0)
+    newer(batch(spark, ("2001-01", 2)), 0)
+    before = stored(spark, store)
+    assert fold(spark, store, MONTHLY) == 2
+    assert stored(spark, store) == before == {"2001-01": 2, "2001-02": 1}
+    assert fold(spark, store, MONTHLY) == 0
+    older(batch(spark, ("2001-01", 8), ("2001-02", 9)), 1)  # older than run 2
+    assert stored(spark, store) == {"2001-01": 2, "2001-02": 9}
+    newer(batch(spark, ("2001-03", 4)), 1)
+    assert fold(spark, store, MONTHLY) == 2
+    assert stored(spark, store) == {"2001-01": 2, "2001-02": 9, "2001-03": 4}
+    names = os.listdir(f"{store.path(MONTHLY.table)}_log")
+    assert "base=2" in names and "base=1" not in names
+
+
+@pytest.mark.parametrize("contract", [MONTHLY, WINDOWED, ANOMALIES])
+def test_reading_a_log_sorts_nothing(spark, store, contract):
+    columns = ", ".join(f"{ours} {'double' if kind == 'int' else kind}" for ours, _, kind in contract.columns)
+    months = dt.datetime(2024, 3, 5)
+    values = {"string": "2024-03", "int": 1.0, "bigint": 5, "double": 0.5, "timestamp": months}
+    row = tuple(values[kind] for _, _, kind in contract.columns)
+    batch_writer(store, contract)(spark.createDataFrame([row], columns), 0)
+    found = read_results(spark, store, contract)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+    assert found.columns == contract.names
+    assert tuple(found.first()) == tuple(1 if v == 1.0 else v for v in row)
 
 
 def test_unknown_mode(store):
@@ -142,13 +239,13 @@ def test_unknown_mode(store):
 def test_timestamps_survive_storage(spark, store):
     start = dt.datetime(2024, 1, 1)
     frame = spark.createDataFrame(
-        [(start, start + dt.timedelta(days=7), -1.0, 2, 5, 40.0)],
+        [(start, start + dt.timedelta(days=7), -1.0, 2, 5, 40.0, 33.0)],
         "window_start timestamp, window_end timestamp, District double, fbi_indexed bigint, "
-        "total_crimes bigint, pct_fbi double",
+        "total_crimes bigint, pct_fbi double, threshold double",
     )
     batch_writer(store, ANOMALIES)(frame, 0)
     (row,) = read_results(spark, store, ANOMALIES).collect()
-    assert tuple(row) == (start, start + dt.timedelta(days=7), -1, 2, 5, 40.0)
+    assert tuple(row) == (start, start + dt.timedelta(days=7), -1, 2, 5, 40.0, 33.0)
 
 
 # --- database: statements and calls only, no database is started here ------------------------
@@ -157,10 +254,10 @@ def test_timestamps_survive_storage(spark, store):
 def test_postgres_statement():
     assert merge_statement(ANOMALIES, "staged", "postgresql") == (
         "INSERT INTO crime_anomalies "
-        "(window_start, window_end, district, fbi_indexed, total_crimes, pct_fbi) "
-        "SELECT DISTINCT window_start, window_end, district, fbi_indexed, total_crimes, pct_fbi "
-        "FROM staged ON CONFLICT (window_start, district) DO UPDATE SET "
-        "window_end = EXCLUDED.window_end, fbi_indexed = EXCLUDED.fbi_indexed, "
+        "(window_start, window_end, district, fbi_indexed, total_crimes, pct_fbi, threshold) "
+        "SELECT DISTINCT window_start, window_end, district, fbi_indexed, total_crimes, pct_fbi, "
+        "threshold FROM staged ON CONFLICT (window_start, window_end, threshold, district) "
+        "DO UPDATE SET fbi_indexed = EXCLUDED.fbi_indexed, "
         "total_crimes = EXCLUDED.total_crimes, pct_fbi = EXCLUDED.pct_fbi"
     )
 
@@ -209,29 +306,42 @@ class Recorder:
         ("append", [("mode", "append"), "crime_aggregates"]),
         (
             "upsert",
-            [("mode", "overwrite"), ("option", "truncate", "true"), "crime_aggregates_staging"],
+            [("mode", "overwrite"), ("option", "truncate", "true"), "crime_aggregates_staging_q1"],
         ),
     ],
 )
 def test_calls_for_a_database(monkeypatch, mode, expected):
     db = JdbcStore("jdbc:postgresql://host/db", {"user": "u"}, connections=3)
     frame, executed = Recorder(), []
-    monkeypatch.setattr(sinks, "conform", lambda df, contract: df)
     monkeypatch.setattr(sinks, "execute", lambda spark, store, texts: executed.extend(texts))
-    batch_writer(db, MONTHLY, mode)(frame, 7)
+    sinks._write(frame, db, MONTHLY, mode, 0, 7, "q1")
     assert frame.calls[0] == ("repartition", 3)
     *options, table = expected
     assert frame.calls[1:-1] == options
     assert frame.calls[-1] == ("jdbc", db.url, table)
-    staged = merge_statement(MONTHLY, "crime_aggregates_staging", "postgresql")
+    staged = merge_statement(MONTHLY, "crime_aggregates_staging_q1", "postgresql")
     assert executed == ([staged] if mode == "upsert" else [])
 
 
 def test_reading_a_database_is_split_over_the_districts():
+    class Table(tuple):
+        dtypes = (("district", "int"),)
+
+    class Own(tuple):  # a table that Spark itself has defined
+        dtypes = (("District", "double"),)
+
     class Session:
         read = Recorder()
 
-    Session.read.jdbc = lambda url, table, predicates=None, properties=None: (table, predicates)
+    def reads(kind):
+        Session.read.jdbc = lambda url, table, predicates=None, properties=None: kind(
+            (table, predicates)
+        )
+
+    reads(Own)
+    recreated = read_results(Session, JdbcStore("jdbc:x:y", connections=2), ANOMALIES)
+    assert recreated == ("crime_anomalies", None)
+    reads(Table)
     table, shares = read_results(Session, JdbcStore("jdbc:x:y", connections=2), ANOMALIES)
     assert table == "crime_anomalies"
     assert shares == [
