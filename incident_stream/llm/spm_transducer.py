@@ -19,9 +19,12 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from operator import itemgetter
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -32,6 +35,7 @@ BLANK = "▁"
 UNIGRAM, MERGES = 1, 2
 CACHE_UNITS = 300_000
 CACHE_PAIRS = 2_000_000
+INFINITE = float("inf")
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -87,7 +91,6 @@ class Transducer:
         ]
         self.id_of = {model.id_to_piece(i): i for i in plain}
         self.score = {model.id_to_piece(i): model.get_score(i) for i in plain}
-        self.longest = max(map(len, self.id_of), default=1)
         self.fallback_weight = 10.0 - min(self.score.values(), default=0.0)
         # the bytes that each id stands for; ids that stand for nothing give none
         self.text_of = [b""] * n
@@ -105,8 +108,36 @@ class Transducer:
         self.unit = re.compile(
             f"{one}{BLANK}*[^{BLANK}{alone}]+|{BLANK}+" if split_blank else ".+", re.DOTALL
         )
-        self.allowed: dict[tuple[str, str], bool] = {}
+        # what has been worked out, in two generations: the older one goes when the newer is full
+        self.allowed: dict[str, dict[str, bool]] = {}
+        self.n_allowed = 0
         self.known: dict[str, bytes] = {}
+        self.known_before: dict[str, bytes] = {}
+
+    @property
+    def automaton(self) -> ahocorasick.Automaton:
+        """The part of the pieces: run over symbols, it names every piece that ends at each, with
+        its length and the weight of its arc. Made once for a set of pieces."""
+        made = self.__dict__.get("_made")
+        if made is None or made[0] is not self.id_of:
+            found = ahocorasick.Automaton()
+            for piece in self.id_of:
+                arc = 1.0 if self.kind == MERGES else -self.score[piece]
+                found.add_word(piece, (piece, len(piece), arc))
+            found.make_automaton()
+            made = self._made = (self.id_of, found)
+        return made[1]
+
+    def arcs(self, symbols: str) -> Iterable[tuple[int, tuple[str, int, float]]]:
+        """(last symbol, (piece, length, weight)) of the composition with an input, by their ends.
+        A symbol that is no piece has an arc of its own, that of the fallback."""
+        found = self.automaton.iter(symbols) if self.id_of else []
+        lone = set(symbols).difference(self.id_of)
+        if lone:
+            arc = 1.0 if self.kind == MERGES else self.fallback_weight
+            rest = [(i, (c, 1, arc)) for i, c in enumerate(symbols) if c in lone]
+            found = heapq.merge(found, rest, key=itemgetter(0))
+        return found
 
     # --- normaliser ---------------------------------------------------------------------------
 
@@ -148,14 +179,14 @@ class Transducer:
         return [p for p in parts if p is not None]
 
     def may_meet(self, left: str, right: str) -> bool:
-        """Weight of the transition: 0 if true, infinite if not. `left` is empty at the start."""
-        key = (left, right)
-        found = self.allowed.get(key)
-        if found is None:
-            if len(self.allowed) >= CACHE_PAIRS:
-                self.allowed.clear()
-            wanted = [left, right] if left else [right]
-            found = self.allowed[key] = self.merged(left + right) == wanted
+        """Weight of the transition: 0 if true, infinite if not. `left` is empty at the start. Notes
+        what it finds in `allowed`."""
+        if self.n_allowed >= CACHE_PAIRS:
+            self.allowed, self.n_allowed = {}, 0
+        wanted = [left, right] if left else [right]
+        found = self.merged(left + right) == wanted
+        self.allowed.setdefault(left, {})[right] = found
+        self.n_allowed += 1
         return found
 
     # --- shortest path ----------------------------------------------------------------------------
@@ -163,21 +194,22 @@ class Transducer:
     def shortest_path(self, symbols: str) -> list[str]:
         """The pieces, and single symbols of no piece, on the path of least weight."""
         n = len(symbols)
-        weight = [0.0] + [float("inf")] * n
+        weight = [0.0] + [INFINITE] * n
         last: list[str] = [""] * (n + 1)
-        id_of, merges = self.id_of, self.kind == MERGES
-        for end in range(1, n + 1):
-            for start in range(max(0, end - self.longest), end):
-                piece = symbols[start:end]
-                if piece in id_of:
-                    arc = 1.0 if merges else -self.score[piece]
-                elif start == end - 1:
-                    arc = 1.0 if merges else self.fallback_weight
-                else:
-                    continue
-                total = weight[start] + arc
-                if total < weight[end] and (not merges or self.may_meet(last[start], piece)):
-                    weight[end], last[end] = total, piece
+        merges = self.kind == MERGES
+        after: list[dict[str, bool]] = [self.allowed.setdefault("", {})] * (n + 1)
+        for end, (piece, size, arc) in self.arcs(symbols):
+            start = end + 1 - size
+            total = weight[start] + arc
+            if total < weight[end + 1]:
+                if merges:
+                    meets = after[start].get(piece)
+                    if meets is None:
+                        meets = self.may_meet(last[start], piece)
+                    if not meets:
+                        continue
+                    after[end + 1] = self.allowed.setdefault(piece, {})
+                weight[end + 1], last[end + 1] = total, piece
         path = []
         while n:
             path.append(last[n])
@@ -187,6 +219,10 @@ class Transducer:
     def ids_of(self, pieces: list[str]) -> list[int]:
         """Byte fallback: a symbol of no piece becomes the pieces of its bytes; without such
         pieces, a run of them becomes one unknown id."""
+        try:
+            return [self.id_of[piece] for piece in pieces]
+        except KeyError:  # a symbol of no piece
+            pass
         out: list[int] = []
         for piece in pieces:
             if piece in self.id_of:
@@ -202,10 +238,13 @@ class Transducer:
     def _unit(self, symbols: str) -> bytes:
         found = self.known.get(symbols)
         if found is None:
+            found = self.known_before.get(symbols)
+            if found is None:
+                ids = self.ids_of(self.shortest_path(symbols))
+                found = struct.pack(f"<{len(ids)}I", *ids)
             if len(self.known) >= CACHE_UNITS:
-                self.known.clear()
-            ids = self.ids_of(self.shortest_path(symbols))
-            found = self.known[symbols] = np.array(ids, dtype="<u4").tobytes()
+                self.known_before, self.known = self.known, {}
+            self.known[symbols] = found
         return found
 
     def encode(self, text: str) -> np.ndarray:
