@@ -249,7 +249,10 @@ class Transducer:
 
     def encode(self, text: str) -> np.ndarray:
         units = self.unit.findall(self.normalise(text))
-        return np.frombuffer(b"".join(map(self._unit, units)), dtype="<u4")
+        coded = list(map(self.known.get, units))
+        for i in [i for i, found in enumerate(coded) if found is None]:
+            coded[i] = self._unit(units[i])
+        return np.frombuffer(b"".join(coded), dtype="<u4")
 
     def decode(self, ids: np.ndarray) -> str:
         raw = b"".join(map(self.text_of.__getitem__, ids.tolist()))
