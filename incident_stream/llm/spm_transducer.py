@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 BLANK = "▁"
 UNIGRAM, MERGES = 1, 2
-CACHE_UNITS = 300_000
+CACHE_UNITS = 600_000
 CACHE_PAIRS = 2_000_000
 INFINITE = float("inf")
 
