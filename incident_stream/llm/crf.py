@@ -34,6 +34,8 @@ MIN_SUPPORT = 3
 MIN_GAIN = 0.01
 MIN_SHARE = 0.04
 MIN_PRECISION = 0.95
+# Words and stems of one length that may be expected to be taken by chance alone.
+MAX_CHANCE = 0.5
 THRESHOLD = 0.7
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -153,11 +155,24 @@ class Model:
         return both / (1 + both)
 
 
+def _beyond_chance(in_toxic: np.ndarray, in_clean: np.ndarray, toxic_share: float) -> np.ndarray:
+    """Which units stand in more toxic documents than chance explains, given how many units there
+    are to pick from: the probability of as many, bounded by Chernoff, times the number of units."""
+    n = in_toxic + in_clean
+    share = in_toxic / n
+    with np.errstate(divide="ignore", invalid="ignore"):
+        rest = np.where(in_clean > 0, in_clean * np.log((1 - share) / (1 - toxic_share)), 0.0)
+        apart = np.where(share > toxic_share, in_toxic * np.log(share / toxic_share) + rest, 0.0)
+    units = max(1, int((n >= MIN_SUPPORT).sum()))
+    return apart >= np.log(units / MAX_CHANCE)
+
+
 def token_labels(tokens: Tokens, toxic: np.ndarray) -> np.ndarray:
     """T for the tokens of toxic documents whose word or stem marks toxic documents nearly alone.
 
     Words and stems are taken in the order of how many toxic documents they newly explain; those in
-    MIN_SHARE of the toxic documents are taken in any case.
+    MIN_SHARE of the toxic documents are taken in any case. With few documents some of many rare
+    words stand in toxic ones only by chance; those are left out.
     """
     n_toxic, n_clean = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     n_docs = len(toxic)
@@ -170,6 +185,7 @@ def token_labels(tokens: Tokens, toxic: np.ndarray) -> np.ndarray:
         in_clean = np.bincount(unit[~toxic[doc]], minlength=len(known))
         share, clean_share = in_toxic / n_toxic, in_clean / n_clean
         telling = (share >= MIN_PRECISION * (share + clean_share)) & (in_toxic >= MIN_SUPPORT)
+        telling &= _beyond_chance(in_toxic, in_clean, n_toxic / n_docs)
         slot = np.cumsum(telling) - 1 + sum(map(len, able))
         able.append(share[telling] >= MIN_SHARE)
         use = toxic[doc] & telling[unit]

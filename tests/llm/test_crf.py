@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 import zlib
 
@@ -106,3 +107,29 @@ def test_without_labels(spark):
     assert crf.fit(docs, none) is None
     assert [r[1:] for r in rows_of(crf.tag(docs, None, carry=["doc_id"]))] == [(0.0, []), (0.0, [])]
     assert rows_of(crf.tag(documents(spark, []), None)) == []
+
+
+def test_words_in_toxic_documents_by_chance_are_not_labelled():
+    rng = random.Random(3)
+    toxic = np.arange(250) % 8 == 0
+    texts = []
+    for i in range(250):
+        words = [f"{rng.randrange(9000):x}q" for _ in range(60)]
+        texts.append(" ".join([*words, "foul"] if toxic[i] and i % 3 else words))
+    chunk, found = tokens(texts)
+    marked = np.flatnonzero(crf.token_labels(found, toxic))
+    assert {chunk.data[found.start[i] : found.end[i]].tobytes() for i in marked} == {b"foul"}
+    assert len(marked) == sum(t.endswith("foul") for t in texts)
+
+
+def test_bound_of_chance_against_the_binomial_tail():
+    units, share = 3000, 0.125
+    cases = [(t, n - t) for n in range(1, 40) for t in range(n + 1)]
+    in_toxic, in_clean = (np.array(x) for x in zip(*cases, *[(0, 3)] * units, strict=True))
+    taken = crf._beyond_chance(in_toxic, in_clean, share)
+    counted = int((in_toxic + in_clean >= crf.MIN_SUPPORT).sum())
+    for (t, c), found in zip(cases, taken, strict=False):
+        n = t + c
+        tail = sum(math.comb(n, k) * share**k * (1 - share) ** (n - k) for k in range(t, n + 1))
+        assert not found or tail * counted <= crf.MAX_CHANCE
+        assert found or tail * counted > crf.MAX_CHANCE / 40  # the bound is not far off
