@@ -30,7 +30,7 @@ END_ID = 1
 # Documents are packed together in groups of about so many ids, which bounds a task's memory.
 GROUP_IDS = 1 << 20
 STEP_IDS = 1 << 16
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def byte_symbols() -> dict[str, int]:
