@@ -5,7 +5,8 @@ each other when sorted by random hyperplane signatures, and refined: every node
 neighbours and those that have it as neighbour, and whoever finds a closer one this way takes it
 into its list, until hardly any list changes. A list whose neighbours all reach the threshold is
 saturated and grows; nodes that saturate even the largest list lie in a dense cluster and are
-compared with all nodes of their component, in blocks. Kept links are computed in double precision.
+compared with all nodes of their label, in blocks, but for blocks that their centre and radius prove
+out of reach. Kept links are computed in double precision.
 The recall is measured against brute force for a bounded sample of nodes; below the wanted value
 the search starts again with longer lists.
 """
@@ -14,11 +15,12 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incident_stream.llm.common import components, hash_sample, join_hot, written
@@ -33,6 +35,9 @@ NEXT = 4
 ROUNDS = 8
 SETTLED = 0.002
 BLOCK = 512
+CLUSTER = 8
+PAIRS = 64
+CENTRE_BYTES = 32 << 20
 AUDIT_NODES = 200
 MIN_RECALL = 0.97
 ATTEMPTS = 3
@@ -99,6 +104,8 @@ def _edge_batch(u, v, sim, new) -> pa.RecordBatch:
 
 
 _EDGES = "u bigint, v bigint, sim float, new boolean"
+# the columns of a block that are one entry per node
+_BLOCK = ["root", "node", "weight", "is_full", "vectors"]
 
 
 def _signed(tables: int, seed: int):
@@ -309,17 +316,25 @@ def _exact(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of components, in runs of up to BLOCK rows: rows come sorted by component, and full
-    nodes first."""
-
-    def block(root: int, rows: list[tuple], number: int) -> tuple:
-        node = np.array([r[0] for r in rows], "<i8")
-        weight = np.array([r[1] for r in rows], "<i8")
-        is_full = np.array([r[2] for r in rows], bool)
-        return root, number, bool(is_full.any()), node.tobytes(), weight.tobytes(), is_full.tobytes(), b"".join(r[3] for r in rows)
-
-    names = ["root", "number", "has_full", "node", "weight", "is_full", "vectors"]
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), *[pa.binary()] * 4]
+    """Nodes in runs of up to BLOCK rows of one group and cluster, by which rows come sorted, full
+    nodes first. A run with full nodes has their centre, and the widest angle from it to one."""
+
+    def block(group: str, rows: list[tuple], number: int) -> tuple:
+        root, node, weight = (np.array([r[i] for r in rows], "<i8") for i in range(3))
+        is_full = np.array([r[3] for r in rows], bool)
+        raw = b"".join(r[4] for r in rows)
+        centre = radius = None
+        if is_full.any():
+            x = np.frombuffer(raw).reshape(len(rows), -1)[is_full]
+            mean = x.mean(axis=0)
+            size = np.linalg.norm(mean)
+            centre = mean / size if size > 1e-6 else x[0]
+            radius = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+            centre = centre.tobytes()
+        return group, number, root.tobytes(), node.tobytes(), weight.tobytes(), is_full.tobytes(), raw, centre, radius
+
+    names = ["grp", "number", *_BLOCK, "centre", "radius"]
+    kinds = [pa.string(), pa.int64(), *[pa.binary()] * 6, pa.float64()]
     now, rows, made = None, [], []
 
     from pyspark import TaskContext
@@ -332,32 +347,104 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(columns, names)
 
     for batch in batches:
-        for root, node, weight, is_full, full in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if rows and (root != now or len(rows) == BLOCK):
-                made.append(block(now, rows, task + count))
+        for group, cluster, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if rows and ((group, cluster) != now or len(rows) == BLOCK):
+                made.append(block(now[0], rows, task + count))
                 rows, count = [], count + 1
-            now = root
-            rows.append((node, weight, is_full, full))
+            now = group, cluster
+            rows.append(tuple(row))
         if len(made) > 20:
             yield out()
             made = []
     if rows:
-        made.append(block(now, rows, task + count))
+        made.append(block(now[0], rows, task + count))
     if made:
         yield out()
 
 
+def _within_reach(centres: list[tuple[str, int, bytes, float]], threshold: float):
+    """The pairs of a block and a block of `centres` that may hold a link with a full node.
+
+    If x links with a node of a block, the angle from x to the block's centre is at most the
+    block's radius and the angle of the threshold together; other rows are out of reach.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reach = np.arccos(np.clip(threshold, -1, 1)) + 1e-6
+        by_group: dict[str, list[int]] = {}
+        for i, c in enumerate(centres):
+            by_group.setdefault(c[0], []).append(i)
+        sides = {}
+        for group, at in by_group.items():
+            angles = np.array([centres[i][3] for i in at]) + reach
+            least = np.where(angles < np.pi, np.cos(np.minimum(angles, np.pi)) - 1e-9, -np.inf)
+            number = np.array([centres[i][1] for i in at], np.int64)
+            sides[group] = number, _matrix([centres[i][2] for i in at], "<f8", np.float64), least
+        for batch in batches:
+            for group, number, vectors in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if group not in sides:
+                    continue
+                others, x, least = sides[group]
+                y = np.frombuffer(vectors).reshape(-1, x.shape[1])
+                met = np.concatenate(
+                    [(x[k : k + 1024] @ y.T >= least[k : k + 1024, None]).any(axis=1) for k in range(0, len(x), 1024)]
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.minimum(others[met], number), pa.int64()),
+                        pa.array(np.maximum(others[met], number), pa.int64()),
+                    ],
+                    ["number1", "number2"],
+                )
+
+    return run
+
+
+def _block_pairs(blocks: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (number1, number2) of blocks to compare. The centres are sent to the tasks in
+    portions of CENTRE_BYTES."""
+    full = blocks.where("centre is not null")
+    portions = 1 + (full.agg(F.sum(F.length("centre"))).first()[0] or 0) // CENTRE_BYTES
+    portion = F.pmod(F.xxhash64("number"), F.lit(portions))
+    pairs = None
+    for k in range(portions):
+        rows = full.where(portion == k).select("grp", "number", "centre", "radius").collect()
+        centres = [(r[0], r[1], bytes(r[2]), r[3]) for r in rows]
+        found = written(
+            blocks.select("grp", "number", "vectors").mapInArrow(
+                _within_reach(centres, threshold), "number1 bigint, number2 bigint"
+            )
+        )
+        pairs = found if pairs is None else pairs.union(found)
+    return written(pairs.distinct())
+
+
+def _with_block(pairs: DataFrame, blocks: DataFrame, side: int) -> DataFrame:
+    """`pairs` with the columns of the block of one side; a block that stands in many pairs is
+    copied for every PAIRS of them."""
+    number = f"number{side}"
+    salts = F.ceil(F.count("*") / F.lit(PAIRS)).cast("int").alias("salts")
+    uses = written(pairs.groupBy(number).agg(salts))
+    salted = pairs.join(uses, number).withColumn("salt", F.pmod(F.xxhash64("number1", "number2"), "salts").cast("int"))
+    columns = [F.col(c).alias(f"{c}{side}") for c in _BLOCK]
+    copies = blocks.select(F.col("number").alias(number), *columns).join(uses, number)
+    copies = copies.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    return salted.drop("salts").join(copies, [number, "salt"]).drop("salt")
+
+
 def _counted(threshold: float):
-    """For two blocks of one component: how many rows each node links with, where one is full."""
+    """For two blocks of one group: how many rows each node links with, where one is full; and
+    the components (node, other) that such links join."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for n1, n2, node1, w1, f1, x1, node2, w2, f2, x2 in zip(
+            for n1, n2, root1, node1, w1, f1, x1, root2, node2, w2, f2, x2 in zip(
                 *[c.to_pylist() for c in batch.columns], strict=True
             ):
                 a, b = np.frombuffer(node1, "<i8"), np.frombuffer(node2, "<i8")
                 wa, wb = np.frombuffer(w1, "<i8"), np.frombuffer(w2, "<i8")
                 fa, fb = np.frombuffer(f1, bool), np.frombuffer(f2, bool)
+                ra, rb = np.frombuffer(root1, "<i8"), np.frombuffer(root2, "<i8")
                 xa = np.frombuffer(x1).reshape(len(a), -1)
                 xb = np.frombuffer(x2).reshape(len(b), -1)
                 near = (xa @ xb.T >= threshold) & (fa[:, None] | fb[None, :])
@@ -370,29 +457,61 @@ def _counted(threshold: float):
                     links = np.concatenate((near @ wb, near.T @ wa))
                     classes = np.concatenate((near.sum(axis=1), near.sum(axis=0)))
                 some = classes > 0
+                n = int(some.sum())
+                i, j = np.nonzero(near & (ra[:, None] != rb[None, :]))
+                joined = np.unique(np.stack((ra[i], rb[j]), axis=1), axis=0)
+                none = np.zeros(len(joined), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[some]), pa.array(links[some]), pa.array(classes[some].astype(np.int64))],
-                    ["node", "links", "classes"],
+                    [
+                        pa.array(np.concatenate((node[some], joined[:, 0])), pa.int64()),
+                        pa.array(np.concatenate((links[some], none)), pa.int64()),
+                        pa.array(np.concatenate((classes[some], none)), pa.int64()),
+                        pa.array(np.concatenate((node[some], joined[:, 1])), pa.int64(), mask=np.arange(n + len(joined)) < n),
+                    ],
+                    ["node", "links", "classes", "other"],
                 )
 
     return run
 
 
+@contextmanager
+def _few_rows(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of a few rows, for rows that hold whole blocks."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, 32)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
+
+
 def _dense_links(members: DataFrame, threshold: float) -> DataFrame:
-    """(node, links, classes) over all pairs in a component of which one node is full."""
-    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["root", "whole", "node"]
+    """(node, links, classes) over all pairs in a group of which one node is full, and rows with
+    `other` for two components that such a pair joins.
+
+    `members` are all nodes of the groups that hold a full one.
+    """
+    spark = members.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = ["grp", "cluster", "whole", "root", "node"]
     ranged = members.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    ddl = "root bigint, number bigint, has_full boolean, node binary, weight binary, is_full binary, vectors binary"
+    ddl = f"grp string, number bigint, {', '.join(f'{c} binary' for c in _BLOCK)}, centre binary, radius double"
     blocks = written(
-        ranged.select("root", "node", "n", "is_full", "full").mapInArrow(_blocks, ddl)
+        ranged.select("grp", "cluster", "root", "node", "n", "is_full", "full").mapInArrow(_blocks, ddl)
     )
-    names = ["number", "has_full", "node", "weight", "is_full", "vectors"]
-    one, two = (blocks.select("root", *[F.col(c).alias(f"{c}{i}") for c in names]) for i in (1, 2))
-    pairs = one.join(two, "root").where("number1 <= number2 and (has_full1 or has_full2)")
-    columns = [f"{c}{i}" for i in (1, 2) for c in ("node", "weight", "is_full", "vectors")]
-    spread = pairs.select("number1", "number2", *columns).repartition(parts, "number1", "number2")
-    return spread.mapInArrow(_counted(threshold), "node bigint, links bigint, classes bigint")
+    with _few_rows(spark):
+        pairs = _block_pairs(blocks, threshold)
+        met = _with_block(_with_block(pairs, blocks, 1), blocks, 2)
+        columns = [f"{c}{i}" for i in (1, 2) for c in _BLOCK]
+        return written(
+            met.select("number1", "number2", *columns).mapInArrow(
+                _counted(threshold), "node bigint, links bigint, classes bigint, other bigint"
+            )
+        )
 
 
 def _audited(queries: list[tuple[int, str, bytes]], threshold: float):
@@ -444,33 +563,37 @@ def _recall(nodes: DataFrame, result: DataFrame, threshold: float) -> float:
     return 1.0 if not all_links else found / all_links
 
 
-def _node_links(nodes: DataFrame, plan: Plan, seed: int) -> DataFrame:
-    """(node, links, classes, root): rows and nodes that each node links with, and its component."""
+def _searched(nodes: DataFrame, plan: Plan, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The links (u, v) that the lists hold, and (node, n, root, is_full) of each node: its
+    component along these links, and whether its list has no room left above the threshold."""
     graph = neighbour_graph(nodes, plan, seed)
     likely = graph.where(F.col("sim") >= plan.threshold - MARGIN)
     pairs = likely.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     links = _exact(pairs, nodes, plan.threshold)
-    both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    # a node is full if its list has no room left above the threshold
     full = written(
         likely.groupBy("u").agg(F.count("*").alias("n")).where(F.col("n") >= plan.grown).select(F.col("u").alias("f"))
     )
     roots = written(components(links))
-    lists = nodes.select("node", "n", "full").join(roots, F.col("node") == F.col("id"), "left").join(
+    lists = nodes.select("node", "n").join(roots, F.col("node") == F.col("id"), "left").join(
         full, F.col("node") == F.col("f"), "left"
     )
-    known = written(
-        lists.select(
-            "node", "n", F.coalesce("component", "node").alias("root"), F.col("f").isNotNull().alias("is_full")
-        )
-    )
-    dense = known.where("is_full").select("root").distinct()
-    members = (
-        known.join(dense, "root")
-        .join(nodes.select("node", "full"), "node")
-        .withColumn("whole", ~F.col("is_full"))
+    known = lists.select(
+        "node", "n", F.coalesce("component", "node").alias("root"), F.col("f").isNotNull().alias("is_full")
     )
-    in_dense = _dense_links(members, plan.threshold)
+    return links, written(known)
+
+
+def _node_links(nodes: DataFrame, links: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """(node, links, classes, root, is_full): rows and nodes that each node links with, and its
+    component. Full nodes are compared with all nodes of their group."""
+    both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    sizes = written(known.groupBy("root").agg(F.count("*").alias("n_root"), F.max("is_full").alias("dense")))
+    clusters = sizes.where(F.col("dense") & (F.col("n_root") >= CLUSTER)).select("root", "n_root", F.col("root").alias("cluster"))
+    placed = join_hot(known, written(clusters), "root", ["cluster"], "n_root", ["node"])
+    at = placed.join(nodes.select("node", "grp", "full"), "node")
+    dense = known.where("is_full").join(nodes.select("node", "grp"), "node").select("grp").distinct()
+    members = at.join(dense, "grp").withColumn("whole", ~F.col("is_full"))
+    found = _dense_links(members, threshold)
     light = known.select("node", "n", "is_full")
     sparse = (
         both.join(light.select(F.col("node").alias("u"), F.col("is_full").alias("fu")), "u")
@@ -478,10 +601,15 @@ def _node_links(nodes: DataFrame, plan: Plan, seed: int) -> DataFrame:
         .where("not fu and not fv")
         .select(F.col("u").alias("node"), F.col("n").alias("links"), F.lit(1).cast("bigint").alias("classes"))
     )
+    in_dense = found.where("other is null").select("node", "links", "classes")
     sums = sparse.union(in_dense).groupBy("node").agg(
         F.sum("links").alias("links"), F.sum("classes").alias("classes")
     )
-    out = known.select("node", "root").join(sums, "node", "left")
+    joined = written(components(found.where("other is not null").select(F.col("node").alias("u"), F.col("other").alias("v"))))
+    joined = joined.join(sizes, F.col("id") == F.col("root")).select("root", "n_root", "component")
+    rooted = join_hot(known, written(joined), "root", ["component"], "n_root", ["node"])
+    root = F.coalesce("component", "root").alias("root")
+    out = rooted.select("node", root, "is_full").join(sums, "node", "left")
     return written(out.na.fill(0, ["links", "classes"]))
 
 
@@ -517,7 +645,8 @@ def near_duplicates(
     nodes = written(counted.withColumn("node", F.monotonically_increasing_id()))
     plan = Plan(threshold)
     for attempt in range(ATTEMPTS):
-        found = _node_links(nodes, plan, attempt)
+        links, known = _searched(nodes, plan, attempt)
+        found = _node_links(nodes, links, known, threshold)
         if _recall(nodes, found, threshold) >= MIN_RECALL:
             break
         plan = Plan(threshold, 2 * plan.neighbours, 2 * plan.grown, 2 * plan.tables)

@@ -64,6 +64,23 @@ def test_planted_pairs_chains_and_a_dense_cluster(spark):
     assert sorted(rows_of(nn_descent.near_duplicates(df)), key=repr) == expected(rows)
 
 
+def test_links_between_saturated_groups(spark):
+    """Two groups fill their lists each from itself; all links across are below those within."""
+    rng = np.random.default_rng(6)
+    one, other = np.eye(64)[0], np.eye(64)[1]
+    rows = [(n, rng.normal(size=64).astype(np.float32).tolist(), n % 2) for n in range(100)]
+    for side in (0.0, 0.33):
+        centre = np.cos(side) * one + np.sin(side) * other
+        rows += [(len(rows) + k, near(rng, centre, 0.01), 1) for k in range(250)]
+    x = np.array([r[1] for r in rows[100:]])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    cosine = x @ x.T
+    across = cosine[:250, 250:]
+    assert across.max() < min(cosine[:250, :250].min(), cosine[250:, 250:].min()) and (across >= 0.93).mean() > 0.5
+    df = spark.createDataFrame(rows, VECTORS).repartition(3)
+    assert sorted(rows_of(nn_descent.near_duplicates(df)), key=repr) == expected(rows)
+
+
 def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{MIDDLE}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     assert sorted(rows_of(op4_nn_descent(spark, MIDDLE)), key=repr) == expected(rows)
