@@ -7,8 +7,9 @@ into its list, until hardly any list changes. A list whose neighbours all reach
 saturated and grows; nodes that saturate even the largest list lie in a dense cluster and are
 compared with all nodes of their label, in blocks, but for blocks that their centre and radius prove
 out of reach. Kept links are computed in double precision.
-The recall is measured against brute force for a bounded sample of nodes; below the wanted value
-the search starts again with longer lists.
+The recall is measured against brute force for nodes drawn until enough true links have been seen;
+below the wanted value the search starts again with longer lists, and after the last attempt all
+nodes of a label are compared in blocks.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incident_stream.llm.common import components, hash_sample, join_hot, written
+from incident_stream.llm.common import components, join_hot, written
 
 THRESHOLD = 0.93
 # The search works with half precision; what it keeps has this margin and is then checked.
@@ -39,6 +40,8 @@ CLUSTER = 8
 PAIRS = 64
 CENTRE_BYTES = 32 << 20
 AUDIT_NODES = 200
+AUDIT_LINKS = 200
+AUDIT_BYTES = 8 << 20
 MIN_RECALL = 0.97
 ATTEMPTS = 3
 
@@ -529,12 +532,14 @@ def _audited(queries: list[tuple[int, str, bytes]], threshold: float):
                 if g in sides:
                     by_group.setdefault(g, []).append(i)
             for g, at in by_group.items():
-                q, x = sides[g]
                 y = _matrix([full[i] for i in at], "<f8", np.float64)
-                near = x @ y.T >= threshold
-                near &= q[:, None] != np.array([node[i] for i in at])[None, :]
-                for k, n in zip(q.tolist(), near.sum(axis=1).tolist(), strict=True):
-                    found[k] += n
+                others = np.array([node[i] for i in at])[None, :]
+                for k in range(0, len(sides[g][0]), 1024):
+                    q, x = (side[k : k + 1024] for side in sides[g])
+                    near = x @ y.T >= threshold
+                    near &= q[:, None] != others
+                    for one, n in zip(q.tolist(), near.sum(axis=1).tolist(), strict=True):
+                        found[one] += n
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())],
             ["node", "truth"],
@@ -543,26 +548,42 @@ def _audited(queries: list[tuple[int, str, bytes]], threshold: float):
     return run
 
 
-def _recall(nodes: DataFrame, result: DataFrame, threshold: float) -> float:
-    """Share of all links of the audited nodes that were found; every found link is a true one.
+def _recall_of(nodes: DataFrame, result: DataFrame, threshold: float) -> float:
+    """Share of the links of audited nodes of `result` that were found; found links are true ones.
 
-    The nodes are AUDIT_NODES of all, those first in the order of a hash; they are compared with
-    every node.
+    Nodes are taken in the order of a hash, AUDIT_NODES first and then more and more at a time,
+    until AUDIT_LINKS true links have been seen or no node is left; they are compared with every
+    node.
     """
-    keys = hash_sample(nodes.select("node"), "node", AUDIT_NODES, "audit")
-    sample = nodes.join(F.broadcast(keys), "node").select("node", "grp", "full").collect()
-    queries = [(r["node"], r["grp"], bytes(r["full"])) for r in sample]
-    if not queries:
-        return 1.0
-    truth = nodes.select("node", "grp", "full").mapInArrow(
-        _audited(queries, threshold), "node bigint, truth bigint"
-    )
-    truth = truth.groupBy("node").agg(F.sum("truth").alias("truth"))
-    met = F.broadcast(truth).join(result.select("node", "classes"), "node")
-    all_links, found = met.agg(F.sum("truth"), F.sum("classes")).first()
+    total = result.count()
+    width = nodes.agg(F.max(F.length("full"))).first()[0] or 1
+    most = max(AUDIT_NODES, AUDIT_BYTES // width)
+    place = F.shiftrightunsigned(F.xxhash64("node", F.lit("audit")), 1) / F.lit(float(1 << 63))
+    all_links = found = at = 0
+    step = AUDIT_NODES
+    while at < total and all_links < AUDIT_LINKS:
+        drawn = place >= at / total
+        if at + step < total:
+            drawn &= place < (at + step) / total
+        keys = result.where(drawn).select("node", "classes")
+        sample = nodes.join(F.broadcast(keys), "node").select("node", "grp", "full", "classes").collect()
+        queries = [(r["node"], r["grp"], bytes(r["full"])) for r in sample]
+        if queries:
+            truth = nodes.select("node", "grp", "full").mapInArrow(
+                _audited(queries, threshold), "node bigint, truth bigint"
+            )
+            all_links += truth.agg(F.sum("truth")).first()[0] or 0
+            found += sum(r["classes"] for r in sample)
+        at, step = at + step, min(4 * step, most)
     return 1.0 if not all_links else found / all_links
 
 
+def _recall(nodes: DataFrame, result: DataFrame, threshold: float) -> float:
+    """The lesser of the recalls of full nodes, which have many links each, and of all others."""
+    strata = [result.where("is_full"), result.where("not is_full")]
+    return min(_recall_of(nodes, stratum, threshold) for stratum in strata)
+
+
 def _searched(nodes: DataFrame, plan: Plan, seed: int) -> tuple[DataFrame, DataFrame]:
     """The links (u, v) that the lists hold, and (node, n, root, is_full) of each node: its
     component along these links, and whether its list has no room left above the threshold."""
@@ -650,6 +671,9 @@ def near_duplicates(
         if _recall(nodes, found, threshold) >= MIN_RECALL:
             break
         plan = Plan(threshold, 2 * plan.neighbours, 2 * plan.grown, 2 * plan.tables)
+    else:
+        # no search was good enough: compare all nodes of each group, in blocks
+        found = _node_links(nodes, links, known.withColumn("is_full", F.lit(True)), threshold)
     roots = found.join(nodes.select("node", "least"), "node").groupBy("root").agg(
         F.min("least").alias("component_id"), F.count("*").alias("n_root")
     )

@@ -81,6 +81,19 @@ def test_links_between_saturated_groups(spark):
     assert sorted(rows_of(nn_descent.near_duplicates(df)), key=repr) == expected(rows)
 
 
+def test_exact_after_failed_audits(spark, monkeypatch):
+    """A search that finds nothing, in a table where the first audited nodes have no links."""
+    monkeypatch.setattr(nn_descent, "ATTEMPTS", 1)
+    monkeypatch.setattr(nn_descent, "AUDIT_NODES", 5)
+    empty = spark.createDataFrame([], nn_descent._EDGES)
+    monkeypatch.setattr(nn_descent, "neighbour_graph", lambda nodes, plan, seed: empty)
+    rng = np.random.default_rng(8)
+    rows = [(n, rng.normal(size=64).astype(np.float32).tolist(), n % 2) for n in range(900)]
+    rows += [(900 + n, near(rng, rows[n][1], 0.08), n % 2) for n in range(9)]
+    df = spark.createDataFrame(rows, VECTORS).repartition(3)
+    assert sorted(rows_of(nn_descent.near_duplicates(df)), key=repr) == expected(rows)
+
+
 def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{MIDDLE}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     assert sorted(rows_of(op4_nn_descent(spark, MIDDLE)), key=repr) == expected(rows)
