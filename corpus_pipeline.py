@@ -57,7 +57,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 @job
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of a packed sequence."""
+    """One row per piece of a packed sequence, with its ids."""
     return packing.pack(
         docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
     )

@@ -243,7 +243,7 @@ class Packer:
         for doc, start, ids, n in window:
             crc = zlib.crc32(np.ascontiguousarray(ids, dtype="<u4").tobytes())
             self.rows.append(
-                (doc, start, len(ids), crc, n, self.next_id, offset, tier, self.counts[tier])
+                (doc, start, len(ids), crc, n, self.next_id, offset, tier, self.counts[tier], ids)
             )
             offset += len(ids)
         self.next_id += 1
@@ -264,17 +264,21 @@ _NAMES = [
     "offset",
     "tier",
     "tier_index",
+    "ids",
 ]
-_DDL = ", ".join(f"{name} bigint" for name in _NAMES) + ", part int"
+_DDL = ", ".join(f"{name} bigint" for name in _NAMES[:-1]) + ", ids array<int>, part int"
 
 _coders: dict[tuple[str, str], Coder] = {}
 
 
 def _packed(vocabulary: str, pattern: str, tiers: tuple[int, ...]):
     def batch_of(rows: list[tuple], part: int) -> pa.RecordBatch:
-        columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
+        *numbers, ids = zip(*rows, strict=True)
+        columns = [pa.array(c, pa.int64()) for c in numbers]
+        ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))
         return pa.RecordBatch.from_arrays(
-            [*columns, pa.array([part] * len(rows), pa.int32())], [*_NAMES, "part"]
+            [*columns, lists, pa.array([part] * len(rows), pa.int32())], [*_NAMES, "part"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,8 +314,9 @@ def pack(
     text_column: str = "text",
     tiers: tuple[int, ...] = TIERS,
 ) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and
-    the tier and step group of its sequence.
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, the
+    tier and step group of its sequence, and the ids. A sequence is the ids of its pieces in the
+    order of `offset`; what they lack of the tier's length is padding.
 
     `vocabulary` is the file of a byte-level vocabulary and `pattern` the pattern that goes with
     it. A null text counts as empty, and every document, also an empty one, ends with id 1.
@@ -336,5 +341,21 @@ def pack(
     number = F.col("windows_before") + F.col("tier_index")
     step = F.floor(number * F.col("tier") / F.lit(STEP_IDS)).cast("bigint")
     return found.join(F.broadcast(known), ["part", "tier"]).select(
-        *_NAMES[:8], step.alias("step_group")
+        *_NAMES[:8], step.alias("step_group"), "ids"
     )
+
+
+def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lists = batch.column(batch.num_columns - 1)
+        crcs = [zlib.crc32(one.values.to_numpy().astype("<u4").tobytes()) for one in lists]
+        columns = [*batch.columns[:-1], pa.array(crcs, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "ids_crc32"])
+
+
+def digested(pieces: DataFrame) -> DataFrame:
+    """`pieces` with the checksum of the ids in place of the ids."""
+    names = [c for c in pieces.columns if c not in ("ids", "ids_crc32")]
+    rows = pieces.select(*names, "ids")
+    ddl = ", ".join(f"{c} bigint" for c in names) + ", ids_crc32 bigint"
+    return rows.mapInArrow(_checksums, ddl).select([c for c in pieces.columns if c != "ids"])

@@ -93,11 +93,12 @@ def op6_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @job
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(
+    pieces = packing.pack(
         table(spark, sf_dir, "documents"),
         public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.PATTERN,
     )
+    return packing.digested(pieces)
 
 
 @job

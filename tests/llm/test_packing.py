@@ -115,3 +115,16 @@ def test_edges(spark, theirs):
 def test_rows_with_one_id(spark):
     rows = packing.pack(documents(spark, [(1, "a b"), (1, "a b"), (None, "c")]), VOCABULARY, public_tokenizers.PATTERN).collect()
     assert sorted((r["doc_id"] or 0, r["length"]) for r in rows) == [(0, 2), (1, 3), (1, 3)]
+
+
+def test_ids_of_pieces(spark, theirs):
+    texts = [None, "a b", prose(2, 5000), prose(3, 700)]
+    pieces = packing.pack(documents(spark, texts), VOCABULARY, public_tokenizers.PATTERN)
+    rows = pieces.collect()
+    for doc, text in enumerate(texts):
+        mine = sorted((r["start"], r["ids"]) for r in rows if r["doc_id"] == doc)
+        assert [i for _, ids in mine for i in ids] == [*theirs(text or ""), 1]
+    assert all(len(r["ids"]) == r["length"] for r in rows)
+    digests = packing.digested(pieces)
+    assert digests.columns == [c for c in pieces.columns if c != "ids"]
+    assert sorted(rows_of(digests)) == sorted(rows_of(pieces.drop("ids")))
