@@ -1,4 +1,29 @@
-"""The same results in SQL, for the query that SQL can express."""
+"""The same results in SQL, for the queries that SQL can express."""
+
+# One assignment of all parts to the entries of book{r}, and the book that follows from it.
+_ASSIGN = """
+near{r} AS MATERIALIZED (
+    SELECT p.n, p.part, min({{'d': CAST(list_sum(list_transform(list_zip(p.v, b.v),
+               lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS BIGINT), 'e': b.entry}}) AS best
+    FROM parts p JOIN book{r} b USING (part) GROUP BY p.n, p.part
+)"""
+_MOVE = """
+, spread{r} AS (
+    SELECT part, s.best.e AS entry, unnest(p.v) AS x, generate_subscripts(p.v, 1) AS place
+    FROM near{r} s JOIN parts p USING (n, part)
+), means{r} AS (
+    SELECT part, entry, place, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS mean
+    FROM spread{r} GROUP BY part, entry, place
+), book{q} AS MATERIALIZED (
+    SELECT b.part, b.entry, coalesce(m.v, b.v) AS v
+    FROM book{r} b LEFT JOIN (
+        SELECT part, entry, list(CAST(mean AS BIGINT) ORDER BY place) AS v FROM means{r} GROUP BY part, entry
+    ) m USING (part, entry)
+),"""
+_ROUNDS = 4
+_KMEANS = "".join(
+    _ASSIGN.format(r=r) + (_MOVE.format(r=r, q=r + 1) if r < _ROUNDS else "") for r in range(_ROUNDS + 1)
+)
 
 SQL = {
     "op6_preference": """
@@ -46,5 +71,47 @@ SELECT pair_id, CAST(n AS INTEGER) AS n_common,
                           + 13 + length(r[i].role) AS BIGINT)::VARCHAR || ':'
                || CAST(coalesce(list_sum(list_transform(rs[1:i], lambda s: length(s))), 0) - 1 AS BIGINT)::VARCHAR), ','), '') AS rejected_mask
 FROM drawn
+""",
+    "op11_maxscore": """
+WITH kept AS (
+    SELECT row_number() OVER () AS n, vec_id,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), met AS (
+    SELECT q.n, q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM kept q JOIN kept c ON q.n <> c.n
+    WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM met
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op13_value_dictionaries": f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS n, vec_id, label,
+           list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT n, part, v[part * len(v) // 4 + 1 : (part + 1) * len(v) // 4] AS v
+    FROM kept, (SELECT unnest(range(4)) AS part)
+), book0 AS MATERIALIZED (
+    SELECT part, n - 1 AS entry, v FROM parts WHERE n <= 256
+),{_KMEANS}
+, coded AS (
+    SELECT n, string_agg(format('{{:02x}}', best.e), '' ORDER BY part) AS code,
+           CAST(sum(best.d) AS BIGINT) AS error
+    FROM near{_ROUNDS} GROUP BY n
+), books AS (
+    SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256
+    FROM book{_ROUNDS}
+)
+SELECT vec_id, code, error,
+       CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (n), books
 """,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from incident_stream.llm import (
     crf,
     hilbert,
+    maxscore,
     nn_descent,
     packing,
     preference,
@@ -18,6 +19,7 @@ from incident_stream.llm import (
     simhash,
     spm_transducer,
     substring,
+    value_dictionaries,
     warc,
 )
 from incident_stream.llm.common import job, table, written
@@ -127,6 +129,19 @@ def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shard_by_curve(table(spark, sf_dir, "documents")).drop("curve")
 
 
+@job
+def op11_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return maxscore.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+@job
+def op13_value_dictionaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return value_dictionaries.with_label_errors(
+        *value_dictionaries.encode(table(spark, sf_dir, "embeddings"))
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_substring": op2_substring,
@@ -138,4 +153,6 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_toxicity": op9_toxicity,
     "op10_hilbert": op10_hilbert,
+    "op11_maxscore": op11_maxscore,
+    "op13_value_dictionaries": op13_value_dictionaries,
 }

@@ -1,0 +1,127 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from incident_stream.llm import maxscore, oracle
+from incident_stream.llm.queries import op11_maxscore
+from tests.compare import connect, differences
+from tests.llm.conftest import MIDDLE, SMALL
+
+VECTORS = "vec_id bigint, embedding array<float>, label int"
+
+
+def table_of(spark, rows, parts=3):
+    return spark.createDataFrame(rows, VECTORS).repartition(parts)
+
+
+def brute(rows, k=5, scale=256, every=50):
+    """Ids and scores per query row, by Python's integers."""
+    def whole(v):
+        if v is None or any(x is None or not np.isfinite(np.float32(x)) for x in v):
+            return None
+        return [int(np.floor(float(np.float32(x)) * scale)) for x in v]
+
+    kept = [(i, w) for i, v, _ in rows if (w := whole(v)) is not None]
+    out = []
+    for a, (i, q) in enumerate(kept):
+        if i is None or i % every:
+            continue
+        scored = [
+            (-max(-(2**63), min(2**63 - 1, sum(x * y for x, y in zip(q, c)))), j is None, j or 0, j)
+            for b, (j, c) in enumerate(kept)
+            if b != a
+        ]
+        for rank, (score, _, _, j) in enumerate(sorted(scored)[:k], 1):
+            out.append((i, rank, j, -score))
+    return sorted(out, key=str)
+
+
+def found(df, **options):
+    got = maxscore.top_k(df, F.col("vec_id") % 50 == 0, **options)
+    return sorted((tuple(r) for r in got.collect()), key=str)
+
+
+@pytest.mark.parametrize("sf", [SMALL, MIDDLE])
+def test_query_against_sql(spark, sf):
+    assert differences(spark, connect(sf), sf, op11_maxscore, oracle.SQL["op11_maxscore"]) is None
+
+
+def clustered(n, width, seed, ids=None):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(7, width))
+    near = centres[rng.integers(0, 7, n)] + 0.2 * rng.normal(size=(n, width))
+    near /= np.linalg.norm(near, axis=1, keepdims=True)
+    return [(i, [float(x) for x in v], 0) for i, v in zip(ids or range(n), near)]
+
+
+def test_many_shards_groups_and_parts(spark, monkeypatch):
+    monkeypatch.setattr(maxscore, "CELL_QUERIES", 3)
+    monkeypatch.setattr(maxscore, "GROUP_ROWS", 40)
+    monkeypatch.setattr(maxscore, "SHARD_ROWS", 20)
+    monkeypatch.setattr(maxscore, "BLOCK_ROWS", 2)
+    rows = clustered(400, 16, 1)
+    assert found(table_of(spark, rows, 9)) == brute(rows)
+
+
+def test_weak_terms_are_skipped_and_nothing_is_lost():
+    rows = clustered(3000, 32, 5)
+    cells = np.floor(256 * np.array([r[1] for r in rows])).astype(np.int64)
+    row = {
+        "number": 0,
+        "ids": list(range(20)),
+        "rows": list(range(20)),
+        "cells": maxscore.packed(cells[:20]),
+    }
+    q = maxscore._Queries(row, 5)
+    ids = np.arange(3000)
+    null = np.zeros(3000, bool)
+    pairs = []
+    for lo in range(0, 3000, 500):
+        of, at, score = maxscore._candidates(q, cells[lo : lo + 500].T, ids[lo : lo + 500])
+        pairs.append(len(of))
+        q.merge(of, score, ids[lo : lo + 500][at], null[lo : lo + 500][at])
+    true = cells[:20] @ cells.T
+    true[np.arange(20), np.arange(20)] = -(10**12)
+    for i in range(20):
+        best = sorted(range(3000), key=lambda j: (-true[i, j], j))[:5]
+        assert list(q.id[q.of == i]) == best
+        assert list(q.score[q.of == i]) == [true[i, j] for j in best]
+    assert pairs[-1] < 20 * 500 / 10
+
+
+def test_ties_repeated_rows_and_signs(spark):
+    rng = random.Random(5)
+    rows = [(i, [float(rng.randint(-1, 1)) for _ in range(4)], 0) for i in range(230)]
+    rows += [(50, [1.0, 1.0, 0.0, 0.0], 0), (50, [1.0, 1.0, 0.0, 0.0], 0), (None, [1.0] * 4, 1)]
+    rows += [(None, [1.0] * 4, None), (1000, [-1.0] * 4, 0), (1050, [0.0] * 4, 0)]
+    assert found(table_of(spark, rows)) == brute(rows)
+
+
+def test_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 2.0], 0), (50, None, 0), (100, [], 1), (150, [nan, 1.0], 1), (200, [inf, 0.0], 1),
+        (250, [1.0, None], 1), (300, [3.0, 4.0, 5.0], None), (1, [2.0], 0), (350, [0.5, 0.5], 0),
+    ]
+    assert found(table_of(spark, rows)) == brute(rows)
+    assert found(table_of(spark, [])) == []
+    assert found(table_of(spark, [(0, [1.0], 0)])) == []
+    assert found(table_of(spark, [(0, [1.0], 0), (7, [2.0], 0)])) == [(0, 1, 7, 256 * 512)]
+
+
+def test_large_numbers_are_exact_or_the_nearest(spark):
+    rows = [(0, [2.0**22, 3.0], 0), (1, [2.0**22, 5.0], 0), (2, [2.0**22, 6.0], 0), (3, [-(2.0**50), 0.0], 0)]
+    rows += [(50, [2.0**50, 1.0], 0), (4, [2.0**70, 1.0], 0)]
+    assert found(table_of(spark, rows)) == brute([r for r in rows if r[0] != 4])
+
+
+def test_clashing_columns_and_no_collecting_plan(spark):
+    rows = clustered(60, 4, 2)
+    df = table_of(spark, rows)
+    for name in ("cell", "kind", "score", "query_id", "rank", "asked", "id", "place"):
+        df = df.withColumn(name, F.lit("x"))
+    assert found(df) == brute(rows)
+    plan = maxscore.top_k(df, F.col("vec_id") % 50 == 0)._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
