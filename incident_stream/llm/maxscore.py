@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from incident_stream.llm.common import written
+from incident_stream.llm.ranking import Best, sortable
 from incident_stream.llm.vectors import EXACT, doubles, integers, listed, packed, unpacked, usable
 
 SHARD_ROWS = 2048
@@ -34,7 +35,6 @@ PROBES = 8
 _BLOCKS = (
     "kind int, number bigint, place bigint, ids array<bigint>, rows array<bigint>, cells binary"
 )
-_NONE = np.iinfo(np.int64).max
 
 
 def _blocks(scale: int, shard_rows: int, block_rows: int):
@@ -89,27 +89,17 @@ class _Queries:
 
     def __init__(self, row: dict, k: int) -> None:
         self.k, self.number = k, row["number"]
-        self.ids = np.asarray(row["ids"], dtype=np.int64)
+        self.ids = pa.array(row["ids"], pa.int64())
         self.rows = np.asarray(row["rows"], dtype=np.int64)
         self.weights = unpacked(row["cells"], len(self.rows))
-        n = len(self.rows)
         known = row.get("floors")
         # the k-th best score seen elsewhere: at least k other rows reach it
-        self.floor = np.full(n, -np.inf) if known is None else np.array(known, dtype=np.float64)
-        self.of, self.score = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.id, self.null = np.empty(0, np.int64), np.empty(0, bool)
-
-    def merge(self, of: np.ndarray, score: np.ndarray, id: np.ndarray, null: np.ndarray) -> None:
-        of, score = np.concatenate([self.of, of]), np.concatenate([self.score, score])
-        id, null = np.concatenate([self.id, id]), np.concatenate([self.null, null])
-        # ~score orders as -score does, and also exists for the least 64-bit number
-        order = np.lexsort((id, null, ~score, of))
-        of = of[order]
-        rank = np.arange(len(of)) - np.searchsorted(of, of)
-        order = order[rank < self.k]
-        self.of, self.score, self.id, self.null = of[rank < self.k], score[order], id[order], null[order]
-        last = np.flatnonzero(rank[rank < self.k] == self.k - 1)
-        self.floor[self.of[last]] = np.maximum(self.floor[self.of[last]], self.score[last])
+        floor = np.full(len(self.rows), -np.inf) if known is None else np.array(known, np.float64)
+        self.best = Best(k, floor)
+
+    @property
+    def floor(self) -> np.ndarray:
+        return self.best.floor
 
 
 def _candidates(
@@ -190,10 +180,10 @@ def _searched(k: int, seed: bool):
                 continue
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(q.rows[q.of]),
-                    pa.array(q.ids[q.of]),
-                    pa.array(q.id, mask=q.null),
-                    pa.array(q.score),
+                    pa.array(q.rows[q.best.of]),
+                    q.ids.take(pa.array(q.best.of)),
+                    q.best.ids(),
+                    pa.array(q.best.score),
                 ],
                 ["query_row", "query_id", "vec_id", "score"],
             )
@@ -208,15 +198,13 @@ def _searched(k: int, seed: bool):
                 if row["kind"] == 0:
                     blocks.append(_Queries(row, k))
                     continue
-                ids = pa.array(row["ids"], pa.int64())
-                null = np.asarray(ids.is_null())
-                id = np.asarray(ids.fill_null(_NONE))
+                id, null = sortable(pa.array(row["ids"], pa.int64()))
                 rows = np.asarray(row["rows"], dtype=np.int64)
                 columns = np.ascontiguousarray(unpacked(row["cells"], len(rows)).T)
                 for q in blocks:
                     of, at, score = _candidates(q, columns, rows)
                     if len(of):
-                        q.merge(of, score, id[at], null[at])
+                        q.best.add(of, score, id[at], null[at])
         yield from results(blocks)
 
     return search

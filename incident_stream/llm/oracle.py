@@ -88,6 +88,36 @@ WITH kept AS (
     SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM met
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op12_aho_rank": r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS d, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents WHERE text IS NOT NULL
+), items AS (
+    SELECT row_number() OVER () AS i, item_id,
+           list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms
+    FROM benchmark WHERE text IS NOT NULL
+), totals AS (
+    SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM docs WHERE len(terms) > 0
+), held AS (
+    SELECT d, any_value(doc_id) AS doc_id, any_value(len(terms)) AS n, term, count(*) AS tf
+    FROM (SELECT d, doc_id, terms, unnest(terms) AS term FROM docs) GROUP BY d, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM held, totals GROUP BY term
+), scored AS (
+    SELECT i, item_id, d, doc_id,
+           CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+    FROM (SELECT i, item_id, unnest(terms) AS term FROM items) JOIN held USING (term) JOIN weights USING (term), totals
+    GROUP BY i, item_id, d, doc_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
 """,
     "op13_value_dictionaries": f"""
 WITH kept AS MATERIALIZED (

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incident_stream.llm import (
+    aho_rank,
     crf,
     hilbert,
     maxscore,
@@ -135,6 +136,11 @@ def op11_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.top_k(vectors, F.col("vec_id") % 50 == 0)
 
 
+@job
+def op12_aho_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aho_rank.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @job
 def op13_value_dictionaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return value_dictionaries.with_label_errors(
@@ -154,5 +160,6 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_hilbert": op10_hilbert,
     "op11_maxscore": op11_maxscore,
+    "op12_aho_rank": op12_aho_rank,
     "op13_value_dictionaries": op13_value_dictionaries,
 }

@@ -81,13 +81,13 @@ def test_weak_terms_are_skipped_and_nothing_is_lost():
     for lo in range(0, 3000, 500):
         of, at, score = maxscore._candidates(q, cells[lo : lo + 500].T, ids[lo : lo + 500])
         pairs.append(len(of))
-        q.merge(of, score, ids[lo : lo + 500][at], null[lo : lo + 500][at])
+        q.best.add(of, score, ids[lo : lo + 500][at], null[lo : lo + 500][at])
     true = cells[:20] @ cells.T
     true[np.arange(20), np.arange(20)] = -(10**12)
     for i in range(20):
         best = sorted(range(3000), key=lambda j: (-true[i, j], j))[:5]
-        assert list(q.id[q.of == i]) == best
-        assert list(q.score[q.of == i]) == [true[i, j] for j in best]
+        assert list(q.best.id[q.best.of == i]) == best
+        assert list(q.best.score[q.best.of == i]) == [true[i, j] for j in best]
     assert pairs[-1] < 20 * 500 / 10
 
 
