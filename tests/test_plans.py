@@ -81,5 +81,8 @@ def test_streaming_plan(spark, tmp_path, capsys):
     plan = capsys.readouterr().out
     assert plan.count("from_csv(") == 1
     before_shuffle = plan[plan.index("Exchange hashpartitioning") :]
-    assert "partial_count" in before_shuffle and "BroadcastHashJoin" in before_shuffle
+    assert "partial_sum" in before_shuffle and "BroadcastHashJoin" in before_shuffle
+    # the windows are copied from the sums per day and task, not from records
+    order = [before_shuffle.index(node) for node in ("Expand", "EventTimeWatermark", "MapInArrow", "from_csv(")]
+    assert order == sorted(order)
     assert "Exchange" not in before_shuffle[10:].replace("BroadcastExchange", "")
