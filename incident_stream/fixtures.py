@@ -194,9 +194,12 @@ def replay(
     late: bool = False,
     store: FileStore | None = None,
     lines: Callable[[DataFrame], DataFrame] | None = None,
+    sink_mode: str = "upsert",
+    after: Callable[[FileStore], None] | None = None,
 ) -> FileStore:
     """Run the streaming job over fixture E, stopping and restarting it after every slice. `store`
-    takes the results of several such jobs; `lines` changes the fields of the fixture."""
+    takes the results of several such jobs; `lines` changes the fields of the fixture; `after` is
+    called after each start of the job."""
     work = new_work_dir(spark)
     code_file(spark, sf_dir).write.csv(f"{work}/codes", header=True)
     landing = f"{work}/landing"
@@ -212,11 +215,14 @@ def replay(
                 store,
                 f"{work}/checkpoints",
                 params,
+                sink_mode,
                 trigger={"availableNow": True},
                 results=results,
                 state_partitions=STATE_PARTITIONS,
             )
         )
+        if after:
+            after(store)
 
     land_in_slices(spark, sf_dir, landing, slices, advance, lines)
     if late:

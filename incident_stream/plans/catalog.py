@@ -154,6 +154,21 @@ def stream_monthly_late_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_results(spark, store, MONTHLY)
 
 
+def stream_monthly_added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts from a query without state: each batch stores its own, reading adds up."""
+    store = fixtures.replay(spark, sf_dir, Params("A"), ("aggregates",), sink_mode="add")
+    return read_results(spark, store, MONTHLY)
+
+
+def stream_monthly_late_added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With late lines, and the log folded after each start of the job."""
+    store = fixtures.replay(
+        spark, sf_dir, Params("A"), ("aggregates",), late=True, sink_mode="add",
+        after=lambda store: fold(spark, store, MONTHLY),
+    )
+    return read_results(spark, store, MONTHLY)
+
+
 def stream_two_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both results of one job, below each other."""
     params = Params("A", window_days=3, threshold=30.0)
@@ -245,6 +260,20 @@ def results_readback_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_results(spark, store, MONTHLY)
 
 
+def results_read_while_folding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A frame made after the second batch, read after the log has been folded twice."""
+    store = FileStore(f"{new_work_dir(spark)}/results")
+    write = batch_writer(store, MONTHLY)
+    orders = _orders(spark, sf_dir)
+    for number, records in enumerate([orders, orders.where(F.col("Arrest") == "True")]):
+        write(aggregate_monthly(records), number)
+    found = read_results(spark, store, MONTHLY)
+    fold(spark, store, MONTHLY)
+    write(aggregate_monthly(_events(spark, sf_dir)), 2)
+    fold(spark, store, MONTHLY)
+    return found
+
+
 def stream_anomalies_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 30 days, closed by the day of the same length after the last record."""
     params = Params("A", window_days=30, threshold=0)
@@ -314,6 +343,8 @@ STREAMING: dict[str, Query] = {
     "stream_anomalies_all_closed": stream_anomalies_all_closed,
     "stream_window30_closed": stream_window30_closed,
     "stream_monthly_upsert": stream_monthly_upsert,
+    "stream_monthly_added": stream_monthly_added,
+    "stream_monthly_late_added": stream_monthly_late_added,
     "stream_late_dropped": stream_late_dropped,
     "stream_monthly_late_counted": stream_monthly_late_counted,
     "stream_two_queries": stream_two_queries,
@@ -326,6 +357,7 @@ STORAGE: dict[str, Query] = {
     "publish_roundtrip": publish_roundtrip,
     "publish_beside_folders": publish_beside_folders,
     "results_readback_folded": results_readback_folded,
+    "results_read_while_folding": results_read_while_folding,
     "results_readback": results_readback,
     "results_readback_recreated": results_readback_recreated,
     "results_readback_upserted": results_readback_upserted,

@@ -297,4 +297,10 @@ SQL: dict[str, str] = {
     "results_readback_recreated": _monthly(CODES, EVENTS),
     "results_readback_upserted": UPSERTED,
     "results_readback_folded": UPSERTED,
+    "results_read_while_folding": UPSERTED,
 }
+
+# The same counts, kept without state.
+SQL["stream_monthly_added"] = SQL["stream_monthly_upsert"]
+SQL["stream_monthly_late_added"] = SQL["stream_monthly_late_counted"]
+

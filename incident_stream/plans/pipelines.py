@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import warnings
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from incident_stream.settings import (
 from incident_stream.sources.codes import normalize_codes, read_codes
 from incident_stream.sources.records import read_record_stream
 from incident_stream.streaming.queries import start_query
-from incident_stream.streaming.sinks import batch_writer, claim_run
+from incident_stream.streaming.sinks import batch_writer, claim_run, lineage_of
 
 # Output mode of each stored result.
 OUTPUT_MODES = {MONTHLY.table: "update", WINDOWED.table: "append", ANOMALIES.table: "append"}
@@ -54,6 +55,7 @@ def checkpoint_names(params: Params) -> dict[str, str]:
     days, share = params.window_days, repr(float(params.threshold))
     return {
         MONTHLY.table: "aggregates_A",
+        f"{MONTHLY.table} added": "aggregates_A_added",
         WINDOWED.table: "aggregates_C",
         ANOMALIES.table: f"anomalies_{params.delay}_D{days}_P{share}",
     }
@@ -93,6 +95,9 @@ def run(
     """Start the anomaly query and the aggregate query on one source. The two are independent:
     each reads the source itself and has its own watermark, state and checkpoint.
 
+    With `sink_mode="add"` the monthly counts need no state: every batch stores its own counts, and
+    reading adds them up. The other results are handed out once and are upserted in that mode.
+
     `state_partitions` is the number of state stores per query, in place of
     `spark.sql.shuffle.partitions`; a checkpoint keeps the number it was made with. It should
     follow the number of result keys: records are summed up per key before they are shuffled.
@@ -105,25 +110,47 @@ def run(
     if not unique_codes:
         warn_of_duplicates(codes)
     records = enriched(read_record_stream(spark, source), codes, unique=unique_codes)
-    wanted: list[tuple[DataFrame, Contract]] = []
+    wanted: list[tuple[DataFrame, Contract, str]] = []
+    rest_mode = "upsert" if sink_mode == "add" else sink_mode
     if "anomalies" in results:
         found = anomalies(records, params.window_days, params.threshold)
         share = F.lit(float(params.threshold)).alias("threshold")
-        wanted.append((found.select("*", share), ANOMALIES))
+        wanted.append((found.select("*", share), ANOMALIES, rest_mode))
     if "aggregates" in results:
-        wanted.append(aggregates_for(records, params))
+        adds = sink_mode == "add" and params.delay == "A"
+        if adds:
+            wanted.append((records, MONTHLY, "add"))
+        else:
+            wanted.append((*aggregates_for(records, params), rest_mode))
     names = checkpoint_names(params)
     started: list[StreamingQuery] = []
     try:
-        for frame, contract in wanted:
-            checkpoint = f"{checkpoint_root.rstrip('/')}/{names[contract.table]}"
-            number = claim_run(spark, store, contract)
-            writer = batch_writer(store, contract, sink_mode, number, staging_name(checkpoint))
-            mode = OUTPUT_MODES[contract.table]
+        for frame, contract, mode in wanted:
+            added = " added" if mode == "add" else ""
+            checkpoint = f"{checkpoint_root.rstrip('/')}/{names[contract.table + added]}"
+            writer = _writer(spark, store, contract, mode, checkpoint)
+            output = "append" if mode == "add" else OUTPUT_MODES[contract.table]
             with shuffle_partitions(spark, state_partitions):
-                started.append(start_query(frame, mode, writer, checkpoint, trigger))
+                started.append(start_query(frame, output, writer, checkpoint, trigger))
     except Exception:
         for query in started:
             query.stop()
         raise
     return started
+
+
+def _writer(
+    spark: SparkSession,
+    store: FileStore | JdbcStore,
+    contract: Contract,
+    mode: str,
+    checkpoint: str,
+) -> Callable[[DataFrame, int], None]:
+    name = staging_name(checkpoint)
+    if mode not in ("add", "append"):
+        return batch_writer(store, contract, mode, claim_run(spark, store, contract), name)
+    lineage = lineage_of(spark, store, contract, checkpoint)
+    write = batch_writer(store, contract, mode, lineage.number, f"{name}_{lineage.name[:12]}")
+    if mode == "append":
+        return write
+    return lambda batch, batch_id: write(aggregate_monthly(batch), batch_id)

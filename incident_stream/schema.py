@@ -34,11 +34,13 @@ DEFAULT_THRESHOLD = 40.0
 
 @dataclass(frozen=True)
 class Contract:
-    """A stored result: table name, (query column, stored column, type) triples, and the key."""
+    """A stored result: table name, (query column, stored column, type) triples, and the key.
+    `adds_up`: the values of a key are sums over its records, so those of two batches add up."""
 
     table: str
     columns: tuple[tuple[str, str, str], ...]
     key: tuple[str, ...]
+    adds_up: bool = False
 
     @property
     def names(self) -> list[str]:
@@ -66,6 +68,7 @@ MONTHLY = Contract(
         *_COUNTS,
     ),
     key=("year_month", "category", "district"),
+    adds_up=True,
 )
 
 # Two 30-day windows can start in one month, so the month label cannot be part of this key:

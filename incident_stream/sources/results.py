@@ -11,7 +11,8 @@ from incident_stream.functions import month_label
 from incident_stream.schema import Contract
 from incident_stream.settings import FileStore, JdbcStore
 from incident_stream.storage import Folder
-from incident_stream.streaming.sinks import LOG_ORDER, check_layout, log_folder, log_state
+from incident_stream.streaming.log import LOG_ORDER, Log, State, folder_of
+from incident_stream.streaming.sinks import check_layout
 
 
 def read_results(
@@ -20,9 +21,10 @@ def read_results(
     """Every row of the table: no filter, no order, no limit."""
     if isinstance(store, JdbcStore):
         return _read_jdbc(spark, store, contract)
-    if log_folder(spark, store, contract).exists():
-        check_layout(spark, store, contract, is_log=True)
-        return read_log(spark, store, contract)
+    log = Log(spark, store, contract)
+    if log.exists():
+        check_layout(spark, store, contract, "add" if log.is_added() else "upsert")
+        return read_log(spark, log, contract, log.state())
     if not Folder(spark, store.path(contract.table)).exists() and _has_runs(spark, store, contract):
         return _empty(spark, contract)
     return spark.read.parquet(store.path(contract.table))
@@ -54,36 +56,44 @@ def _read_jdbc(spark: SparkSession, store: JdbcStore, contract: Contract) -> Dat
 
 
 def read_log(
-    spark: SparkSession, store: FileStore, contract: Contract, keep_order: bool = False
+    spark: SparkSession, log: Log, contract: Contract, state: State, keep_order: bool = False
 ) -> DataFrame:
-    """The last written row of each key, from the base and the finished batches beside it.
+    """The last written row of each key, or, in a table that adds up, the sums of the newest lineage,
+    from the base and the finished batches beside it.
 
     The order is one number, and a value that is text is derived from the key, so that all of it is
     summed up by hash and nothing is sorted.
     """
-    log = log_folder(spark, store, contract)
-    number, _, fresh = log_state(log)
     order = ", ".join(f"{name} bigint" for name in LOG_ORDER)
+    schema = f"{_ddl(contract)}, {order}"
     parts = []
-    if number:
-        schema = f"{_ddl(contract)}, {order}"
-        parts.append(spark.read.schema(schema).parquet(f"{log.path}/base={number}"))
-    if fresh:
-        paths = [f"{log.path}/{place}" for place in fresh]
-        reader = spark.read.schema(f"{_ddl(contract)}, {order}").option("basePath", log.path)
-        parts.append(reader.parquet(*paths))
+    if state.number:
+        parts.append(spark.read.schema(schema).parquet(log.base_path(state.folder)))
+    if state.fresh:
+        paths = [f"{log.path}/{folder_of(place)}" for place in state.fresh]
+        parts.append(spark.read.schema(schema).option("basePath", log.path).parquet(*paths))
     if not parts:
-        return spark.createDataFrame([], f"{_ddl(contract)}, {order}" if keep_order else _ddl(contract))
+        return spark.createDataFrame([], schema if keep_order else _ddl(contract))
     rows = reduce(DataFrame.unionByName, parts)
     run, batch = LOG_ORDER
+    if log.is_added():
+        newest = max({*state.marks, *(place[0] for place in state.fresh)})
+        groups = rows.where(F.col(run) == newest).groupBy(*contract.key)
+        last = [F.lit(newest).cast("bigint").alias(run), F.max(batch).alias(batch)] if keep_order else []
+        return groups.agg(*[F.sum(c).alias(c) for c in contract.values], *last).select(
+            *contract.names, *(LOG_ORDER if keep_order else ())
+        )
     version = F.shiftleft(F.col(run), 32) + F.col(batch)
     kinds = {name: kind for _, name, kind in contract.columns}
-    numbers = [c for c in contract.values if kinds[c] != "string"]
+    # the month of a window is that of its start, which is part of the key
+    derived = {}
+    if "window_start" in contract.key and "year_month" in contract.values:
+        derived["year_month"] = month_label(F.col("window_start"))
+    stored = [c for c in contract.values if c not in derived]
     newest = rows.withColumn("version", version).groupBy(*contract.key).agg(
-        *[F.max_by(c, "version").alias(c) for c in numbers], F.max("version").alias("version")
+        *[F.max_by(c, "version").alias(c) for c in stored], F.max("version").alias("version")
     )
-    derived = {"year_month": month_label(F.col("window_start"))} if "window_start" in contract.key else {}
-    columns = [derived[c].alias(c) if c in contract.values and c in derived and kinds[c] == "string" else F.col(c) for c in contract.names]
+    columns = [derived.get(c, F.col(c)).cast(kinds[c]).alias(c) for c in contract.names]
     if keep_order:
         columns += [
             F.shiftright("version", 32).alias(run),

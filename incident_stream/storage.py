@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +32,11 @@ class Folder:
         found = [s.getPath().toString() for s in files.globStatus(place) or []]
         return sorted("/".join(f.split("/")[-depth:]) for f in found)
 
+    def modified(self, name: str) -> float:
+        """When the file was last written, in seconds of the clock of the store."""
+        files, place = self._at(name)
+        return files.getFileStatus(place).getModificationTime() / 1000
+
     def claim(self, name: str) -> bool:
         """Make a file; false if it is there already."""
         files, place = self._at(name)
@@ -43,14 +49,16 @@ class Folder:
         return True
 
     def write_json(self, name: str, value) -> None:
-        """A reader sees the whole file or none: it is written aside and renamed."""
+        """Make a file that must not be there yet. A reader sees all of it or none, and of two writers
+        one fails: it is written aside and renamed."""
         files, place = self._at(name)
-        _, aside = self._at(f"{name}.tmp")
+        _, aside = self._at(f"{name}.{uuid.uuid4().hex}.tmp")
         out = files.create(aside, True)
         out.write(bytearray(json.dumps(value).encode()))
         out.close()
         if not files.rename(aside, place):
-            raise OSError(f"{place} could not be written")
+            files.delete(aside, False)
+            raise FileExistsError(f"{place} could not be made")
 
     def read_json(self, name: str):
         files, place = self._at(name)

@@ -1,18 +1,22 @@
 """What happens with a micro-batch of results.
 
-Modes: `upsert` keeps the last row of every key and is what a query should use; `replace`
+Modes: `upsert` keeps the last row of every key and is what a query should use; `add` adds the
+counts of a batch to those of the batches before it, and needs no state in the query; `replace`
 empties the table and keeps its definition; `recreate` drops the table and lets Spark define it
-anew; `append` adds. With `replace` and `recreate` a table holds the last batch only, since a
+anew; `append` adds rows. With `replace` and `recreate` a table holds the last batch only, since a
 streaming query hands out closed or changed groups, never all of them.
 
-As files, an upserted table is a log in a folder of its own, `<table>_log`: a folder for each run
-and batch, which counts once Spark has put its success marker there. `fold` merges what has come
-in so far into a base.
+As files, a table that is upserted or added up is a log in a folder of its own, `<table>_log` (see
+`log.py`). In a database, what may not happen twice is written in one transaction with the number
+of the batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +24,13 @@ from pyspark.sql import functions as F
 from incident_stream.schema import Contract
 from incident_stream.settings import FileStore, JdbcStore
 from incident_stream.storage import Folder
+from incident_stream.streaming.log import KEEP_SECONDS, Log
 
-MODES = ("upsert", "replace", "recreate", "append")
-
-# Order of the entries of an upserted Parquet table: number of the run, then batch.
-LOG_ORDER = ("run", "batch")
-MARKER = "_SUCCESS"
+MODES = ("upsert", "add", "replace", "recreate", "append")
+LOGGED = ("upsert", "add")
 REASON = "reason"
+LINEAGE = "lineage.json"
+LEDGER = "incident_batches"
 
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
@@ -67,6 +71,27 @@ def claim_run(spark: SparkSession, store: FileStore | JdbcStore, contract: Contr
     return number
 
 
+@dataclass(frozen=True)
+class Lineage:
+    """All runs of a query on one checkpoint, by a number of the store and a name of its own. Of two
+    lineages that add to one Parquet table the one with the higher number counts."""
+
+    number: int
+    name: str
+
+
+def lineage_of(
+    spark: SparkSession, store: FileStore | JdbcStore, contract: Contract, checkpoint: str
+) -> Lineage:
+    """The lineage of a checkpoint, which is noted inside it: a checkpoint that is made anew begins a
+    new one, whatever it is called."""
+    folder = Folder(spark, checkpoint.rstrip("/"))
+    if not folder.exists(LINEAGE):
+        number = claim_run(spark, store, contract)
+        folder.write_json(LINEAGE, {"number": number, "name": uuid.uuid4().hex})
+    return Lineage(**folder.read_json(LINEAGE))
+
+
 def batch_writer(
     store: FileStore | JdbcStore,
     contract: Contract,
@@ -75,13 +100,19 @@ def batch_writer(
     name: str = "",
 ) -> Callable[[DataFrame, int], None]:
     """The callback for `foreachBatch`. `run` orders the runs that write one Parquet table; `name`
-    tells apart the queries that stage rows for one database table.
+    tells apart the queries that write one database table.
+
+    With `add`, `run` and `name` are those of the lineage: a batch that is repeated after a restart
+    has the same number and counts once. With `append`, a repeated batch is skipped in a database if
+    there is a name; files get its rows twice.
 
     Rows that cannot be stored go to `<table>_rejected`, complete and with the reason, before the
     others are written; the batch goes on.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    if mode == "add" and not contract.adds_up:
+        raise ValueError(f"the values of {contract.table} cannot be added up")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if mode == "recreate":
@@ -95,7 +126,7 @@ def batch_writer(
             if seen.get["bad"]:
                 rejected = marked.where(F.col(REASON).isNotNull())
                 _write_rejected(rejected, store, contract, run, batch_id)
-            if mode == "upsert" and seen.get["all"] == seen.get["bad"]:
+            if mode in LOGGED and seen.get["all"] == seen.get["bad"]:
                 return  # nothing to add
             good = conform(marked.where(F.col(REASON).isNull()), contract)
             _write(good, store, contract, mode, run, batch_id, name)
@@ -115,7 +146,7 @@ def _write(
     name: str,
 ) -> None:
     if isinstance(store, JdbcStore):
-        _write_jdbc(rows, store, contract, mode, name)
+        _write_jdbc(rows, store, contract, mode, name, batch_id)
     else:
         _write_files(rows, store, contract, mode, run, batch_id)
 
@@ -132,83 +163,80 @@ def _write_rejected(
         rows.write.mode("overwrite").parquet(place)
 
 
-def log_folder(spark: SparkSession, store: FileStore, contract: Contract) -> Folder:
-    return Folder(spark, f"{store.path(contract.table)}_log")
-
-
-def check_layout(spark: SparkSession, store: FileStore, contract: Contract, is_log: bool) -> None:
-    """Refuse a table that was written the other way: as a log, or as plain files."""
-    other = f"{store.path(contract.table)}{'' if is_log else '_log'}"
-    if Folder(spark, other).exists():
-        modes = "upsert" if is_log else "append, replace or recreate"
-        raise ValueError(f"{other} exists: the table was not written with {modes}")
+def check_layout(spark: SparkSession, store: FileStore, contract: Contract, mode: str) -> None:
+    """Refuse a table that was written in another way."""
+    log = Log(spark, store, contract)
+    if mode in LOGGED:
+        plain = store.path(contract.table)
+        if Folder(spark, plain).exists():
+            raise ValueError(f"{plain} exists: the table was not written with {mode}")
+        if log.exists() and log.is_added() != (mode == "add"):
+            raise ValueError(f"{log.path} was not written with {mode}")
+    elif log.exists():
+        raise ValueError(f"{log.path} exists: the table was not written with {mode}")
 
 
 def _write_files(
     rows: DataFrame, store: FileStore, contract: Contract, mode: str, run: int, batch_id: int
 ) -> None:
-    spark = rows.sparkSession
-    check_layout(spark, store, contract, mode == "upsert")
-    if mode != "upsert":
-        rows.write.mode("append" if mode == "append" else "overwrite").parquet(
-            store.path(contract.table)
-        )
+    check_layout(rows.sparkSession, store, contract, mode)
+    if mode in LOGGED:
+        Log(rows.sparkSession, store, contract).add(rows, (run, batch_id), mode == "add")
         return
-    log = log_folder(spark, store, contract)
-    place = f"run={run}/batch={batch_id}"
-    # A batch that runs again after it was finished has the same rows; one that was not finished
-    # has no marker, so nobody reads what is overwritten.
-    if not log.exists(f"{place}/{MARKER}"):
-        rows.write.mode("overwrite").parquet(f"{log.path}/{place}")
+    rows.write.mode("append" if mode == "append" else "overwrite").parquet(
+        store.path(contract.table)
+    )
 
 
-def fold(spark: SparkSession, store: FileStore, contract: Contract) -> int:
-    """Merge the base and all finished batches of an upserted table into a new base, and return
-    how many batches it took in. A running job goes on unaffected.
+def fold(
+    spark: SparkSession,
+    store: FileStore,
+    contract: Contract,
+    keep_seconds: float = KEEP_SECONDS,
+) -> int:
+    """Merge the base and all finished batches of a logged table into a new base, and return how
+    many batches it took in. A running job goes on unaffected.
 
     Rows keep the run and batch that they come from, so later batches of older runs are still
-    ordered as they were. The new base counts once its list of batches is there; then the batches
-    and the old base are deleted, which a reader that began before may notice as missing files.
+    ordered as they were. What the new base covers is deleted by a fold that finds it there for
+    `keep_seconds` or longer: until then, a DataFrame made before still reads in full.
     """
     from incident_stream.sources.results import read_log
 
-    log = log_folder(spark, store, contract)
-    number, covered, fresh = log_state(log)
-    if not fresh:
-        return 0
-    base = f"base={number + 1}"
-    merged = read_log(spark, store, contract, keep_order=True)
-    merged.write.mode("overwrite").parquet(f"{log.path}/{base}")
-    log.write_json(f"_base_{number + 1}.json", sorted(set(covered) | set(fresh)))
-    for place in [*fresh, *([f"base={number}"] if number else [])]:
-        log.delete(place)
-    return len(fresh)
-
-
-def log_state(log: Folder) -> tuple[int, list[str], list[str]]:
-    """Number of the current base (0: none), the batches in it, and the finished ones beside it."""
-    bases = [int(n[len("_base_") : -len(".json")]) for n in log.names("_base_*.json")]
-    number = max(bases, default=0)
-    covered = log.read_json(f"_base_{number}.json") if number else []
-    done = [n[: -len(MARKER) - 1] for n in log.names(f"run=*/batch=*/{MARKER}")]
-    return number, covered, sorted(set(done) - set(covered))
+    log = Log(spark, store, contract)
+    state = log.state()
+    if state.fresh:
+        log.publish(state, read_log(spark, log, contract, state, keep_order=True))
+    if log.exists():
+        log.clean(keep_seconds)
+    return len(state.fresh)
 
 
 def _write_jdbc(
-    rows: DataFrame, store: JdbcStore, contract: Contract, mode: str, name: str
+    rows: DataFrame, store: JdbcStore, contract: Contract, mode: str, name: str, batch_id: int
 ) -> None:
     # A shuffle, not coalesce: it bounds the number of connections without narrowing the stage
     # that updates the state.
     spread = rows.repartition(store.connections)
-    if mode == "upsert":
-        # of its own for each query: two jobs may upsert into one table at the same time
-        staging = f"{contract.table}_staging{f'_{name}' if name else ''}"
-        _overwrite(spread, store, staging, truncate=True)
-        execute(rows.sparkSession, store, [merge_statement(contract, staging, store.dialect)])
-    elif mode == "append":
+    if mode in ("replace", "recreate"):
+        _overwrite(spread, store, contract.table, truncate=mode == "replace")
+        return
+    if mode == "append" and not name:
         spread.write.mode("append").jdbc(store.url, contract.table, properties=store.properties)
+        return
+    if mode == "add" and not name:
+        raise ValueError("batches that add up in a database need the name of their query")
+    # of its own for each query: two jobs may write into one table at the same time
+    staging = f"{contract.table}_staging{f'_{name}' if name else ''}"
+    _overwrite(spread, store, staging, truncate=True)
+    if mode == "upsert":  # a repeated batch has the same rows, so it may be merged again
+        execute(rows.sparkSession, store, [merge_statement(contract, staging, store.dialect)])
+        return
+    if mode == "append":
+        statement = append_statement(contract, staging)
     else:
-        _overwrite(spread, store, contract.table, truncate=mode == "replace")
+        statement = merge_statement(contract, staging, store.dialect, add=True)
+    commit_once(rows.sparkSession, store, name, batch_id, [statement])
 
 
 def _overwrite(rows: DataFrame, store: JdbcStore, table: str, truncate: bool) -> None:
@@ -216,18 +244,26 @@ def _overwrite(rows: DataFrame, store: JdbcStore, table: str, truncate: bool) ->
     writer.jdbc(store.url, table, properties=store.properties)
 
 
-def merge_statement(contract: Contract, staging: str, dialect: str) -> str:
-    """One statement that moves the staged rows in. A task that ran twice can have staged its
-    rows twice, hence DISTINCT."""
+def append_statement(contract: Contract, staging: str) -> str:
+    columns = ", ".join(contract.names)
+    return f"INSERT INTO {contract.table} ({columns}) SELECT DISTINCT {columns} FROM {staging}"
+
+
+def merge_statement(contract: Contract, staging: str, dialect: str, add: bool = False) -> str:
+    """One statement that moves the staged rows in: the values of a known key are replaced or, with
+    `add`, added to. A task that ran twice can have staged its rows twice, hence DISTINCT."""
     columns = ", ".join(contract.names)
     if dialect == "postgresql":
-        updates = ", ".join(f"{c} = EXCLUDED.{c}" for c in contract.values)
+        old = f"{contract.table}." if add else ""
+        updates = ", ".join(
+            f"{c} = {f'{old}{c} + ' if add else ''}EXCLUDED.{c}" for c in contract.values
+        )
         return (
             f"INSERT INTO {contract.table} ({columns}) SELECT DISTINCT {columns} FROM {staging} "
             f"ON CONFLICT ({', '.join(contract.key)}) DO UPDATE SET {updates}"
         )
     matched = " AND ".join(f"t.{c} = s.{c}" for c in contract.key)
-    updates = ", ".join(f"t.{c} = s.{c}" for c in contract.values)
+    updates = ", ".join(f"t.{c} = {f't.{c} + ' if add else ''}s.{c}" for c in contract.values)
     fresh = ", ".join(f"s.{c}" for c in contract.names)
     return (
         f"MERGE INTO {contract.table} t USING (SELECT DISTINCT {columns} FROM {staging}) s "
@@ -255,12 +291,24 @@ def table_statement(contract: Contract, dialect: str) -> str:
     return f"CREATE TABLE {guard}{contract.table} ({columns}, PRIMARY KEY ({key}))"
 
 
+def ledger_statement(dialect: str) -> str:
+    """Definition of the ledger: the last batch of each query that is in its table."""
+    guard = "IF NOT EXISTS " if dialect == "postgresql" else ""
+    return (
+        f"CREATE TABLE {guard}{LEDGER} "
+        "(query_name VARCHAR(200) NOT NULL, batch_id BIGINT NOT NULL, PRIMARY KEY (query_name))"
+    )
+
+
 def create_tables(spark: SparkSession, store: JdbcStore, *contracts: Contract) -> None:
-    execute(spark, store, [table_statement(c, store.dialect) for c in contracts])
+    tables = [table_statement(c, store.dialect) for c in contracts]
+    execute(spark, store, [*tables, ledger_statement(store.dialect)])
 
 
-def execute(spark: SparkSession, store: JdbcStore, statements: list[str]) -> None:
-    """Run statements in one transaction, over the JDBC driver on the Spark driver's class path."""
+@contextmanager
+def transaction(spark: SparkSession, store: JdbcStore) -> Iterator:
+    """A connection over the JDBC driver on the Spark driver's class path. What is done inside is
+    committed as one, or, after an error, not at all."""
     jvm = spark.sparkContext._jvm
     settings = jvm.java.util.Properties()
     for name, value in store.properties.items():
@@ -270,9 +318,46 @@ def execute(spark: SparkSession, store: JdbcStore, statements: list[str]) -> Non
     connection = jvm.java.sql.DriverManager.getConnection(store.url, settings)
     try:
         connection.setAutoCommit(False)
+        try:
+            yield connection
+            connection.commit()
+        except BaseException:
+            connection.rollback()
+            raise
+    finally:
+        connection.close()
+
+
+def execute(spark: SparkSession, store: JdbcStore, statements: list[str]) -> None:
+    """Run statements in one transaction."""
+    with transaction(spark, store) as connection:
         statement = connection.createStatement()
         for text in statements:
             statement.executeUpdate(text)
-        connection.commit()
-    finally:
-        connection.close()
+
+
+def commit_once(
+    spark: SparkSession, store: JdbcStore, name: str, batch_id: int, statements: list[str]
+) -> bool:
+    """Run the statements of a batch and enter it in the ledger, in one transaction. A batch that is
+    entered already is left out. A query writes its batches in their order, so the ledger holds the
+    last one only."""
+    with transaction(spark, store) as connection:
+        asked = connection.prepareStatement(f"SELECT batch_id FROM {LEDGER} WHERE query_name = ?")
+        asked.setString(1, name)
+        found = asked.executeQuery()
+        known = found.getLong(1) if found.next() else None
+        if known is not None and known >= batch_id:
+            return False
+        statement = connection.createStatement()
+        for text in statements:
+            statement.executeUpdate(text)
+        if known is None:
+            entry = f"INSERT INTO {LEDGER} (batch_id, query_name) VALUES (?, ?)"
+        else:
+            entry = f"UPDATE {LEDGER} SET batch_id = ? WHERE query_name = ?"
+        entered = connection.prepareStatement(entry)
+        entered.setLong(1, batch_id)
+        entered.setString(2, name)
+        entered.executeUpdate()
+    return True

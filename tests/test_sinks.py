@@ -1,3 +1,4 @@
+import contextlib
 import datetime as dt
 import os
 
@@ -8,10 +9,13 @@ from incident_stream.settings import FileStore, JdbcStore, new_work_dir
 from incident_stream.sources.results import read_results
 from incident_stream.streaming import sinks
 from incident_stream.streaming.sinks import (
+    append_statement,
     batch_writer,
     claim_run,
+    commit_once,
     conform,
     fold,
+    ledger_statement,
     merge_statement,
     reject_reason,
     table_statement,
@@ -165,7 +169,7 @@ def test_a_table_that_is_written_in_two_modes(spark, store, first, second):
     """Every row that the modes promise, or a clear refusal; nothing gets lost in silence."""
     batch_writer(store, MONTHLY, first)(batch(spark, ("2001-01", 1)), 0)
     write = batch_writer(store, MONTHLY, second)
-    if first != second and "upsert" in (first, second):
+    if first != second and set(sinks.LOGGED) & {first, second}:
         with pytest.raises(ValueError, match="was not written with"):
             write(batch(spark, ("2001-02", 2)), 1)
         assert stored(spark, store) == {"2001-01": 1}
@@ -173,7 +177,7 @@ def test_a_table_that_is_written_in_two_modes(spark, store, first, second):
     if second == "append" and first == "recreate":
         return  # columns of other names and types, which Spark itself tells apart
     write(batch(spark, ("2001-02", 2)), 1)
-    kept = {"2001-01": 1} if second in ("append", "upsert") else {}
+    kept = {"2001-01": 1} if second in ("append", "upsert", "add") else {}
     assert stored(spark, store) == kept | {"2001-02": 2}
 
 
@@ -211,7 +215,7 @@ def test_folding_changes_nothing_that_is_read(spark, store):
     older(batch(spark, ("2001-01", 8), ("2001-02", 9)), 1)  # older than run 2
     assert stored(spark, store) == {"2001-01": 2, "2001-02": 9}
     newer(batch(spark, ("2001-03", 4)), 1)
-    assert fold(spark, store, MONTHLY) == 2
+    assert fold(spark, store, MONTHLY, keep_seconds=0) == 2
     assert stored(spark, store) == {"2001-01": 2, "2001-02": 9, "2001-03": 4}
     names = os.listdir(f"{store.path(MONTHLY.table)}_log")
     assert "base=2" in names and "base=1" not in names
@@ -303,7 +307,14 @@ class Recorder:
             "recreate",
             [("mode", "overwrite"), ("option", "truncate", "false"), "crime_aggregates"],
         ),
-        ("append", [("mode", "append"), "crime_aggregates"]),
+        (
+            "append",
+            [("mode", "overwrite"), ("option", "truncate", "true"), "crime_aggregates_staging_q1"],
+        ),
+        (
+            "add",
+            [("mode", "overwrite"), ("option", "truncate", "true"), "crime_aggregates_staging_q1"],
+        ),
         (
             "upsert",
             [("mode", "overwrite"), ("option", "truncate", "true"), "crime_aggregates_staging_q1"],
@@ -312,15 +323,118 @@ class Recorder:
 )
 def test_calls_for_a_database(monkeypatch, mode, expected):
     db = JdbcStore("jdbc:postgresql://host/db", {"user": "u"}, connections=3)
-    frame, executed = Recorder(), []
+    frame, executed, once = Recorder(), [], []
     monkeypatch.setattr(sinks, "execute", lambda spark, store, texts: executed.extend(texts))
+    monkeypatch.setattr(sinks, "commit_once", lambda spark, store, *entry: once.append(entry))
     sinks._write(frame, db, MONTHLY, mode, 0, 7, "q1")
     assert frame.calls[0] == ("repartition", 3)
     *options, table = expected
     assert frame.calls[1:-1] == options
     assert frame.calls[-1] == ("jdbc", db.url, table)
-    staged = merge_statement(MONTHLY, "crime_aggregates_staging_q1", "postgresql")
+    staging = "crime_aggregates_staging_q1"
+    staged = merge_statement(MONTHLY, staging, "postgresql")
     assert executed == ([staged] if mode == "upsert" else [])
+    added = merge_statement(MONTHLY, staging, "postgresql", add=True)
+    wanted = {"add": [added], "append": [append_statement(MONTHLY, staging)]}
+    assert once == ([("q1", 7, wanted[mode])] if mode in wanted else [])
+
+
+def test_calls_for_a_database_without_a_name(monkeypatch):
+    db, frame = JdbcStore("jdbc:postgresql://host/db"), Recorder()
+    sinks._write(frame, db, MONTHLY, "append", 0, 7, "")
+    assert frame.calls[-1] == ("jdbc", db.url, "crime_aggregates")
+    with pytest.raises(ValueError, match="name"):
+        sinks._write(frame, db, MONTHLY, "add", 0, 7, "")
+
+
+def test_statements_that_add():
+    assert merge_statement(MONTHLY, "staged", "postgresql", add=True).endswith(
+        "DO UPDATE SET total_crimes = crime_aggregates.total_crimes + EXCLUDED.total_crimes, "
+        "arrests = crime_aggregates.arrests + EXCLUDED.arrests, "
+        "domestics = crime_aggregates.domestics + EXCLUDED.domestics, "
+        "fbi_indexed = crime_aggregates.fbi_indexed + EXCLUDED.fbi_indexed"
+    )
+    assert "UPDATE SET t.total_crimes = t.total_crimes + s.total_crimes" in merge_statement(
+        MONTHLY, "staged", "derby", add=True
+    )
+    assert append_statement(MONTHLY, "staged").startswith(
+        "INSERT INTO crime_aggregates (year_month, category, district, total_crimes, arrests, "
+    )
+    assert ledger_statement("postgresql") == (
+        "CREATE TABLE IF NOT EXISTS incident_batches (query_name VARCHAR(200) NOT NULL, "
+        "batch_id BIGINT NOT NULL, PRIMARY KEY (query_name))"
+    )
+
+
+class Ledger:
+    """Stands in for a connection: notes what is committed, and holds the ledger."""
+
+    def __init__(self, fail=False):
+        self.entries, self.log, self.fail = {}, [], fail
+
+    def begin(self, *_):
+        return contextlib.contextmanager(self._transaction)()
+
+    def _transaction(self):
+        before, self.pending = dict(self.entries), []
+        try:
+            yield self
+            self.log += self.pending
+        except BaseException:
+            self.entries = before
+            raise
+
+    def createStatement(self):
+        return self
+
+    def executeUpdate(self, text):
+        if self.fail:
+            raise RuntimeError("lost")
+        self.pending.append(text)
+
+    def prepareStatement(self, text):
+        return Prepared(self, text)
+
+
+class Prepared:
+    def __init__(self, ledger, text):
+        self.ledger, self.text, self.values = ledger, text, {}
+
+    def setString(self, place, value):
+        self.values[place] = value
+
+    setLong = setString
+
+    def executeQuery(self):
+        assert self.text == "SELECT batch_id FROM incident_batches WHERE query_name = ?"
+        self.rows = [v for k, v in self.ledger.entries.items() if k == self.values[1]]
+        return self
+
+    def next(self):
+        return bool(self.rows)
+
+    def getLong(self, place):
+        return self.rows[place - 1]
+
+    def executeUpdate(self):
+        known = self.values[2] in self.ledger.entries
+        assert self.text.startswith("UPDATE" if known else "INSERT")
+        self.ledger.entries[self.values[2]] = self.values[1]
+
+
+def test_a_batch_is_committed_once(monkeypatch):
+    ledger, db = Ledger(), JdbcStore("jdbc:postgresql://host/db")
+    monkeypatch.setattr(sinks, "transaction", ledger.begin)
+    assert commit_once(None, db, "q", 0, ["a"]) and commit_once(None, db, "q", 3, ["b"])
+    assert not commit_once(None, db, "q", 3, ["b"]) and not commit_once(None, db, "q", 1, ["x"])
+    assert commit_once(None, db, "other", 1, ["c"])
+    assert ledger.log == ["a", "b", "c"] and ledger.entries == {"q": 3, "other": 1}
+    ledger.fail = True  # neither rows nor entry
+    with pytest.raises(RuntimeError):
+        commit_once(None, db, "q", 4, ["d"])
+    ledger.fail = False
+    assert commit_once(None, db, "q", 4, ["d"])
+    assert ledger.log == ["a", "b", "c", "d"]
 
 
 def test_reading_a_database_is_split_over_the_districts():

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -113,7 +114,7 @@ def test_late_row_is_dropped_from_each_closed_window(feed):
 
 
 def test_row_late_for_some_windows_counts_in_the_others(feed):
-    """A watermark within the week of the row: this is why days are not summed up beforehand."""
+    """A watermark within the week of the row: sums per day must not outlive the micro-batch."""
     feed.add(line(10))
     feed.step(week, "append")
     feed.add(line(17, clock="06:00:00"))  # watermark: Jan 10 06:00
@@ -224,6 +225,48 @@ def test_restart_continues_and_a_fresh_replay_ends_the_same(spark, feed, tmp_pat
     assert snapshot(spark, plain, MONTHLY) == before[0]
 
 
+def test_counts_that_add_up_need_no_state(spark, feed, tmp_path):
+    """Late and undated rows, restarts, and a replay on a fresh checkpoint."""
+    added, kept = FileStore(str(tmp_path / "added")), FileStore(str(tmp_path / "kept"))
+    options = {"results": ("aggregates",)}
+    for lines in ([line(1), line(2)], [line(30), "x,bad,0110,True,False,,,,"], [line(1), line(1, 2.0)]):
+        feed.add(*lines)
+        (query,) = go(spark, tmp_path, added, Params("A"), sink_mode="add", **options)
+        assert all(not progress["stateOperators"] for progress in query.recentProgress)
+        go(spark, tmp_path, kept, Params("A"), "kept_c", **options)
+        assert snapshot(spark, added, MONTHLY) == snapshot(spark, kept, MONTHLY)
+    before = snapshot(spark, added, MONTHLY)
+    go(spark, tmp_path, added, Params("A"), "fresh", sink_mode="add", **options)
+    assert snapshot(spark, added, MONTHLY) == before
+    feed.add(line(3))
+    go(spark, tmp_path, added, Params("A"), "fresh", sink_mode="add", **options)
+    assert read_results(spark, added, MONTHLY).agg(F.sum("total_crimes")).first()[0] == 7
+
+
+def test_a_batch_that_is_repeated_adds_nothing(spark, feed, tmp_path):
+    """The job ends after the batch is stored and before the checkpoint knows it."""
+    feed.add(line(1), line(2))
+    store = FileStore(str(tmp_path / "results"))
+    options = {"sink_mode": "add", "results": ("aggregates",)}
+    go(spark, tmp_path, store, Params("A"), **options)
+    commits = tmp_path / "checkpoints" / "aggregates_A_added" / "commits"
+    for name in os.listdir(commits):
+        os.remove(commits / name)
+    feed.add(line(3))
+    go(spark, tmp_path, store, Params("A"), **options)
+    assert read_results(spark, store, MONTHLY).agg(F.sum("total_crimes")).first()[0] == 3
+
+
+def test_the_other_results_are_upserted_where_counts_add_up(spark, feed, tmp_path):
+    feed.add(line(1), line(2), line(30), "9,2024-04-01,0486,False,False,,,,")
+    for delay, contract in (("A", MONTHLY), ("C", WINDOWED)):
+        stores = [FileStore(str(tmp_path / f"{delay}{mode}")) for mode in ("add", "upsert")]
+        for store, mode in zip(stores, ("add", "upsert"), strict=True):
+            go(spark, tmp_path, store, Params(delay, 2), f"{delay}{mode}_c", sink_mode=mode)
+        for table in (contract, ANOMALIES):
+            assert snapshot(spark, stores[0], table) == snapshot(spark, stores[1], table) != []
+
+
 def test_replace_keeps_the_last_batch_only(spark, feed, tmp_path):
     """Here the last batch is the empty one that follows the data."""
     feed.add(line(1))
