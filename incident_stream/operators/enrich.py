@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Collection
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from incident_stream.schema import MISSING_KEYS
@@ -34,6 +36,7 @@ def enrich(
     salts: int | None = None,
     unique: bool = False,
     join_partitions: int | None = None,
+    hot: Collection[str] | None = None,
 ) -> DataFrame:
     """Left join on the normalised code; records without a match keep a null category.
 
@@ -42,9 +45,11 @@ def enrich(
     tasks (by default the shuffle partitions of the session when the join is made).
 
     In a batch, adaptive execution splits the tasks of a hot code, and nothing is copied. A stream
-    has no adaptive execution, and where a session has none, every code is salted: the table is
-    repeated `salts` times and a record takes its salt from a hash of itself and the number of the
-    partition it was read in, so that the records of a code spread over `salts` tasks however few
+    has no adaptive execution, and where a session has none, codes are salted: `hot` names those
+    that carry many records. Each of their rows in the table is copied for all tasks, and their
+    records are spread over all tasks; all others are joined as they are. Where nothing is known
+    (`hot` is None), every code has `salts` copies. A record takes its salt from a hash of itself
+    and the number of the partition it was read in, so that the records of a code spread however few
     partitions the source has, and a task that runs again gives the same salts. Records without a
     code need no partner: they take salts of all partitions, of which no copies are made. With
     `unique`, duplicate codes are an error.
@@ -56,18 +61,27 @@ def enrich(
     conf = records.sparkSession.conf
     partitions = join_partitions or int(conf.get("spark.sql.shuffle.partitions"))
     adaptive = conf.get("spark.sql.adaptive.enabled") == "true" and not records.isStreaming
-    if salts is None:
-        salts = 1 if adaptive else min(SALTS, partitions)
-    if salts == 1 and adaptive:
+    if adaptive and salts is None and hot is None:
         return records.join(codes.hint("merge"), "IUCR", "left")
+    if hot is None:
+        copies = F.lit(min(SALTS, partitions) if salts is None else salts)
+    else:
+        copies = F.when(F.col("IUCR").isin(list(hot)), salts or partitions).otherwise(1)
     number = F.xxhash64(F.spark_partition_id(), *records.columns)
-    spread = F.when(F.col("IUCR").isNull(), F.pmod(number, F.lit(partitions)))
-    salt = F.coalesce(spread, F.pmod(number, F.lit(salts))).cast("int")
-    salted = records.withColumn("salt", salt).repartition(partitions, "IUCR", "salt")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    known = codes.where(F.col("IUCR").isNotNull())
-    repeated = known.withColumn("salt", copies).repartition(partitions, "IUCR", "salt")
-    return salted.join(repeated.hint("merge"), ["IUCR", "salt"], "left").drop("salt")
+    spread = F.when(F.col("IUCR").isNull(), F.lit(partitions)).otherwise(copies)
+    salted = records.withColumn("salt", F.pmod(number, spread).cast("int"))
+    repeated = salted_codes(codes, copies)
+    return (
+        salted.repartition(partitions, "IUCR", "salt")
+        .join(repeated.repartition(partitions, "IUCR", "salt").hint("merge"), ["IUCR", "salt"], "left")
+        .drop("salt")
+    )
+
+
+def salted_codes(codes: DataFrame, copies: Column) -> DataFrame:
+    """The known codes, with so many copies of each."""
+    salt = F.explode(F.sequence(F.lit(0), copies - 1))
+    return codes.where(F.col("IUCR").isNotNull()).withColumn("salt", salt)
 
 
 def fill_unknown(records: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 
-# A task adds up the panes it holds when they are so many rows.
-HELD_ROWS = 1 << 16
+# A task groups so many rows at a time, and adds up the panes it holds when they are as many.
+HELD_ROWS = 1 << 18
 
 
 def day_panes(held_rows: int = HELD_ROWS) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -30,39 +30,44 @@ def day_panes(held_rows: int = HELD_ROWS) -> Callable[[Iterator[pa.RecordBatch]]
         added = added.select(["day", "District", "event_time_max", "indexed_sum", "total_sum"])
         return added.rename_columns(["day", "District", "event_time", "indexed", "total"])
 
-    def panes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def grouped(batches: list[pa.RecordBatch]) -> pa.Table:
         import pyarrow.compute as pc
 
         # Fixed value: microseconds of a day.
         day_length = 86_400_000_000
+        rows = pa.Table.from_batches(batches)
+        micros = rows.column(0).cast(pa.timestamp("us", "UTC")).cast(pa.int64())
+        # division cuts towards zero; times before 1970 are moved to the start of their day first
+        rest = pc.subtract(micros, pc.multiply(pc.divide(micros, day_length), day_length))
+        rest = pc.if_else(pc.less(rest, 0), pc.add(rest, day_length), rest)
+        columns = {
+            "day": pc.subtract(micros, rest),
+            "District": rows.column(1),
+            "event_time": rows.column(0),
+            "indexed": rows.column(2).cast(pa.int64()),
+            "total": pa.repeat(pa.scalar(1, pa.int64()), rows.num_rows),
+        }
+        return summed(pa.table(columns))
+
+    def panes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
         held: list[pa.Table] = []
-        rows, limit = 0, held_rows
+        n_waiting, n_held, limit = 0, 0, held_rows
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            moment = batch.column(0)
-            micros = moment.cast(pa.timestamp("us", "UTC")).cast(pa.int64())
-            # division cuts towards zero; times before 1970 are moved to the start of their day first
-            rest = pc.subtract(micros, pc.multiply(pc.divide(micros, day_length), day_length))
-            rest = pc.if_else(pc.less(rest, 0), pc.add(rest, day_length), rest)
-            table = pa.table(
-                {
-                    "day": pc.subtract(micros, rest),
-                    "District": batch.column(1),
-                    "event_time": moment,
-                    "indexed": batch.column(2).cast(pa.int64()),
-                    "total": pa.repeat(pa.scalar(1, pa.int64()), batch.num_rows),
-                }
-            )
-            held.append(summed(table))
-            rows += held[-1].num_rows
-            if rows > limit:
+            waiting.append(batch)
+            n_waiting += batch.num_rows
+            if n_waiting >= held_rows:
+                held.append(grouped(waiting))
+                n_held += held[-1].num_rows
+                waiting, n_waiting = [], 0
+            if n_held > limit:
                 held = [summed(pa.concat_tables(held))]
-                rows = held[0].num_rows
-                limit = max(held_rows, 2 * rows)
+                n_held = held[0].num_rows
+                limit = max(held_rows, 2 * n_held)
+        if n_waiting:
+            held.append(grouped(waiting))
         if held:
-            out = summed(pa.concat_tables(held)).drop_columns(["day"])
-            out = out.select(["event_time", "District", "indexed", "total"])
+            out = summed(pa.concat_tables(held)).select(["event_time", "District", "indexed", "total"])
             names = ["event_time", "District", "fbi_indexed", "total_crimes"]
             yield from out.rename_columns(names).to_batches()
 

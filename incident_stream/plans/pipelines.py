@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 import warnings
 from collections.abc import Callable
 
@@ -15,7 +16,14 @@ from incident_stream.operators.aggregate import (
     aggregate_windowed,
     anomalies,
 )
-from incident_stream.operators.enrich import duplicate_codes, enrich, fill_unknown
+from incident_stream.operators.enrich import (
+    BROADCAST_BYTES,
+    duplicate_codes,
+    enrich,
+    fill_unknown,
+    table_bytes,
+)
+from incident_stream.operators.hot_codes import METRIC, CodeListener, RecentCodes, frequent_codes
 from incident_stream.operators.parse import parse_records
 from incident_stream.schema import ANOMALIES, MONTHLY, WINDOWED, Contract
 from incident_stream.settings import (
@@ -109,7 +117,8 @@ def run(
     codes = read_codes(spark, codes_path)
     if not unique_codes:
         warn_of_duplicates(codes)
-    records = enriched(read_record_stream(spark, source), codes, unique=unique_codes)
+    lines = read_record_stream(spark, source)
+    records = _joined(spark, lines, codes, checkpoint_root, unique_codes, state_partitions)
     wanted: list[tuple[DataFrame, Contract, str]] = []
     rest_mode = "upsert" if sink_mode == "add" else sink_mode
     if "anomalies" in results:
@@ -154,3 +163,30 @@ def _writer(
     if mode == "append":
         return write
     return lambda batch, batch_id: write(aggregate_monthly(batch), batch_id)
+
+
+def _joined(
+    spark: SparkSession,
+    lines: DataFrame,
+    codes: DataFrame,
+    checkpoint_root: str,
+    unique_codes: bool,
+    partitions: int | None,
+) -> DataFrame:
+    """The enriched stream. Where the code table is too large to be broadcast, the batches report
+    their frequent codes; those of the last batches, from before this start, are the hot ones."""
+    if table_bytes(normalize_codes(codes)) <= BROADCAST_BYTES:
+        return enriched(lines, codes, unique=unique_codes)
+    recent = RecentCodes(spark, f"{checkpoint_root.rstrip('/')}/hot_codes")
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    metric = f"{METRIC} {uuid.uuid4().hex}"
+    spark.streams.addListener(CodeListener(recent, metric))
+    observed = parse_records(lines).observe(metric, *frequent_codes(F.col("IUCR")))
+    joined = enrich(
+        observed,
+        normalize_codes(codes),
+        unique=unique_codes,
+        join_partitions=partitions,
+        hot=recent.hot(partitions),
+    )
+    return fill_unknown(joined)

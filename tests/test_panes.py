@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from incident_stream.operators import aggregate
 from incident_stream.operators.aggregate import anomalies
 from incident_stream.operators.panes import day_panes
 from tests.test_streaming import Feed, line
@@ -74,9 +75,10 @@ def by_records(records, days):
 
 
 @pytest.mark.parametrize("days", [2, 5])
-def test_batch_by_batch_the_same_as_from_records(spark, tmp_path, days):
+def test_batch_by_batch_the_same_as_from_records(spark, tmp_path, monkeypatch, days):
     """Random lateness over many batches: each step hands out the same windows with the same counts,
     and drops as much as it would if every pane were a record."""
+    monkeypatch.setattr(aggregate, "PANE_DAYS", 2)
     rng = random.Random(days)
     for name in ("panes", "records"):
         (tmp_path / name).mkdir()
