@@ -17,7 +17,7 @@ from incident_stream.settings import (
     prepare_session,
 )
 from incident_stream.sources.codes import normalize_codes, read_codes
-from incident_stream.sources.publish import publish_lines
+from incident_stream.sources.publish import publish_lines, publish_new_files
 from incident_stream.sources.records import read_record_stream
 from incident_stream.sources.results import read_results
 from incident_stream.streaming.queries import await_all, start_query
@@ -44,6 +44,7 @@ __all__ = [
     "parse_records",
     "prepare_session",
     "publish_lines",
+    "publish_new_files",
     "read_codes",
     "read_record_stream",
     "read_results",

@@ -24,8 +24,9 @@ from incident_stream.settings import (
     database_properties,
     prepare_session,
 )
-from incident_stream.sources.publish import publish_lines
+from incident_stream.sources.publish import publish_lines, publish_new_files
 from incident_stream.sources.results import read_results
+from incident_stream.streaming.log import KEEP_SECONDS
 from incident_stream.streaming.queries import await_all
 from incident_stream.streaming.sinks import MODES, create_tables, fold
 
@@ -59,6 +60,9 @@ def build_parser() -> argparse.ArgumentParser:
     publish = commands.add_parser("publish", help="publish CSV files, one message per line")
     publish.add_argument("--in-dir", required=True)
     publish.add_argument("--on-error", choices=["fail", "skip"], default="fail")
+    publish.add_argument(
+        "--manifest", help="folder that notes the files that were sent, to send none twice"
+    )
     _add_source(publish)
 
     process = commands.add_parser("process", help="run the two streaming queries")
@@ -93,8 +97,14 @@ def build_parser() -> argparse.ArgumentParser:
     )
     results.add_argument("--rows", type=int, help="also print so many rows of each, as a preview")
 
-    folding = commands.add_parser("fold", help="merge the finished batches of upserted tables")
+    folding = commands.add_parser("fold", help="merge the finished batches of logged tables")
     folding.add_argument("--results-dir", required=True)
+    folding.add_argument(
+        "--keep-seconds",
+        type=float,
+        default=KEEP_SECONDS,
+        help="how long readers that began before may need what is folded",
+    )
     folding.add_argument("--delay", choices=DELAYS, default="A")
 
     tables = commands.add_parser("tables", help="create the result tables in a database")
@@ -129,7 +139,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = build_parser().parse_args(argv)
     spark = prepare_session(SparkSession.builder.appName("incident-stream").getOrCreate())
     if args.command == "publish":
-        publish_lines(spark, args.in_dir, source_of(args), args.on_error)
+        if args.manifest:
+            publish_new_files(spark, args.in_dir, source_of(args), args.manifest, args.on_error)
+        else:
+            publish_lines(spark, args.in_dir, source_of(args), args.on_error)
     elif args.command == "process":
         queries = run(
             spark,
@@ -151,7 +164,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     else:
         for contract in (MONTHLY if args.delay == "A" else WINDOWED, ANOMALIES):
             if args.command == "fold":
-                fold(spark, FileStore(args.results_dir), contract)
+                fold(spark, FileStore(args.results_dir), contract, args.keep_seconds)
                 continue
             found = read_results(spark, store_of(args), contract)
             found.write.csv(f"{args.out_dir.rstrip('/')}/{contract.table}", header=True)

@@ -31,7 +31,13 @@ from incident_stream.settings import (
     prepare_session,
 )
 from incident_stream.sources.codes import normalize_codes, read_codes
-from incident_stream.sources.publish import publish_lines
+from incident_stream.sources.publish import (
+    Manifest,
+    csv_files,
+    file_lines,
+    publish_lines,
+    publish_new_files,
+)
 from incident_stream.sources.records import read_record_stream
 from incident_stream.sources.results import read_results
 from incident_stream.streaming.sinks import batch_writer, fold
@@ -220,6 +226,23 @@ def publish_beside_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_records(read_record_stream(spark, published, streaming=False))
 
 
+def publish_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of four files two are published and in the manifest; the others follow file by file, and
+    publishing once more sends nothing."""
+    work = new_work_dir(spark)
+    empty = [F.lit(None).cast("string").alias(c) for c in ("ComArea", "Latitude", "Longitude")]
+    table = fixtures.event_fields(spark, sf_dir).select(*fixtures.FIELDS, *empty)
+    table.repartition(4).write.csv(f"{work}/in", header=True)
+    published, manifest = RecordSource.text(f"{work}/lines"), f"{work}/manifest"
+    first = csv_files(spark, f"{work}/in")[:2]
+    lines = file_lines(spark, f"{work}/in", names=[f.name for f in first])
+    lines.write.text(f"{work}/lines")
+    Manifest(spark, manifest).add(first)
+    for _ in range(2):
+        publish_new_files(spark, f"{work}/in", published, manifest, step_bytes=1)
+    return parse_records(read_record_stream(spark, published, streaming=False))
+
+
 def _read_back(
     spark: SparkSession, contract: Contract, mode: str, batches: list[DataFrame]
 ) -> DataFrame:
@@ -356,6 +379,7 @@ STREAMING: dict[str, Query] = {
 STORAGE: dict[str, Query] = {
     "publish_roundtrip": publish_roundtrip,
     "publish_beside_folders": publish_beside_folders,
+    "publish_resumed": publish_resumed,
     "results_readback_folded": results_readback_folded,
     "results_read_while_folding": results_read_while_folding,
     "results_readback": results_readback,

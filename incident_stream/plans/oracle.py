@@ -279,6 +279,7 @@ SQL: dict[str, str] = {
     ),
     "publish_roundtrip": _with(EVENTS, final=PARSED),
     "publish_beside_folders": _with(EVENTS, final=PARSED),
+    "publish_resumed": _with(EVENTS, final=PARSED),
     "stream_anomalies_30d": _with(
         CODES, EVENTS, ENRICHED, _anomalies(30, 0), final=_stored_anomalies(30)
     ),

@@ -34,7 +34,7 @@ from incident_stream.settings import (
     prepare_session,
     shuffle_partitions,
 )
-from incident_stream.sources.codes import normalize_codes, read_codes
+from incident_stream.sources.codes import normalize_codes, pin_codes
 from incident_stream.sources.records import read_record_stream
 from incident_stream.streaming.queries import start_query
 from incident_stream.streaming.sinks import batch_writer, claim_run, lineage_of
@@ -110,11 +110,14 @@ def run(
     `spark.sql.shuffle.partitions`; a checkpoint keeps the number it was made with. It should
     follow the number of result keys: records are summed up per key before they are shuffled.
 
+    The code table is copied below the checkpoints first and read from there: replacing its file has
+    no effect before the next start. One that can be broadcast is read once and kept.
+
     Codes that stand more than once in the code table multiply the records that they match; they
     are reported as a warning, or, with `unique_codes`, refused.
     """
     prepare_session(spark)
-    codes = read_codes(spark, codes_path)
+    codes = pin_codes(spark, codes_path, f"{checkpoint_root.rstrip('/')}/codes")
     if not unique_codes:
         warn_of_duplicates(codes)
     lines = read_record_stream(spark, source)
@@ -176,7 +179,7 @@ def _joined(
     """The enriched stream. Where the code table is too large to be broadcast, the batches report
     their frequent codes; those of the last batches, from before this start, are the hot ones."""
     if table_bytes(normalize_codes(codes)) <= BROADCAST_BYTES:
-        return enriched(lines, codes, unique=unique_codes)
+        return enriched(lines, codes.persist(), unique=unique_codes)
     recent = RecentCodes(spark, f"{checkpoint_root.rstrip('/')}/hot_codes")
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     metric = f"{METRIC} {uuid.uuid4().hex}"

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incident_stream.functions import strip_leading_zeros
 from incident_stream.schema import CODE_COLUMNS
+from incident_stream.storage import Folder
 
 
 def read_codes(spark: SparkSession, path: str) -> DataFrame:
@@ -18,3 +21,39 @@ def read_codes(spark: SparkSession, path: str) -> DataFrame:
 def normalize_codes(codes: DataFrame) -> DataFrame:
     """Codes without leading zeros, as the records carry them."""
     return codes.withColumn("IUCR", strip_leading_zeros(F.col("IUCR")))
+
+
+def digest(table: DataFrame) -> str:
+    """A number of all rows, in whatever order they stand, and how many there are."""
+    number = F.xxhash64(*table.columns)
+    row = table.agg(
+        F.count("*"), F.bit_xor(number), F.sum(F.hash(*table.columns).cast("bigint"))
+    ).first()
+    return "-".join(str(value) for value in row)
+
+
+def pin_codes(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    """The code table as it is now, from a copy of its own in `folder`.
+
+    A job that reads the copy is not touched by what happens to the file. The copy is noted with a
+    digest of its rows: as long as the table is the same, later starts use the same copy. Copies of
+    earlier tables stay, since another job may still read them.
+    """
+    place = Folder(spark, folder.rstrip("/"))
+    copy = f"copy={uuid.uuid4().hex}"
+    table = read_codes(spark, path)
+    table.write.parquet(f"{place.path}/{copy}")
+    made = spark.read.schema(table.schema).parquet(f"{place.path}/{copy}")
+    found = digest(made)
+    while True:
+        numbers = [int(n[len("pinned_") : -len(".json")]) for n in place.names("pinned_*.json")]
+        newest = max(numbers, default=0)
+        known = place.read_json(f"pinned_{newest}.json") if newest else {}
+        if known.get("digest") == found:
+            place.delete(copy)
+            return spark.read.schema(table.schema).parquet(f"{place.path}/{known['copy']}")
+        try:
+            place.write_json(f"pinned_{newest + 1}.json", {"digest": found, "copy": copy})
+        except FileExistsError:
+            continue  # another job has pinned one just now
+        return made

@@ -7,7 +7,8 @@ from pyspark.errors import AnalysisException
 
 from incident_stream.operators.parse import parse_records
 from incident_stream.settings import RecordSource
-from incident_stream.sources.publish import file_lines, publish_lines
+from incident_stream.sources import publish
+from incident_stream.sources.publish import Manifest, file_lines, publish_lines, publish_new_files
 from incident_stream.sources.records import read_record_stream
 
 HEADER = "ID,Date,IUCR,Arrest,Domestic,District,ComArea,Latitude,Longitude"
@@ -235,3 +236,92 @@ def test_binary_values_become_text(spark):
     frame = spark.createDataFrame([(b"1,2001-01-02,0110",)], "value binary")
     lines = frame.selectExpr("CAST(value AS STRING) AS csv_line")
     assert parse_records(lines).first()["IUCR"] == "110"
+
+
+# --- manifest --------------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def job(spark, tmp_path):
+    """A folder of files, and a publishing of it with a manifest, file by file."""
+    (tmp_path / "in").mkdir()
+
+    class Job:
+        folder = tmp_path / "in"
+
+        def add(self, name, *lines):
+            (self.folder / name).write_text("\n".join([HEADER, *lines]) + "\n")
+
+        def publish(self, **options):
+            sink, manifest = RecordSource.text(str(tmp_path / "out")), str(tmp_path / "manifest")
+            return publish_new_files(spark, str(self.folder), sink, manifest, **options)
+
+        def sent(self):
+            return sorted(r["value"] for r in spark.read.text(str(tmp_path / "out")).collect())
+
+        def noted(self):
+            return sorted(f.name for f in Manifest(spark, str(tmp_path / "manifest")).known())
+
+    return Job()
+
+
+def test_a_second_publishing_sends_what_is_new(job):
+    job.add("a.csv", "1")
+    job.add("b.csv", "2", "3")
+    assert job.publish() == 2 and job.publish() == 0
+    assert job.sent() == ["1", "2", "3"]
+    job.add("c.csv", "4")
+    assert job.publish() == 1
+    assert job.sent() == ["1", "2", "3", "4"] and job.noted() == ["a.csv", "b.csv", "c.csv"]
+
+
+def test_a_publishing_that_failed_goes_on(job, monkeypatch):
+    for number in range(4):
+        job.add(f"{number}.csv", f"{number}")
+    steps, send = [], publish._send
+
+    def fail_at_the_second(lines, sink):
+        steps.append(lines)
+        if len(steps) == 2:
+            raise OSError("gone")
+        send(lines, sink)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(publish, "_send", fail_at_the_second)
+        with pytest.raises(OSError, match="gone"):
+            job.publish(step_bytes=1)
+    assert job.sent() == ["0"] and job.noted() == ["0.csv"]
+    assert job.publish(step_bytes=1) == 3
+    assert job.sent() == ["0", "1", "2", "3"]
+
+
+def test_a_file_that_has_changed_is_sent_again(job):
+    job.add("a.csv", "1")
+    job.publish()
+    job.add("a.csv", "1", "2")
+    assert job.publish() == 1
+    assert job.sent() == ["1", "1", "2"]
+
+
+def test_steps_are_bounded_in_bytes_and_ordered_by_name(spark, job, monkeypatch):
+    for name in ("c", "a", "d", "b"):
+        job.add(f"{name}.csv", name * 100)
+    steps, real = [], publish.file_lines
+    monkeypatch.setattr(
+        publish, "file_lines", lambda s, d, e, names: steps.append(names) or real(s, d, e, names)
+    )
+    job.publish(step_bytes=300)
+    assert steps == [["a.csv", "b.csv"], ["c.csv", "d.csv"]]
+    assert job.sent() == [c * 100 for c in "abcd"]
+
+
+def test_names_with_signs_of_a_pattern(job):
+    for name in ("a[1].csv", "b{2}.csv", "c*.csv", "d?.csv", "e f.csv", "é.csv"):
+        job.add(name, name)
+    job.add("c1.csv", "other")
+    assert job.publish(step_bytes=1) == 7
+    assert job.sent() == sorted(["a[1].csv", "b{2}.csv", "c*.csv", "d?.csv", "e f.csv", "é.csv", "other"])
+
+
+def test_a_manifest_of_an_empty_folder(job):
+    assert job.publish() == 0 and job.noted() == []

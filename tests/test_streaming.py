@@ -11,6 +11,7 @@ from incident_stream.operators.aggregate import (
     aggregate_windowed,
     anomalies,
 )
+from incident_stream.plans import pipelines
 from incident_stream.plans.pipelines import checkpoint_names, enriched, run
 from incident_stream.schema import ANOMALIES, MONTHLY, WINDOWED
 from incident_stream.settings import (
@@ -20,6 +21,7 @@ from incident_stream.settings import (
     RecordSource,
     shuffle_partitions,
 )
+from incident_stream.sources.codes import pin_codes
 from incident_stream.sources.records import read_record_stream
 from incident_stream.sources.results import read_results
 from incident_stream.streaming.queries import await_all, start_query
@@ -267,6 +269,54 @@ def test_the_other_results_are_upserted_where_counts_add_up(spark, feed, tmp_pat
             assert snapshot(spark, stores[0], table) == snapshot(spark, stores[1], table) != []
 
 
+def test_a_code_table_that_is_replaced_between_batches(spark, feed, tmp_path, monkeypatch):
+    """The running job goes on with the table it has started with, the next one takes the new."""
+    for day in (1, 2, 3):
+        feed.add(line(day))
+    store, path = FileStore(str(tmp_path / "results")), codes_file(tmp_path)
+    real, batches = pipelines.batch_writer, []
+
+    def replacing(*args):
+        write = real(*args)
+
+        def first_replace(df, batch_id):
+            write(df, batch_id)
+            batches.append(batch_id)
+            with open(path, "w") as codes:
+                codes.write("IUCR,PRIMARY DESCRIPTION,INDEX CODE\n0110,RENAMED,N\n")
+
+        return first_replace
+
+    one_by_one = RecordSource.text(str(tmp_path / "in"), maxFilesPerTrigger="1")
+    args = (spark, one_by_one, path, store, str(tmp_path / "c"), Params("A"))
+    options = dict(trigger={"availableNow": True}, state_partitions=2, results=("aggregates",))
+    with monkeypatch.context() as patch:
+        patch.setattr(pipelines, "batch_writer", replacing)
+        await_all(run(*args, **options))
+    assert len(batches) >= 3
+    (row,) = read_results(spark, store, MONTHLY).collect()
+    assert (row["category"], row["total_crimes"]) == ("HOMICIDE", 3)
+    feed.add(line(4))
+    await_all(run(*args, **options))
+    counts = {r["category"]: r["total_crimes"] for r in read_results(spark, store, MONTHLY).collect()}
+    assert counts == {"HOMICIDE": 3, "RENAMED": 1}
+
+
+def test_an_unchanged_code_table_is_copied_once(spark, tmp_path):
+    path, folder = codes_file(tmp_path), tmp_path / "pinned"
+    first = pin_codes(spark, path, str(folder))
+    os.utime(path)
+    again = pin_codes(spark, path, str(folder))
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, first.collect())) == sorted(CODES)
+    assert len(list(folder.glob("copy=*"))) == len(list(folder.glob("pinned_*.json"))) == 1
+    with open(path, "a") as codes:
+        codes.write("0110,HOMICIDE,I\n")  # the same row twice is another table
+    assert pin_codes(spark, path, str(folder)).count() == 3
+    assert first.count() == 2  # a job that still reads the first copy
+    os.remove(path)
+    assert again.count() == 2
+
+
 def test_replace_keeps_the_last_batch_only(spark, feed, tmp_path):
     """Here the last batch is the empty one that follows the data."""
     feed.add(line(1))
