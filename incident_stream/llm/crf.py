@@ -10,6 +10,7 @@ largest, and runs of tokens over one half are its offending spans.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,12 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from incident_stream.llm import textkernel as tk
-from incident_stream.llm.common import hash_sample
+from incident_stream.llm.common import hash_sample, written
 
-# The model is fitted on at most this many documents of each label, those first in the order of
-# a hash of their id; longer texts than MAX_FIT_BYTES are left out of the fit, never of the scores.
+# The model is fitted on at most this many documents of each label, drawn by a hash of their id, and
+# on at most so many bytes of each label: documents are taken in the order of a hash of their text
+# until these are reached. A text that would take more than an eighth of them by itself gives a
+# sample of its stretches, from all over the text.
 MAX_FIT_DOCS = 1000
-MAX_FIT_BYTES = 20_000
+MAX_FIT_BYTES = 4 << 20
+STRETCH_BYTES = 16 << 10
 WORD_BITS, NEAR_BITS = 18, 14
 STEMS = (3, 4, 5, 6, 8)
 STEPS = 40
@@ -70,13 +74,12 @@ def tokens_of(texts: tk.Texts) -> Tokens:
     count = np.concatenate(([0], np.cumsum(stay)))
     bare = tk.Texts(texts.first, _lowered(texts.data[at]), count[texts.offsets])
     spans = tk.words(bare)
-    word = tk.span_hashes(bare, spans)
-    stems = []
-    for size in STEMS:  # a word that is no longer than a stem is its own
-        head = tk.Spans(spans.start, np.minimum(spans.end, spans.start + size), spans.doc)
-        stems.append(tk.span_hashes(bare, head, 0))
-    short = tk.Spans(np.maximum(spans.start, spans.end - 4), spans.end, spans.doc)
-    tail = tk.span_hashes(bare, short, 1)
+    # stems and ends are those of the different words; a word no longer than a stem is its own
+    number, values = tk.span_classes(bare, spans)
+    known = values.to_pylist()
+    word = tk.value_hashes(known)[0][number]
+    stems = [tk.value_hashes([w[:size] for w in known])[0][number] for size in STEMS]
+    tail = tk.value_hashes([w[-4:] for w in known])[1][number]
     edge = np.uint64(0)
     same = spans.doc[1:] == spans.doc[:-1]
     before, after = np.full(len(word), edge), np.full(len(word), edge)
@@ -261,23 +264,81 @@ def in_fold(id_column: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % 3 != 1
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> Model | None:
+def _shortened(limit: int):
+    """Texts beyond `limit` bytes as a sample of their stretches, which begin and end at blanks; the
+    sample is that of the least checksums of the stretches, in the order of the text."""
+
+    def sample(text: str) -> str:
+        raw = text.encode()
+        if len(raw) <= limit:
+            return text
+        blanks = np.flatnonzero(tk.SPACE[np.frombuffer(raw, dtype=np.uint8)])
+        cuts = np.searchsorted(blanks, np.arange(STRETCH_BYTES, len(raw), STRETCH_BYTES))
+        cuts = [0, *np.unique(blanks[cuts[cuts < len(blanks)]]).tolist(), len(raw)]
+        stretches = [raw[lo:hi] for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+        taken, size = [], 0
+        for i in sorted(range(len(stretches)), key=lambda i: (zlib.crc32(stretches[i]), i)):
+            if size + len(stretches[i]) <= limit:
+                taken.append(i)
+                size += len(stretches[i])
+        return b"".join(stretches[i] for i in sorted(taken)).decode("utf-8", "replace")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [sample(t) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.string()), *batch.columns[1:]], batch.schema.names
+            )
+
+    return run
+
+
+def _drawn(texts: DataFrame, kind: int, limit: int) -> list:
+    """(text, id) of one label in the order of a hash of the text, up to `limit` bytes."""
+    number = F.xxhash64("text")
+    some = texts.where(F.col("toxic") == kind).withColumn("number", number)
+    first = some.orderBy("number", "text").limit(MAX_FIT_DOCS)
+    sizes = first.select("number", F.octet_length("text").alias("size")).collect()
+    last, size = None, 0
+    for row in sorted(sizes, key=lambda r: r["number"]):
+        size += row["size"]
+        if size > limit:
+            break
+        last = row["number"]
+    if last is None:
+        return []
+    return first.where(F.col("number") <= last).select("text", "pick").collect()
+
+
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    max_bytes: int = MAX_FIT_BYTES,
+) -> Model | None:
     """Fit on labelled documents of the fitting fold; None without labels of both kinds.
 
-    Equal texts count once. At most MAX_FIT_DOCS documents of each label reach the driver.
+    Of the labelled documents that exist, MAX_FIT_DOCS of each label are drawn by a hash of their id.
+    Equal texts count once, as that with the smallest id, before anything is sent; at most
+    MAX_FIT_DOCS texts and `max_bytes` bytes of each label reach the driver, long texts and short
+    ones. Texts that are null or empty teach nothing. Ids that stand for several documents give all
+    of them the label.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & in_fold())
-    chosen = [
-        hash_sample(known.where(F.col("toxic") == kind).select("doc_id", "toxic"), "doc_id", MAX_FIT_DOCS)
-        for kind in (0, 1)
-    ]
-    picked = chosen[0].union(chosen[1]).select(F.col("doc_id").alias("_pick"), "toxic")
-    short = docs.where(F.octet_length(text_column) <= MAX_FIT_BYTES).select(
-        F.col(id_column).alias("_id"), F.col(text_column).alias("text")
+    there = docs.select(F.col(id_column).alias("_there")).distinct()
+    known = written(known.join(there, F.col("doc_id") == F.col("_there"), "left_semi").select("doc_id", "toxic"))
+    chosen = [hash_sample(known.where(F.col("toxic") == kind), "doc_id", MAX_FIT_DOCS) for kind in (0, 1)]
+    picked = chosen[0].union(chosen[1]).select(F.col("doc_id").alias("_pick"), "toxic").distinct()
+    rows = docs.select(F.col(text_column).alias("text"), F.col(id_column).cast("bigint").alias("_id"))
+    met = rows.where(F.length("text") > 0).join(F.broadcast(picked), F.col("_id") == F.col("_pick"))
+    short = met.select("text", F.col("_pick").cast("bigint").alias("pick"), F.col("toxic").cast("int").alias("toxic"))
+    texts = short.mapInArrow(_shortened(max_bytes // 8), "text string, pick bigint, toxic int")
+    once = texts.groupBy("text").agg(F.min(F.struct("pick", "toxic")).alias("least"))
+    once = written(once.select("text", "least.pick", "least.toxic"))
+    taken = sorted(
+        (row["pick"], row["text"], kind) for kind in (0, 1) for row in _drawn(once, kind, max_bytes)
     )
-    rows = short.join(F.broadcast(picked), F.col("_id") == F.col("_pick")).collect()
-    unique = {r["text"]: (r["_pick"], r["toxic"]) for r in sorted(rows, key=lambda r: -r["_pick"])}
-    taken = sorted((pick, text, toxic) for text, (pick, toxic) in unique.items())
     toxic = np.array([t[2] == 1 for t in taken], dtype=bool)
     if not toxic.any() or toxic.all():
         return None
@@ -338,8 +399,8 @@ def tag(docs: DataFrame, model: Model | None, text_column: str = "text", carry:
     """The columns of `carry` (default: all) as c0, c1, ..., the `_score` of every whole text, and
     its `_spans`: character offsets (in code points) and scores of the offending runs.
 
-    Texts without a word (null, empty) score 0. Without a model (no labels of both kinds) every
-    score is 0. Repeated rows get equal scores.
+    Texts without a word (null, empty) score 0. Texts of any length are tagged whole, in one chain.
+    Without a model (no labels of both kinds) every score is 0. Repeated rows get equal scores.
     """
     carry = docs.columns if carry is None else carry
     rows = docs.select(

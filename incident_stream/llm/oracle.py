@@ -34,12 +34,15 @@ WITH turns AS (
 ), replies AS (
     SELECT conv_id, t, list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant')[-1] AS last
     FROM turns
+), swaps AS (
+    SELECT conv_id, t, last,
+           coalesce(lead(t[last].text) OVER (ORDER BY conv_id), first_value(t[last].text) OVER (ORDER BY conv_id)) AS other
+    FROM replies WHERE last IS NOT NULL
 ), pairs AS (
-    SELECT a.conv_id AS pair_id, a.t AS c,
-           list_transform(range(1, len(a.t) + 1), lambda i: {'role': a.t[i].role,
-               'text': CASE WHEN i = a.last THEN b.t[b.last].text ELSE a.t[i].text END}) AS r
-    FROM replies a JOIN replies b ON b.conv_id = xor(a.conv_id, 1)
-    WHERE a.last IS NOT NULL AND b.last IS NOT NULL
+    SELECT conv_id AS pair_id, t AS c,
+           list_transform(range(1, len(t) + 1), lambda i: {'role': t[i].role,
+               'text': CASE WHEN i = last THEN other ELSE t[i].text END}) AS r
+    FROM swaps
 ), counted AS (
     SELECT pair_id, c, r,
            coalesce(list_filter(range(1, len(c) + 1), lambda i: c[i].role <> r[i].role OR c[i].text <> r[i].text)[1] - 1,

@@ -53,7 +53,12 @@ class Coder:
 
     def __init__(self, vocabulary: str, pattern: str) -> None:
         with open(vocabulary, encoding="utf-8") as f:
-            entries = json.load(f)["model"]["vocab"]
+            file = json.load(f)
+        entries = file["model"]["vocab"]
+        # tokens that are matched in the text itself, before it is split
+        self.added = {token["content"]: token["id"] for token in file.get("added_tokens") or []}
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in file.get("added_tokens") or []):
+            raise ValueError("added tokens that take blanks along or match whole words only are not supported")
         symbols = byte_symbols()
         ranks = {
             bytes(symbols[c] for c in piece): number
@@ -61,13 +66,30 @@ class Coder:
             if all(c in symbols for c in piece)
         }
         self.encoding = tiktoken.Encoding(
-            "vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
+            "vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens=self.added
         )
         self.line_feed = ranks[b"\n"]
 
     def ids(self, text: str) -> list[int]:
+        if any(token in text for token in self.added):
+            return self.encoding.encode(text, allowed_special="all")
         return self.encoding.encode_ordinary(text)
 
+    def _with_added(self, texts: tk.Texts) -> np.ndarray:
+        """Which texts hold an added token."""
+        out = np.zeros(len(texts), dtype=bool)
+        raw = texts.data.tobytes()
+        for token in map(str.encode, self.added):
+            at = raw.find(token)
+            while at >= 0:
+                text = int(np.searchsorted(texts.offsets, at, "right")) - 1
+                if at + len(token) <= texts.offsets[text + 1]:
+                    out[text] = True
+                    at = raw.find(token, int(texts.offsets[text + 1]))
+                else:  # across the border of two texts
+                    at = raw.find(token, at + 1)
+        return out
+
     def _words(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words without line feeds, one after the other, and how many each has."""
         length = end - start
@@ -79,12 +101,13 @@ class Coder:
 
     def chunk(self, texts: tk.Texts) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a chunk, one after the other, and where each text's ids end."""
-        starts, doc, is_word = pieces(texts)
+        starts, doc, is_word = pieces(texts, _wide_blanks(texts) | self._with_added(texts))
         if len(starts) == 0:
             return np.empty(0, "<u4"), np.zeros(len(texts), np.int64)
         ends = np.append(starts[1:], len(texts.data))
-        hashes = tk.span_hashes(texts, tk.Spans(starts, ends, doc))
-        _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+        number, values = tk.span_classes(texts, tk.Spans(starts, ends, doc))
+        first = np.zeros(len(values), dtype=np.int64)
+        first[number[::-1]] = np.arange(len(number))[::-1]
         length = np.zeros(len(first), dtype=np.int64)
         at = np.zeros(len(first), dtype=np.int64)
         plain = np.flatnonzero(is_word[first])
@@ -122,9 +145,9 @@ def _wide_blanks(texts: tk.Texts) -> np.ndarray:
     return out
 
 
-def pieces(texts: tk.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def pieces(texts: tk.Texts, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where the pieces start that can be coded one by one, the texts that they lie in, and which
-    are words; they leave no gap.
+    are words; they leave no gap. The texts marked `whole` are one piece each.
 
     A word takes one space before it along. Of the blanks left before a word, the last one is a
     piece of its own, and so are all before it; if a space went with the word, all are one piece.
@@ -132,7 +155,6 @@ def pieces(texts: tk.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     spans = tk.words(texts)
     begin, stop = texts.offsets[:-1], texts.offsets[1:]
-    whole = _wide_blanks(texts)
     prev_end = begin[spans.doc].copy()
     if len(spans):
         same = np.flatnonzero(spans.doc[1:] == spans.doc[:-1]) + 1

@@ -7,9 +7,11 @@ spans of a completion that are trained on: the texts of its assistant turns with
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from incident_stream.llm.common import written
+
 START, END = "<|im_start|>", "<|im_end|>"
 
 
@@ -103,25 +105,37 @@ def preference_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def last_reply_swapped(conversations: DataFrame) -> DataFrame:
-    """Pairs from plain conversations: conversations 2k and 2k + 1 swap the texts of their last
-    assistant turns; the conversation as it is is chosen, the one with the other's reply rejected.
+    """Pairs from plain conversations: each one with an assistant turn is chosen as it is; rejected is
+    the same with the text of its last assistant turn taken from the next conversation that has
+    one, in the order of the ids. The last one takes that of the first.
+
+    Conversations without an assistant turn give no pair. One that is alone is its own partner, so
+    both its completions are empty, as are those of neighbours with equal replies.
 
-    A conversation whose partner is missing, or where either has no assistant turn, gives no pair.
+    The conversations are dealt out by ranges of their ids; the next one is found within the range,
+    and the last of a range takes the first of the next, of which there is one for each task.
     """
-    replies = F.filter("turns", lambda t: t["role"] == "assistant")
-    last = F.when(F.size(replies) > 0, F.element_at(replies, -1))
-    own = conversations.select("conv_id", "turns", last.alias("reply")).where("reply is not null")
-    other = own.select(
-        F.col("conv_id").bitwiseXOR(F.lit(1)).alias("partner_id"), F.col("reply.text").alias("text")
-    )
-    met = own.join(other, F.col("conv_id") == F.col("partner_id"))
-    where = F.size("turns") - F.array_position(F.reverse(F.transform("turns", lambda t: t["role"] == "assistant")), F.lit(True))
+    spark = conversations.sparkSession
+    is_reply = F.transform("turns", lambda t: t["role"] == "assistant")
+    where = F.size("turns") - F.array_position(F.reverse(is_reply), F.lit(True))
+    own = conversations.where(F.exists("turns", lambda t: t["role"] == "assistant"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = own.select("conv_id", "turns", where.cast("int").alias("at")).repartitionByRange(parts, "conv_id")
+    rows = written(dealt.withColumn("part", F.spark_partition_id()))
+    reply = F.element_at("turns", F.col("at") + 1)["text"]
+    firsts = rows.groupBy("part").agg(F.min_by(reply, "conv_id").alias("first"))
+    ring = firsts.groupBy().agg(F.array_sort(F.collect_list(F.struct("part", "first"))).alias("ring"))
+    following = ring.select(
+        F.explode(F.expr("transform(ring, (x, i) -> struct(x.part, ring[(i + 1) % size(ring)].first AS following))"))
+    ).select("col.*")
+    inside = Window.partitionBy("part").orderBy("conv_id")
+    met = rows.withColumn("next", F.lead(reply).over(inside)).join(following, "part")
     swapped = F.transform(
         "turns",
         lambda t, i: F.struct(
             t["turn"].alias("turn"),
             t["role"].alias("role"),
-            F.when(i == where, F.col("text")).otherwise(t["text"]).alias("text"),
+            F.when(i == F.col("at"), F.coalesce("next", "following")).otherwise(t["text"]).alias("text"),
         ),
     )
     return met.select(

@@ -53,11 +53,11 @@ COUNTS = (
 )
 
 
-def _repeats(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Which entries equal an earlier entry of the same text."""
-    keyed = tk.mix(hashes ^ (doc.astype(np.uint64) * tk.BASES[1]))
+def _repeats(number: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which entries have the number of an earlier entry of the same text."""
+    keyed = doc * (int(number.max(initial=0)) + 1) + number
     _, first = np.unique(keyed, return_index=True)
-    later = np.ones(len(hashes), dtype=bool)
+    later = np.ones(len(number), dtype=bool)
     later[first] = False
     return later
 
@@ -66,7 +66,7 @@ def count_chunk(texts: tk.Texts) -> dict[str, np.ndarray]:
     """The counts of COUNTS for each text of a chunk."""
     data = texts.data
     spans = tk.words(texts)
-    hashes = tk.span_hashes(texts, spans)
+    number, _ = tk.span_classes(texts, spans)
     starts_char = (data & 0xC0) != 0x80
     chars = tk.per_text_bytes(texts, starts_char & ~tk.SPACE[data])
     out = {
@@ -82,17 +82,15 @@ def count_chunk(texts: tk.Texts) -> dict[str, np.ndarray]:
     inked = np.concatenate(([0], np.cumsum(~tk.SPACE[data])))
     full = inked[lines.end] > inked[lines.start]
     lines = tk.Spans(lines.start[full], lines.end[full], lines.doc[full])
-    again = _repeats(tk.span_hashes(texts, lines), lines.doc)
+    again = _repeats(tk.span_classes(texts, lines)[0], lines.doc)
     out["n_lines"] = tk.per_text(texts, lines.doc)
     out["n_dup_lines"] = tk.per_text(texts, lines.doc[again])
-    out["n_distinct"] = out["n_words"] - tk.per_text(texts, spans.doc[_repeats(hashes, spans.doc)])
+    out["n_distinct"] = out["n_words"] - tk.per_text(texts, spans.doc[_repeats(number, spans.doc)])
     starts = tk.window_starts(spans.doc, REPEAT_WIDTH)
-    keyed = tk.mix(
-        tk.window_hashes(hashes, starts, REPEAT_WIDTH, 0)
-        ^ (spans.doc[starts].astype(np.uint64) * tk.BASES[1])
-    )
-    _, number, counts = np.unique(keyed, return_inverse=True, return_counts=True)
-    twice = starts[counts[number] > 1]
+    windows = tk.sequence_classes(number, REPEAT_WIDTH)[starts]
+    keyed = spans.doc[starts] * (int(windows.max(initial=0)) + 1) + windows
+    _, group, counts = np.unique(keyed, return_inverse=True, return_counts=True)
+    twice = starts[counts[group] > 1]
     out["n_repeat_words"] = tk.per_text(
         texts, spans.doc[tk.covered(len(spans), twice, REPEAT_WIDTH)]
     )

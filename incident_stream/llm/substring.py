@@ -6,7 +6,7 @@ equal windows have equal anchors at equal places, so the count of an anchor is n
 a window, while neighbouring windows share anchors and the sketch has a tenth of the entries. A
 window whose estimate is one occurs once. The
 second pass takes only windows whose estimate is two or more and groups them exactly, by 128 bits
-of two independent hashes of their word sequence. What it has to hand back are only the windows
+of hashes of their word sequence: two polynomials over the two halves of XXH3-128 of the words. What it has to hand back are only the windows
 which the sketch overestimated: they occur once, so each belongs to one document, and no answer has
 to reach the many occurrences of a frequent passage.
 """
@@ -39,7 +39,7 @@ class Windows:
         self.width = width
         self.spans = tk.words(texts)
         self.starts = tk.window_starts(self.spans.doc, width)
-        self.word_hashes = [tk.span_hashes(texts, self.spans, row) for row in (0, 1)]
+        self.word_hashes = tk.span_hash_pairs(texts, self.spans)
         self.shingle = max(1, width // 3)
         every = np.arange(max(0, len(self.spans) - self.shingle + 1))
         self.shingles = tk.window_hashes(self.word_hashes[0], every, self.shingle, 0)
@@ -187,8 +187,8 @@ def _candidates(width: int, shared):
     of the first."""
 
     def flush(held: list[tuple]) -> pa.RecordBatch:
-        one, two, doc, text, place = (np.concatenate([h[i] for h in held]) for i in range(5))
-        missing = np.concatenate([h[5] for h in held])
+        one, two, doc, text, more, place = (np.concatenate([h[i] for h in held]) for i in range(6))
+        missing = np.concatenate([h[6] for h in held])
         order = np.lexsort((two, one))
         one, two = one[order], two[order]
         new = np.concatenate(([True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
@@ -202,9 +202,10 @@ def _candidates(width: int, shared):
                 pa.array(counts),
                 pa.array(doc[at], mask=missing[at]),
                 pa.array(text[at]),
+                pa.array(more[at]),
                 pa.array(place[at]),
             ],
-            ["h1", "h2", "n", "k1", "k2", "place"],
+            ["h1", "h2", "n", "k1", "k2", "k3", "place"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,8 +215,9 @@ def _candidates(width: int, shared):
         for batch in batches:
             ids = batch.column(0)
             missing = np.asarray(ids.is_null())
-            ids, texts_hash = np.asarray(ids.fill_null(0)), np.asarray(batch.column(1))
-            for texts in tk.chunks(batch.column(2)):
+            ids = np.asarray(ids.fill_null(0))
+            one, two = np.asarray(batch.column(1)), np.asarray(batch.column(2))
+            for texts in tk.chunks(batch.column(3)):
                 found = Windows(texts, width)
                 starts = found.starts[sketch.repeated(found.anchors)]
                 hashes = found.hashes(starts)
@@ -223,7 +225,7 @@ def _candidates(width: int, shared):
                 first_word = np.searchsorted(found.spans.doc, np.arange(len(texts)))
                 place = (starts - first_word[row]).astype(np.int32)
                 row = row + texts.first
-                held.append((*hashes, ids[row], texts_hash[row], place, missing[row]))
+                held.append((*hashes, ids[row], one[row], two[row], place, missing[row]))
                 n += len(starts)
                 if n >= FLUSH // 2:
                     yield flush(held)
@@ -294,34 +296,40 @@ def remove_repeated(
     starts anywhere else, in the same text too, is removed; windows are judged on the input. The
     words left are joined by single spaces. A null text has no words and stays null; a text of
     fewer words than a window is kept whole; repeated rows are copies of each other and lose all
-    their windows. Rows are told apart by id and a hash of the text, and need no unique id.
+    their windows. Rows are told apart by id and 128 bits of hash of the
+    text, and need no unique id.
     """
     spark = docs.sparkSession
     carry = [c for c in docs.columns if c != text_column] if carry is None else carry
     sketch = build_sketch(docs, text_column, width)
     shared = spark.sparkContext.broadcast(sketch)
     id_key = F.col(id_column).cast("bigint").alias("k1")
-    text_key = F.hash(text_column).alias("k2")
-    likely = docs.select(id_key, text_key, F.col(text_column).alias("t")).mapInArrow(
-        _candidates(width, shared), "h1 bigint, h2 bigint, n bigint, k1 bigint, k2 int, place int"
+    # 128 bits: rows of the same id, or of none, are told apart by them alone
+    text_keys = [F.xxhash64(text_column), F.xxhash64(F.lit("second"), text_column)]
+    keys = [id_key, *[key.alias(f"k{i}") for i, key in enumerate(text_keys, 2)]]
+    likely = docs.select(*keys, F.col(text_column).alias("t")).mapInArrow(
+        _candidates(width, shared),
+        "h1 bigint, h2 bigint, n bigint, k1 bigint, k2 bigint, k3 bigint, place int",
     )
     exact = likely.groupBy("h1", "h2").agg(
         F.sum("n").alias("n"),
         F.min("k1").alias("k1"),
         F.min("k2").alias("k2"),
+        F.min("k3").alias("k3"),
         F.min("place").alias("place"),
     )
-    once = exact.where("n = 1").groupBy("k1", "k2").agg(F.collect_list("place").alias("once"))
-    once = once.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("once").alias("_once"))
+    once = exact.where("n = 1").groupBy("k1", "k2", "k3").agg(F.collect_list("place").alias("_once"))
+    once = once.withColumnsRenamed({"k1": "_k1", "k2": "_k2", "k3": "_k3"})
     rows = docs.select(
         F.col(text_column).alias("_text"),
         *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)],
-        id_key.alias("_i1"),
-        text_key.alias("_i2"),
+        *[key.alias(f"_i{i}") for i, key in enumerate([id_key, *text_keys], 1)],
     )
     met = rows.join(
         once.hint("shuffle_hash"),
-        F.col("_i1").eqNullSafe(F.col("_k1")) & (F.col("_i2") == F.col("_k2")),
+        F.col("_i1").eqNullSafe(F.col("_k1"))
+        & (F.col("_i2") == F.col("_k2"))
+        & (F.col("_i3") == F.col("_k3")),
         "left",
     )
     carried = met.select("_text", "_once", *[f"_c{i}" for i in range(len(carry))])

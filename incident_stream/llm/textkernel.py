@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from xxhash import xxh3_128_digest
 
 CHUNK_BYTES = 1 << 19
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
@@ -134,21 +135,50 @@ def _prefix_sums(values: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray
     return sums, inverse
 
 
-def span_hashes(texts: Texts, spans: Spans, which: int = 0) -> np.ndarray:
-    """A 64-bit hash of the bytes of every span: equal bytes, equal hash. Spans must ascend; they
-    are hashed in blocks of about CHUNK_BYTES, so that long texts need no larger arrays."""
-    length = spans.end - spans.start
-    raw = np.empty(len(spans), dtype=np.uint64)
-    lo = 0
-    while lo < len(spans):
-        base = int(spans.start[lo])
-        hi = max(lo + 1, int(np.searchsorted(spans.end, base + CHUNK_BYTES, "right")))
-        block = texts.data[base : int(spans.end[hi - 1])]
-        sums, inverse = _prefix_sums(block.astype(np.uint64) + np.uint64(1), which)
-        start, end = spans.start[lo:hi] - base, spans.end[lo:hi] - base
-        raw[lo:hi] = (sums[end] - sums[start]) * inverse[start]
-        lo = hi
-    return mix(raw ^ (length.astype(np.uint64) * BASES[1 - which]))
+def span_values(texts: Texts, spans: Spans) -> pa.Array:
+    """The bytes of every span. Spans must ascend and not overlap."""
+    change = np.zeros(len(texts.data) + 1, dtype=np.int8)
+    change[spans.start] += 1
+    change[spans.end] -= 1
+    inside = np.cumsum(change[:-1], dtype=np.int8).astype(bool)
+    ends = np.concatenate(([0], np.cumsum(spans.end - spans.start)))
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(spans), [None, pa.py_buffer(ends), pa.py_buffer(texts.data[inside])]
+    )
+
+
+def span_classes(texts: Texts, spans: Spans) -> tuple[np.ndarray, pa.Array]:
+    """A number for every span, the same for equal bytes and for no others, and the different
+    values in the order of their numbers, which is that of their first spans."""
+    coded = span_values(texts, spans).dictionary_encode()
+    return np.asarray(coded.indices).astype(np.int64), coded.dictionary
+
+
+def value_hashes(values: list[bytes]) -> np.ndarray:
+    """The two halves of XXH3-128 of each value, as two rows."""
+    digests = b"".join([xxh3_128_digest(value) for value in values])
+    return np.frombuffer(digests, dtype=">u8").reshape(-1, 2).T.astype(np.uint64)
+
+
+def span_hash_pairs(texts: Texts, spans: Spans) -> np.ndarray:
+    """128 bits of hash of every span, as two rows. Each different value is hashed once."""
+    number, values = span_classes(texts, spans)
+    return value_hashes(values.to_pylist())[:, number]
+
+
+def sequence_classes(number: np.ndarray, width: int) -> np.ndarray:
+    """For every place with `width` numbers from there on, a number of the sequence: equal ones for
+    equal sequences and for no others. Sequences of twice the length are pairs of shorter ones."""
+
+    def pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        least = min(len(first), len(second))
+        key = first[:least] * (int(second.max(initial=0)) + 1) + second[:least]
+        return np.unique(key, return_inverse=True)[1]
+
+    size, held = 1, number
+    while 2 * size <= width:
+        size, held = 2 * size, pairs(held, held[size:])
+    return pairs(held, held[width - size :]) if size < width else held
 
 
 def window_starts(doc: np.ndarray, width: int) -> np.ndarray:
@@ -159,7 +189,11 @@ def window_starts(doc: np.ndarray, width: int) -> np.ndarray:
 
 
 def window_hashes(hashes: np.ndarray, starts: np.ndarray, width: int, which: int) -> np.ndarray:
-    """A 64-bit hash of the `width` word hashes from each start, in their order."""
+    """A 64-bit hash of the `width` word hashes from each start, in their order.
+
+    A polynomial modulo 2 ** 64. It is fit for short windows of random word hashes only: sequences
+    of two values that mirror each other agree in the more low bits the longer they are.
+    """
     sums, inverse = _prefix_sums(hashes, which)
     return mix((sums[starts + width] - sums[starts]) * inverse[starts])
 

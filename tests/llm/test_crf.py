@@ -101,6 +101,46 @@ def test_labels_of_the_held_out_fold_are_not_used(spark, small):
     assert one.bias == two.bias and all((a == b).all() for a, b in zip(one.tables, two.tables, strict=True))
 
 
+def test_long_toxic_documents_are_learnt(spark, small):
+    """All toxic documents have 30 KB; some have more than an eighth of the bytes of the fit."""
+    docs, labels, texts = small
+    longer = [f"{prose(1000 + i, 2500, 300)} {prose(2000 + i, 2500, 300)} {t}" if i % 3 == 0 else t for i, t in enumerate(texts)]
+    longer[0] += " " + prose(7, 60_000, 300)
+    assert min(len(t) for i, t in enumerate(longer) if i % 3 == 0) > 20_000
+    model = crf.fit(documents(spark, longer), labels)
+    cases = ["so vile it is", "foul", prose(3, 60, 300), prose(4, 6000, 300) + " nasty " + prose(5, 6000, 300)]
+    found = {r[0]: r[1] for r in rows_of(crf.tag(documents(spark, cases), model, carry=["doc_id"]))}
+    assert found[0] > 0.7 and found[1] > 0.7 and found[2] < 0.3 and found[3] > 0.7
+
+
+def test_the_fit_stays_within_its_bytes(spark, small):
+    docs, labels, texts = small
+    bounded = crf.fit(docs, labels, max_bytes=12_000)
+    assert bounded is not None
+    once = docs.join(labels, "doc_id").selectExpr("text", "doc_id as pick", "toxic")
+    for kind in (0, 1):
+        taken = crf._drawn(once, kind, 12_000)
+        assert 0 < sum(len(r["text"].encode()) for r in taken) <= 12_000
+
+
+def test_a_sample_of_a_long_text():
+    text = " ".join(f"w{i}" for i in range(30_000))
+    (out,) = crf._shortened(50_000)(iter([pa.record_batch({"text": [text, "short", "x" * 99_999], "pick": [1, 2, 3]})]))
+    sample, short, one_word = out.column(0).to_pylist()
+    assert short == "short" and one_word == ""
+    words = sample.split()
+    assert 30_000 < len(sample) <= 50_000 and set(words) <= set(text.split())
+    assert words != text.split()[: len(words)]  # not a beginning
+
+
+def test_a_document_that_is_repeated_is_sent_once(spark, small):
+    docs, labels, _ = small
+    again = docs.where("doc_id = 3")
+    many = docs.union(spark.range(20_000).crossJoin(again).select(*docs.columns))
+    one, two = crf.fit(docs, labels), crf.fit(many, labels)
+    assert one.bias == two.bias and all((a == b).all() for a, b in zip(one.tables, two.tables, strict=True))
+
+
 def test_without_labels(spark):
     none = spark.createDataFrame([], LABELS)
     docs = documents(spark, ["a b", None])

@@ -59,6 +59,26 @@ def test_texts_do_not_mix_in_a_chunk():
     assert rules.count_chunk(chunk)["n_dup_lines"].tolist() == [0] * 6
 
 
+def test_lines_and_words_that_mirror_each_other_differ():
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    mirror = word.translate(str.maketrans("ab", "ba"))
+    texts = [f"{word}\n{mirror}", f"{word}\n{word}", " ".join([word, mirror] * 6), word * 700]
+    (chunk,) = tk.chunks(pa.array(texts), limit=1 << 30)
+    found = rules.count_chunk(chunk)
+    assert [tuple(found[c][i] for c in rules.COUNTS[:5]) for i in range(4)] == [base(t) for t in texts]
+    assert found["n_distinct"].tolist() == [2, 1, 2, 1]
+
+
+def test_classes_of_sequences():
+    rng = np.random.default_rng(4)
+    number = rng.integers(0, 3, 400)
+    for width in (1, 2, 3, 5, 8, 35):
+        found = tk.sequence_classes(number, width)
+        windows = [tuple(number[i : i + width]) for i in range(len(number) - width + 1)]
+        assert len(found) == len(windows)
+        assert len(set(zip(found.tolist(), windows))) == len(set(found.tolist())) == len(set(windows))
+
+
 def test_query(spark):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{MIDDLE}/documents.parquet").collect()}
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{MIDDLE}/labels.parquet").collect()}

@@ -77,6 +77,33 @@ def test_repeated_ids_and_rows(spark):
     assert sorted((r[2], r[3]) for r in rows_of(found)) == [(50, 0)] * 3 + [(50, 50)] * 2
 
 
+def thue_morse(letters="ab"):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(1024))
+
+
+def test_words_that_mirror_each_other_differ(spark):
+    """Polynomials modulo 2 ** 64 agree on these two words, whatever their base."""
+    common = " ".join(f"w{i}" for i in range(34))
+    texts = [f"{common} {thue_morse('ab')}", f"{common} {thue_morse('ba')}"]
+    found = substring.remove_repeated(documents(spark, texts), carry=["doc_id"])
+    assert sorted((r[0], r[2], r[3]) for r in rows_of(found)) == [(0, 35, 0), (1, 35, 0)]
+
+
+def test_rows_without_an_id_are_told_apart_by_their_whole_text(spark):
+    """A third text has the passage of the first; the second, which also has no id, has the same
+    32-bit hash of Spark as the first and passages that occur once."""
+    from pyspark.sql.functions import col, hash
+
+    words = spark.range(300_000).select(F.concat(F.lit("t"), "id", F.lit(" " + prose(50, 34))).alias("t"))
+    twins = words.groupBy(hash(col("t")).alias("h")).agg(F.collect_list("t").alias("ts")).where("size(ts) > 1")
+    one, two = twins.orderBy("h").first()["ts"][:2]
+    texts = [(None, one), (None, two), (5, f"{prose(51, 40)} {one}"), (None, prose(52, 50)), (7, f"{one} {prose(53, 9)}")]
+    found = substring.remove_repeated(documents(spark, texts), carry=["doc_id"])
+    got = {(r[0], r[2], r[3]) for r in rows_of(found)}
+    want = {(i, n, gone) for (i, _), (n, gone, _) in zip(texts, expected([t for _, t in texts]), strict=True)}
+    assert got == want
+
+
 def test_empty_table(spark):
     assert rows_of(substring.remove_repeated(documents(spark, []))) == []
 
