@@ -1,25 +1,35 @@
 """Sharding along a Hilbert curve.
 
-Several metadata columns are quantised to cells of a grid; the rows are sorted by the place of
-their cell on a Hilbert curve, and the sorted rows are cut into shards of near equal bytes. Rows
-that are near each other in all dimensions so land in few shards, whose minima and maxima then
-prune files for a filter on any of the dimensions.
+Several metadata columns are quantised to cells of a grid, in the order of their values and so that
+the cells of a column hold equal shares of the bytes. The rows are sorted by the place of their cell
+on a Hilbert curve, and the sorted rows are cut into shards of near equal bytes. Rows that are near
+each other in all dimensions so land in few shards, whose least and greatest values then prune
+files for a filter on any of the dimensions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from incident_stream.llm.common import offsets_of, written
+from incident_stream.llm.common import free_name, offsets_of, written
 
 BITS = 6
 ROW_BYTES = 16
+# Sizes are weighed in so many classes for each doubling; of a category, so many values are weighed,
+# those with the most bytes, and any other value goes where the next smaller one goes.
+SIZE_CLASSES = 32
+WEIGHED_VALUES = 4096
+# Columns of one group are one dimension, ordered by the first, then by the next. With 40 shards a
+# third dimension would leave each only three or four stretches.
+DIMENSIONS = (("lang", "source"),)
 
 
 def curve_index(axes: list[np.ndarray], bits: int) -> np.ndarray:
@@ -50,36 +60,63 @@ def curve_index(axes: list[np.ndarray], bits: int) -> np.ndarray:
     return place.astype(np.int64)
 
 
-def category_cell(value: Column, bits: int = BITS) -> Column:
-    """Equal values share a cell; null is a value of its own."""
-    return F.pmod(F.xxhash64(value), F.lit(1 << bits)).cast("int")
+@dataclass(frozen=True)
+class Cells:
+    """The cells of one dimension: ascending values, and the cell that begins with each."""
 
+    values: np.ndarray
+    cells: np.ndarray
 
-def size_cell(size: Column, bits: int = BITS) -> Column:
-    """Two cells for each doubling."""
-    return F.least(F.floor(2 * F.log2(size.cast("double"))), F.lit((1 << bits) - 1)).cast("int")
+    @classmethod
+    def of(cls, weights: dict, bits: int) -> Cells:
+        """Each value goes to the cell in which the middle of its weight lies."""
+        values = np.array(sorted(weights))
+        weight = np.array([weights[v] for v in values.tolist()], dtype=np.float64)
+        middle = (np.cumsum(weight) - weight / 2) / max(1.0, weight.sum())
+        return cls(values, np.minimum(middle * (1 << bits), (1 << bits) - 1).astype(np.int64))
 
+    def place(self, values: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.values, values, "right") - 1
+        return self.cells[np.maximum(at, 0)] if len(self.cells) else np.zeros(len(values), np.int64)
 
-def range_cell(value: Column, low, high, bits: int = BITS) -> Column:
-    """Equal cells between the least and the greatest value; null goes to the first."""
-    if low is None or high == low:
-        return F.lit(0)
-    share = (value.cast("double") - F.lit(float(low))) / F.lit(float(high) - float(low))
-    cell = F.floor(share * F.lit(1 << bits)).cast("int")
-    return F.coalesce(F.least(cell, F.lit((1 << bits) - 1)), F.lit(0))
 
+def _category(names: tuple[str, ...]) -> Column:
+    """The values of the columns as one text; null comes before all others."""
+    values = [F.coalesce(F.concat(F.lit("="), F.col(n).cast("string")), F.lit("")) for n in names]
+    return F.concat_ws("\1", *values)
 
-def _placed(bits: int):
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            axes = [np.asarray(batch.column(i)) for i in range(3, batch.num_columns)]
-            curve = pa.array(curve_index(axes, bits))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), curve],
-                ["doc_id", "size", "text_crc32", "curve"],
-            )
 
-    return place
+def _held(docs: DataFrame, dimensions: tuple[tuple[str, ...], ...]) -> list[tuple[str, ...]]:
+    """The groups without the columns that the table does not have."""
+    groups = [tuple(name for name in group if name in docs.columns) for group in dimensions]
+    return [group for group in groups if group]
+
+
+def _size_class(size: Column) -> Column:
+    return F.floor(F.log2(size.cast("double")) * SIZE_CLASSES).cast("int")
+
+
+def _size(text_column: str) -> Column:
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    return (F.octet_length(text) + ROW_BYTES).cast("bigint")
+
+
+def _curve(docs: DataFrame, groups: list[tuple[str, ...]], text_column: str, bits: int) -> Column:
+    """The place of a row on the curve of its dimensions and its size."""
+    size = _size(text_column)
+    inputs = [*[_category(group) for group in groups], _size_class(size)]
+    axes = []
+    for value in inputs:
+        weights = docs.groupBy(value.alias("value")).agg(F.sum(size).alias("weight"))
+        top = weights.orderBy(F.desc("weight"), "value").limit(WEIGHED_VALUES)
+        axes.append(Cells.of({r["value"]: float(r["weight"]) for r in top.collect()}, bits))
+
+    def placed(values: pd.DataFrame) -> pd.Series:
+        cells = [axis.place(values[f"v{i}"].to_numpy()) for i, axis in enumerate(axes)]
+        return pd.Series(curve_index(cells, bits))
+
+    names = [value.alias(f"v{i}") for i, value in enumerate(inputs)]
+    return F.pandas_udf(placed, "bigint")(F.struct(*names))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,53 +129,41 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(size)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0),
-                batch.column(1),
-                batch.column(2),
-                batch.column(3),
+                *batch.columns,
                 pa.array(np.full(n, part, dtype=np.int32)),
                 pa.array(np.arange(rows, rows + n, dtype=np.int64)),
                 pa.array(bytes_before + ends - size),
             ],
-            ["doc_id", "size", "text_crc32", "curve", "part", "rows_before", "bytes_before"],
+            [*batch.schema.names, "part", "rows_before", "bytes_before"],
         )
         rows += n
         bytes_before += int(ends[-1]) if n else 0
 
 
-def shard_by_curve(
-    docs: DataFrame, shards: int = 40, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """Shard, slot and size of every row, in the order of the curve, by the law `bytes`.
+ORDER = ["curve", "text_crc32", "doc_id", "tie"]
+META = "doc_id bigint, size bigint, text_crc32 bigint, curve bigint, tie bigint"
 
-    The dimensions are `lang`, `source` (each where it exists), the size and the id. A row's size
-    is the UTF-8 bytes of its text (null: none) plus 16. The sorted rows are laid end to end; the
-    row whose middle byte lies in the k-th of `shards` equal stretches goes to shard k. Ties on
-    the curve are ordered by checksum and id, so equal texts of one cell stand together; the
-    number of the row comes last, so that even repeated rows spread over the tasks. A row larger
-    than a stretch can leave a shard empty. An empty table gives no rows; a null id is a value
-    like any other. Only ids, sizes and checksums are shuffled, never texts.
-    """
+
+def _meta(curve: Column, id_column: str, text_column: str) -> dict[str, Column]:
+    """What the order rests on: curve, checksum, id. A hash of the row's number comes last, so that
+    even repeated rows spread; as these are equal, it does not matter which is which."""
+    return {
+        "doc_id": F.col(id_column).cast("bigint"),
+        "size": _size(text_column),
+        "text_crc32": F.crc32(F.coalesce(F.col(text_column), F.lit(""))),
+        "curve": curve,
+        "tie": F.xxhash64(F.monotonically_increasing_id()),
+    }
+
+
+def _cut(docs: DataFrame, meta: dict[str, Column], shards: int) -> DataFrame:
+    """The columns of META for every row, its shard, and its number in the order of the rows."""
     spark = docs.sparkSession
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    low, high = docs.agg(F.min(id_column), F.max(id_column)).first()
-    size = (F.octet_length(text) + ROW_BYTES).cast("bigint")
-    kinds = [category_cell(F.col(c)) for c in ("lang", "source") if c in docs.columns]
-    cells = [*kinds, size_cell(size), range_cell(F.col(id_column), low, high)]
-    meta = docs.select(
-        F.col(id_column).cast("bigint").alias("doc_id"),
-        size.alias("size"),
-        F.crc32(text).alias("text_crc32"),
-        *[c.alias(f"cell{i}") for i, c in enumerate(cells)],
-    )
-    ddl = "doc_id bigint, size bigint, text_crc32 bigint, curve bigint"
-    placed = written(meta.mapInArrow(_placed(BITS), ddl))
-    order = ["curve", "text_crc32", "doc_id", "_tie"]
-    numbered = placed.withColumn("_tie", F.monotonically_increasing_id())
+    placed = written(docs.select([column.alias(name) for name, column in meta.items()]))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = numbered.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    ddl += ", part int, rows_before bigint, bytes_before bigint"
-    counted = written(ranged.drop("_tie").mapInArrow(_counted, ddl))
+    ranged = placed.repartitionByRange(parts, *ORDER).sortWithinPartitions(*ORDER)
+    ddl = f"{META}, part int, rows_before bigint, bytes_before bigint"
+    counted = written(ranged.mapInArrow(_counted, ddl))
     # one row per partition, a few thousand numbers however large the table
     sums = counted.groupBy("part").agg(F.count("*"), F.sum("size")).collect()
     before = offsets_of({r[0]: (r[1], r[2]) for r in sums})
@@ -146,17 +171,35 @@ def shard_by_curve(
     known = spark.createDataFrame(
         [(p, *b) for p, b in before.items()], "part int, rows_at bigint, bytes_at bigint"
     )
-    laid = counted.join(F.broadcast(known), "part").select(
-        "doc_id",
-        "size",
-        "text_crc32",
-        "curve",
+    laid = counted.join(F.broadcast(known), "part")
+    byte = (F.col("bytes_before") + F.col("bytes_at")).cast("decimal(38,0)")
+    shard = F.floor((byte * 2 + F.col("size")) * shards / F.lit(2 * total)).cast("int")
+    return laid.select(
+        *meta,
+        F.least(shard, F.lit(shards - 1)).alias("shard"),
         (F.col("rows_before") + F.col("rows_at")).alias("row"),
-        (F.col("bytes_before") + F.col("bytes_at")).alias("byte"),
     )
-    middle = F.col("byte").cast("decimal(38,0)") * 2 + F.col("size")
-    shard = F.floor(middle * shards / F.lit(2 * total)).cast("int")
-    cut = laid.withColumn("shard", F.least(shard, F.lit(shards - 1)))
+
+
+def shard_by_curve(
+    docs: DataFrame,
+    shards: int = 40,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    dimensions: tuple[tuple[str, ...], ...] = DIMENSIONS,
+) -> DataFrame:
+    """Shard, slot and size of every row, in the order of the curve, by the law `bytes`.
+
+    The dimensions are the groups of columns that the table has, and the size. A row's size is the
+    UTF-8 bytes of its text (null: none) plus 16. The sorted rows are laid end to end; the row whose
+    middle byte lies in the k-th of `shards` equal stretches goes to shard k. Ties on the curve are
+    ordered by checksum and id, so equal texts of one cell stand together; a hash of the number of
+    the row comes last, so that even repeated rows spread over the tasks. A row larger than a
+    stretch can leave a shard empty. An empty table gives no rows; nulls are values like any
+    other. Only ids, sizes, checksums and places are shuffled, never texts.
+    """
+    curve = _curve(docs, _held(docs, dimensions), text_column, BITS)
+    cut = _cut(docs, _meta(curve, id_column, text_column), shards)
     firsts = cut.groupBy("shard").agg(F.min("row").alias("first_row"))
     return cut.join(F.broadcast(firsts), "shard").select(
         "doc_id",
@@ -168,3 +211,120 @@ def shard_by_curve(
         F.lit(None).cast("int").alias("grown_shard"),
         "curve",
     )
+
+
+@dataclass(frozen=True)
+class Shards:
+    """Written shards: one folder each below `path`, `<shard>=<number>`, with the rows in the order
+    of the curve, and least and greatest values of every shard.
+
+    `names` has what the added columns are called: shard, size, crc, and place, which orders them.
+    """
+
+    path: str
+    names: dict[str, str]
+    groups: tuple[tuple[str, ...], ...]
+
+    def read(self, spark: SparkSession, shards: list[int] | None = None) -> DataFrame:
+        """All rows, or those of some shards; of the others no file is opened."""
+        rows = spark.read.parquet(self.path)
+        return rows if shards is None else rows.where(F.col(self.names["shard"]).isin(shards))
+
+    def bounds(self, spark: SparkSession) -> DataFrame:
+        """For each shard that has rows: their number and bytes, and of each column of a dimension, of
+        each group of columns as a whole, and of the size the least and greatest value, and whether
+        there are nulls. Only these columns are read."""
+        own = self.names
+        columns = [F.count("*").alias("rows"), F.sum(own["size"]).alias("bytes")]
+        singles = [(name, F.col(name)) for group in self.groups for name in group]
+        for name, column in [*singles, ("size", F.col(own["size"]))]:
+            columns += [F.min(column).alias(f"least_{name}"), F.max(column).alias(f"greatest_{name}")]
+            columns.append(F.bool_or(column.isNull()).alias(f"null_{name}"))
+        for group in self.groups:
+            whole = F.struct(*group)
+            columns += [F.min(whole).alias(f"least {group}"), F.max(whole).alias(f"greatest {group}")]
+        return self.read(spark).groupBy(F.col(own["shard"]).alias("shard")).agg(*columns)
+
+    def meeting(self, bounds: DataFrame, name: str | tuple[str, ...], low, high) -> list[int]:
+        """The shards that can hold a row whose `name` lies between `low` and `high`, both included;
+        for a group, which is ordered by its columns in turn, all three are tuples. `bounds` has a
+        row for each shard."""
+        least, greatest = (f"`{kind}{'_' if isinstance(name, str) else ' '}{name}`" for kind in ("least", "greatest"))
+        if not isinstance(name, str):
+            low, high = (F.struct(*[F.lit(v).alias(n) for n, v in zip(name, end, strict=True)]) for end in (low, high))
+        met = bounds.where((F.col(least) <= F.lit(high)) & (F.col(greatest) >= F.lit(low)))
+        return sorted(r["shard"] for r in met.select("shard").collect())
+
+    def slots(self, spark: SparkSession) -> DataFrame:
+        """All rows with `slot`, their number within the shard, without gaps from 0."""
+        rows = self.read(spark)
+        shard, place = self.names["shard"], self.names["place"]
+        part = F.shiftright(place, 33).cast("int")
+        # a row for each shard and task: the tasks follow the order, so few tasks share a shard
+        found = rows.groupBy(F.col(shard).alias("shard"), part.alias("part")).agg(
+            F.min(place).alias("first"), F.count("*").alias("n")
+        )
+        starts, held = [], {}
+        for r in sorted(found.collect(), key=lambda r: (r["shard"], r["part"])):
+            at = held.get(r["shard"], 0)
+            starts.append((r["shard"], r["part"], r["first"] - at))
+            held[r["shard"]] = at + r["n"]
+        known = spark.createDataFrame(starts, "_shard int, _part int, _first bigint")
+        on = (F.col(shard) == F.col("_shard")) & (part == F.col("_part"))
+        slot = (F.col(place) - F.col("_first")).alias("slot")
+        return rows.join(F.broadcast(known), on).select(*rows.columns, slot)
+
+
+def write_shards(
+    docs: DataFrame,
+    path: str,
+    shards: int = 40,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    dimensions: tuple[tuple[str, ...], ...] = DIMENSIONS,
+) -> Shards:
+    """Write the rows, with all their columns, into a folder for each shard of `shard_by_curve`.
+
+    The shards are told by their first keys, which are as many as there are shards; a row finds its
+    shard by comparing its own key with them, so no row is joined. Each shard is written by several
+    tasks, one stretch of the order each. The added columns get underscores where a name is taken.
+    """
+    spark = docs.sparkSession
+    groups = _held(docs, dimensions)
+    meta = _meta(_curve(docs, groups, text_column, BITS), id_column, text_column)
+    key = F.struct(*[F.col(name) for name in ORDER])
+    firsts = _cut(docs, meta, shards).groupBy("shard").agg(F.min(key).alias("first")).collect()
+    kind = "struct<" + ",".join(f"{name}:bigint" for name in ORDER) + ">"
+    begins = [F.struct(*[F.lit(v).cast("bigint") for v in r["first"]]).cast(kind) for r in firsts]
+    names = {own: free_name(docs, f"curve_{own}") for own in ("shard", "size", "crc", "place")}
+    mine = {name: column.alias(f"_{name}_") for name, column in meta.items()}
+    rows = docs.select("*", *mine.values())
+    own_key = F.struct(*[F.col(f"_{name}_").alias(name) for name in ORDER]).cast(kind)
+    passed = [F.when(own_key >= begin, F.lit(r["shard"])) for r, begin in zip(firsts, begins, strict=True)]
+    shard = F.greatest(F.lit(0), F.lit(0), *passed) if passed else F.lit(0)
+    order = ["_shard_", *[f"_{name}_" for name in ORDER]]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sorted_rows = rows.withColumn("_shard_", shard).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    out = sorted_rows.select(
+        *docs.columns,
+        F.col("_size_").alias(names["size"]),
+        F.col("_text_crc32_").alias(names["crc"]),
+        F.monotonically_increasing_id().alias(names["place"]),
+        F.col("_shard_").alias(names["shard"]),
+    )
+    out.write.partitionBy(names["shard"]).parquet(path)
+    return Shards(path, names, tuple(groups))
+
+
+def digest(shards: Shards, spark: SparkSession, id_column: str = "doc_id") -> DataFrame:
+    """Id, size, checksum, shard and slot of every written row."""
+    names = shards.names
+    return shards.slots(spark).select(
+        F.col(id_column).cast("bigint").alias("doc_id"),
+        F.col(names["size"]).alias("size"),
+        F.col(names["crc"]).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        F.col(names["shard"]).alias("shard"),
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )

@@ -24,6 +24,7 @@ from incident_stream.llm import (
     warc,
 )
 from incident_stream.llm.common import job, table, written
+from incident_stream.settings import new_work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,7 +47,7 @@ def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @job
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return spm_transducer.code(table(spark, sf_dir, "documents"), model, with_ids=False)
+    return spm_transducer.code(table(spark, sf_dir, "documents"), model)
 
 
 @job
@@ -127,7 +128,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @job
 def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hilbert.shard_by_curve(table(spark, sf_dir, "documents")).drop("curve")
+    folder = new_work_dir(spark)
+    return hilbert.digest(hilbert.write_shards(table(spark, sf_dir, "documents"), folder), spark)
 
 
 @job

@@ -1,12 +1,17 @@
 """SentencePiece coding as a shortest path through a weighted transducer.
 
-The transducer of a model has three parts. The normaliser rewrites the text: a space is put in
-front and every space becomes the model's blank symbol. The piece part reads a run of symbols and
+The transducer of a model has three parts. The normaliser rewrites the text: the model's table of
+character rules is an automaton whose longest match at each place is replaced, then a space is put
+in front and every space becomes the model's blank symbol. The piece part reads a run of symbols and
 writes a piece; the fallback part reads a symbol of no piece and writes its UTF-8 bytes as byte
 pieces. Composed with an input, the parts give a graph over its positions, with one arc for every
 piece that stands there, and the coding is its shortest path in the tropical semiring: weights add
 along a path, and the least sum wins.
 
+No arc reaches across two symbols that stand side by side in no piece, so the shortest path of a
+text is made of those of its units, the runs between such places. Only the different units of a
+chunk of texts are composed.
+
 Unigram models weigh a piece by its negated score. In a model of merges the pieces that may follow
 each other are restricted: two neighbours are allowed if the merges turn their joined text into just
 these two. That is the acceptor which the transducer is composed with; any other transition has an
@@ -18,7 +23,6 @@ finite weight, and a state is a position with the piece that ends there.
 from __future__ import annotations
 
 import heapq
-import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -27,14 +31,24 @@ from operator import itemgetter
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from incident_stream.llm import textkernel as tk
+
 BLANK = "▁"
 UNIGRAM, MERGES = 1, 2
-CACHE_UNITS = 600_000
+# A worker remembers coded units in two generations of so many bytes, units of up to so many symbols.
+CACHE_BYTES = 160 << 20
+ENTRY_BYTES = 200
+LONGEST_KEPT = 256
 CACHE_PAIRS = 2_000_000
+CHUNK_BYTES = 1 << 20
+# Side by side symbols are looked up in a table, of models with up to so many different symbols.
+TABLE_SYMBOLS = 4096
+SPACE, MARK = 0x20, 0x2581
 INFINITE = float("inf")
 
 
@@ -62,22 +76,55 @@ def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
         yield key >> 3, value
 
 
+def character_rules(table: bytes) -> dict[str, str]:
+    """What a model's table of character rules replaces, and by what.
+
+    The table is a trie over UTF-8 in two arrays in one: a node holds where its children begin, and
+    a child lies there, moved by its byte, if it carries that byte as its label; a leaf gives the
+    place of a text in the pool that follows the trie.
+    """
+    if not table:
+        return {}
+    size = struct.unpack("<I", table[:4])[0]
+    units = np.frombuffer(table[4 : 4 + size], dtype="<u4").astype(np.int64)
+    pool = table[4 + size :]
+    begins = (units >> 10) << ((units & (1 << 9)) >> 6)
+    leaf, label = (units >> 8) & 1 == 1, units & ((1 << 31) | 0xFF)
+    rules: dict[str, str] = {}
+    every = np.arange(1, 256)
+    waiting = [(int(begins[0]), b"")]
+    while waiting:
+        at, key = waiting.pop()
+        children = at ^ every
+        inside = children < len(units)
+        found = every[inside][label[children[inside]] == every[inside]]
+        for byte in found.tolist():
+            node = at ^ byte
+            below = node ^ int(begins[node])
+            longer = key + bytes([byte])
+            if leaf[node]:
+                place = int(units[below]) & ((1 << 31) - 1)
+                rules[longer.decode()] = pool[place : pool.index(b"\0", place)].decode()
+            waiting.append((below, longer))
+    return rules
+
+
 class Transducer:
     """Compiled from a model file: normaliser, pieces, byte fallback, and which pieces may meet."""
 
     def __init__(self, model_file: str) -> None:
         model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         self.kind, self.dummy_prefix, self.single_blanks = UNIGRAM, True, True
+        rules: dict[str, str] = {}
         # Field numbers of the public model format.
         for field, value in _fields(model.serialized_model_proto()):
             if field == 2:
                 self.kind = dict(_fields(value)).get(3, UNIGRAM)
             elif field == 3:
-                rules = dict(_fields(value))
-                if rules.get(2):
-                    raise ValueError("models with a table of character rules are not supported")
-                self.dummy_prefix = bool(rules.get(3, 1))
-                self.single_blanks = bool(rules.get(4, 1))
+                spec = dict(_fields(value))
+                rules = character_rules(spec.get(2, b""))
+                self.dummy_prefix = bool(spec.get(3, 1))
+                self.single_blanks = bool(spec.get(4, 1))
         if self.kind not in (UNIGRAM, MERGES):
             raise ValueError("only unigram models and models of merges are supported")
         n = model.get_piece_size()
@@ -99,20 +146,36 @@ class Transducer:
         for byte, i in self.bytes.items():
             self.text_of[i] = bytes([byte])
         self.text_of[self.unknown] = " ⁇ ".encode()
-        # where no piece reaches across, a text can be coded part by part: before a blank that
-        # follows another symbol, and on both sides of a symbol in no piece
-        letters = set("".join(self.id_of))
-        alone = "".join(c for c in "\n\t\r" if c not in letters)
-        split_blank = not any(BLANK in p.lstrip(BLANK) for p in self.id_of)
-        one = f"[{re.escape(alone)}]|" if alone else ""
-        self.unit = re.compile(
-            f"{one}{BLANK}*[^{BLANK}{alone}]+|{BLANK}+" if split_blank else ".+", re.DOTALL
-        )
+        self.rules = None
+        if rules:
+            self.rules = ahocorasick.Automaton()
+            for text, out in rules.items():
+                self.rules.add_word(text, (len(text), out))
+            self.rules.make_automaton()
+        # which symbols stand side by side in a piece
+        pairs = {pair for piece in self.id_of for pair in zip(piece, piece[1:], strict=False)}
+        symbols = sorted({ord(c) for pair in pairs for c in pair})
+        self.symbol = np.zeros(0x110000, dtype=np.int32)
+        self.symbol[symbols] = np.arange(1, len(symbols) + 1)
+        self.width = len(symbols) + 1
+        codes = [int(self.symbol[ord(a)]) * self.width + int(self.symbol[ord(b)]) for a, b in pairs]
+        self.pairs = np.unique(np.array(codes, dtype=np.int64))
+        self.table = None
+        if self.width <= TABLE_SYMBOLS:
+            self.table = np.zeros(self.width * self.width, dtype=bool)
+            self.table[self.pairs] = True
+        # without byte pieces, neighbours in no piece become one unknown id and stay together
+        self.lone = np.ones(0x110000, dtype=bool)
+        self.lone[[ord(c) for c in set("".join(self.id_of))]] = False
         # what has been worked out, in two generations: the older one goes when the newer is full
-        self.allowed: dict[str, dict[str, bool]] = {}
-        self.n_allowed = 0
-        self.known: dict[str, bytes] = {}
-        self.known_before: dict[str, bytes] = {}
+        self.allowed: dict[tuple[str, str], bool] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.known_before: dict[bytes, bytes] = {}
+        self.known_bytes = 0
+        # the bytes that ids stand for, one after the other
+        self.text_length = np.array([len(t) for t in self.text_of], dtype=np.int64)
+        self.text_first = np.cumsum(self.text_length) - self.text_length
+        self.text_bytes = np.frombuffer(b"".join(self.text_of), dtype=np.uint8)
 
     @property
     def automaton(self) -> ahocorasick.Automaton:
@@ -141,12 +204,64 @@ class Transducer:
 
     # --- normaliser ---------------------------------------------------------------------------
 
-    def normalise(self, text: str) -> str:
-        if self.single_blanks:
-            text = re.sub(" +", " ", text.strip(" "))
-        if not text:
-            return ""
-        return (BLANK if self.dummy_prefix else "") + text.replace(" ", BLANK)
+    def rewritten(self, text: str) -> str:
+        """The character rules, applied from left to right, the longest that fits at each place."""
+        out, at = [], 0
+        for end, (size, by) in self.rules.iter_long(text):
+            out += [text[at : end + 1 - size], by]
+            at = end + 1
+        return "".join([*out, text[at:]])
+
+    def normalised(self, texts: tk.Texts) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all texts after normalising, and where each text's symbols end."""
+        raw = texts.data.tobytes()
+        if self.rules is not None:
+            parts = [self.rewritten(texts.text(i).decode()) for i in range(len(texts))]
+            lengths = np.array([len(p) for p in parts], dtype=np.int64)
+            raw = "".join(parts).encode()
+        else:
+            firsts = np.concatenate(([0], np.cumsum((texts.data & 0xC0) != 0x80)))
+            lengths = np.diff(firsts[texts.offsets])
+        symbols = np.frombuffer(raw.decode().encode("utf-32-le"), dtype="<u4").astype(np.int64)
+        doc = np.repeat(np.arange(len(texts)), lengths)
+        if self.single_blanks and len(symbols):
+            blank = symbols == SPACE
+            new = np.concatenate(([True], doc[1:] != doc[:-1]))
+            again = np.concatenate(([False], blank[:-1])) | new
+            stay = ~(blank & again)
+            symbols, doc = symbols[stay], doc[stay]
+            # at the end of a text also blank symbols that stood in it go
+            ink = np.full(len(texts), -1, dtype=np.int64)
+            inked = np.flatnonzero((symbols != SPACE) & (symbols != MARK))
+            ink[doc[inked]] = inked
+            stay = np.arange(len(symbols)) <= ink[doc]
+            symbols, doc = symbols[stay], doc[stay]
+        symbols[symbols == SPACE] = MARK
+        lengths = np.bincount(doc, minlength=len(texts))
+        if self.dummy_prefix:
+            # a text that the rules leave nothing of has one as well
+            full = np.flatnonzero(lengths if self.single_blanks else np.diff(texts.offsets))
+            symbols = np.insert(symbols, (np.cumsum(lengths) - lengths)[full], MARK)
+            lengths[full] += 1
+        return symbols, np.cumsum(lengths)
+
+    def units(self, symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where the units start: at the texts' starts, and between symbols that no piece joins."""
+        cut = np.ones(len(symbols), dtype=bool)
+        if len(symbols) > 1:
+            code = self.symbol[symbols]
+            pair = code[:-1].astype(np.int64) * self.width + code[1:]
+            if self.table is not None:
+                joined = self.table[pair]
+            else:
+                place = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+                joined = self.pairs[place] == pair if len(self.pairs) else np.zeros(len(pair), bool)
+            if not self.bytes:
+                lone = self.lone[symbols]
+                joined = joined | (lone[:-1] & lone[1:])
+            cut[1:] = ~joined
+            cut[ends[:-1][ends[:-1] < len(symbols)]] = True
+        return np.flatnonzero(cut)
 
     # --- which pieces may meet ------------------------------------------------------------------
 
@@ -181,12 +296,10 @@ class Transducer:
     def may_meet(self, left: str, right: str) -> bool:
         """Weight of the transition: 0 if true, infinite if not. `left` is empty at the start. Notes
         what it finds in `allowed`."""
-        if self.n_allowed >= CACHE_PAIRS:
-            self.allowed, self.n_allowed = {}, 0
+        if len(self.allowed) >= CACHE_PAIRS:
+            self.allowed = {}
         wanted = [left, right] if left else [right]
-        found = self.merged(left + right) == wanted
-        self.allowed.setdefault(left, {})[right] = found
-        self.n_allowed += 1
+        found = self.allowed[left, right] = self.merged(left + right) == wanted
         return found
 
     # --- shortest path ----------------------------------------------------------------------------
@@ -194,22 +307,29 @@ class Transducer:
     def shortest_path(self, symbols: str) -> list[str]:
         """The pieces, and single symbols of no piece, on the path of least weight."""
         n = len(symbols)
+        if n == 1:
+            return [symbols]
         weight = [0.0] + [INFINITE] * n
         last: list[str] = [""] * (n + 1)
-        merges = self.kind == MERGES
-        after: list[dict[str, bool]] = [self.allowed.setdefault("", {})] * (n + 1)
-        for end, (piece, size, arc) in self.arcs(symbols):
-            start = end + 1 - size
-            total = weight[start] + arc
-            if total < weight[end + 1]:
-                if merges:
-                    meets = after[start].get(piece)
+        if self.kind == MERGES:
+            allowed = self.allowed
+            for end, (piece, size, arc) in self.arcs(symbols):
+                end += 1
+                total = weight[end - size] + arc
+                if total < weight[end]:
+                    left = last[end - size]
+                    meets = allowed.get((left, piece))
                     if meets is None:
-                        meets = self.may_meet(last[start], piece)
-                    if not meets:
-                        continue
-                    after[end + 1] = self.allowed.setdefault(piece, {})
-                weight[end + 1], last[end + 1] = total, piece
+                        meets = self.may_meet(left, piece)
+                        allowed = self.allowed
+                    if meets:
+                        weight[end], last[end] = total, piece
+        else:
+            for end, (piece, size, arc) in self.arcs(symbols):
+                end += 1
+                total = weight[end - size] + arc
+                if total < weight[end]:
+                    weight[end], last[end] = total, piece
         path = []
         while n:
             path.append(last[n])
@@ -235,30 +355,65 @@ class Transducer:
 
     # --- whole texts --------------------------------------------------------------------------------
 
-    def _unit(self, symbols: str) -> bytes:
-        found = self.known.get(symbols)
+    def _unit(self, unit: bytes) -> bytes:
+        """The ids of a unit, which comes in UTF-32, from the older generation or worked out."""
+        found = self.known_before.get(unit)
         if found is None:
-            found = self.known_before.get(symbols)
-            if found is None:
-                ids = self.ids_of(self.shortest_path(symbols))
-                found = struct.pack(f"<{len(ids)}I", *ids)
-            if len(self.known) >= CACHE_UNITS:
-                self.known_before, self.known = self.known, {}
-            self.known[symbols] = found
+            ids = self.ids_of(self.shortest_path(unit.decode("utf-32-le")))
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        if len(unit) <= 4 * LONGEST_KEPT:
+            if self.known_bytes >= CACHE_BYTES:
+                self.known_before, self.known, self.known_bytes = self.known, {}, 0
+            self.known[unit] = found
+            self.known_bytes += len(unit) + len(found) + ENTRY_BYTES
         return found
 
-    def encode(self, text: str) -> np.ndarray:
-        units = self.unit.findall(self.normalise(text))
+    def _coded(self, units: list[bytes]) -> list[bytes]:
         coded = list(map(self.known.get, units))
         for i in [i for i, found in enumerate(coded) if found is None]:
             coded[i] = self._unit(units[i])
-        return np.frombuffer(b"".join(coded), dtype="<u4")
+        return coded
+
+    def encode_chunk(self, texts: tk.Texts) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's ids end."""
+        symbols, ends = self.normalised(texts)
+        starts = self.units(symbols, ends)
+        if len(starts) == 0:
+            return np.empty(0, "<u4"), np.zeros(len(texts), np.int64)
+        raw = tk.Texts(0, symbols.astype("<u4").view(np.uint8), 4 * np.concatenate(([0], ends)))
+        stops = np.append(starts[1:], len(symbols))
+        doc = np.searchsorted(ends, starts, "right")
+        number, values = tk.span_classes(raw, tk.Spans(4 * starts, 4 * stops, doc))
+        coded = self._coded(values.to_pylist())
+        length = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // 4
+        flat = np.frombuffer(b"".join(coded), dtype="<u4")
+        ids = flat[tk.expand((np.cumsum(length) - length)[number], length[number])]
+        per_text = np.bincount(doc, weights=length[number], minlength=len(texts))
+        return ids, np.cumsum(per_text).astype(np.int64)
+
+    def encode(self, text: str) -> np.ndarray:
+        (texts,) = tk.chunks(pa.array([text]))
+        return self.encode_chunk(texts)[0]
+
+    def decode_chunk(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts that runs of ids stand for."""
+        length = self.text_length[ids]
+        data = self.text_bytes[tk.expand(self.text_first[ids], length)].tobytes()
+        stops = np.concatenate(([0], np.cumsum(length)))[ends].tolist()
+        out = []
+        firsts = [0, *ends[:-1].tolist()]
+        for first, last, lo, hi in zip(firsts, ends.tolist(), [0, *stops[:-1]], stops, strict=True):
+            # the blank of the prefix goes; without extra blanks, every piece at the front loses one
+            for i in ids[first:last].tolist() if self.dummy_prefix or self.single_blanks else ():
+                begins = self.text_of[i][:1] == b" "
+                lo += begins
+                if not (self.single_blanks and begins and len(self.text_of[i]) == 1):
+                    break
+            out.append(data[lo:hi].decode("utf-8", "replace"))
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
-        raw = b"".join(map(self.text_of.__getitem__, ids.tolist()))
-        if self.dummy_prefix and raw.startswith(b" "):
-            raw = raw[1:]
-        return raw.decode("utf-8", "replace")
+        return self.decode_chunk(ids, np.array([len(ids)]))[0]
 
 
 _compiled: dict[str, Transducer] = {}
@@ -270,24 +425,23 @@ def _coded(model_file: str, with_ids: bool):
         if transducer is None:  # a worker keeps it for its next tasks
             transducer = _compiled[model_file] = Transducer(model_file)
         for batch in batches:
-            n_ids, crc, same, ids_out, text_out = [], [], [], [], []
-            for text in batch.column(0).to_pylist():
-                ids = transducer.encode(text or "")
-                decoded = transducer.decode(ids)
-                n_ids.append(len(ids))
-                crc.append(zlib.crc32(ids.tobytes()))
-                same.append(decoded == (text or ""))
+            for texts in tk.chunks(batch.column(0), CHUNK_BYTES):
+                ids, ends = transducer.encode_chunk(texts)
+                decoded = transducer.decode_chunk(ids, ends)
+                firsts = [0, *ends[:-1].tolist()]
+                crc = [zlib.crc32(ids[lo:hi].tobytes()) for lo, hi in zip(firsts, ends.tolist(), strict=True)]
+                rows = batch.slice(texts.first, len(texts))
+                same = pc.equal(pc.fill_null(rows.column(0), ""), pa.array(decoded, rows.column(0).type))
+                columns = [pa.array(np.diff(ends, prepend=0)), pa.array(crc, pa.int64()), same]
+                names = ["_n", "_crc", "_same"]
                 if with_ids:
-                    ids_out.append(ids.astype(np.int32))
-                    text_out.append(decoded)
-            columns = [pa.array(n_ids, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
-            names = ["_n", "_crc", "_same"]
-            if with_ids:
-                columns += [pa.array(ids_out, pa.list_(pa.int32())), pa.array(text_out, pa.string())]
-                names += ["_ids", "_decoded"]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], *columns], [*batch.schema.names[1:], *names]
-            )
+                    offsets = pa.array([0, *ends.tolist()], pa.int32())
+                    lists = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
+                    columns += [lists, pa.array(decoded, pa.string())]
+                    names += ["_ids", "_decoded"]
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns[1:], *columns], [*batch.schema.names[1:], *names]
+                )
 
     return run
 
@@ -302,8 +456,10 @@ def code(
     """The id column as doc_id, n_ids, ids_crc32 (little-endian unsigned 32-bit ids) and
     round_trip (the decoded ids are the text), and with `with_ids` also ids and decoded.
 
-    Whole texts are coded; a null text counts as empty and has no ids. Repeated rows give equal
-    rows. The model file must be at the same place on every executor.
+    Whole texts of any length are coded; a null text counts as empty and has no ids. Repeated rows
+    give equal rows; an empty table gives none. Other columns are not read. With character rules in
+    the model, or single blanks, a decoded text is the normalised one. The model file must be at the
+    same place on every executor.
     """
     rows = docs.select(F.col(text_column).alias("_text"), F.col(id_column).alias("doc_id"))
     kind = rows.schema["doc_id"].dataType.simpleString()
