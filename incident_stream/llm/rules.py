@@ -3,7 +3,7 @@
 Statistics of every text are computed once. From labelled statistics, sequential covering grows
 one rule after the other: a conjunction of threshold conditions that rejects, grown by information
 gain on two thirds of the fitting rows, pruned on the last third, and kept only while it is precise
-there. Rows that a rule covers are taken out before the next is grown. The list is handed out as an
+on all rows that are left. Rows that a rule covers are taken out before the next is grown. The list is handed out as an
 ordered chain of Spark conditional expressions, readable as text.
 """
 
@@ -109,7 +109,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def statistics(docs: DataFrame, text_column: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """The columns of `carry` (default: all) as c0, c1, ... and COUNTS of every whole text."""
+    """The columns of `carry` (default: all) as c0, c1, ... and COUNTS of every whole text.
+
+    A null or empty text has no words, and all its counts are 0. Texts of any length are counted
+    whole. Repeated rows give equal rows, an empty table none. Columns that are called as a count
+    or as an added column do no harm, as those of `carry` come out under their numbers.
+    """
     carry = docs.columns if carry is None else carry
     rows = docs.select(
         F.col(text_column).alias("_text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]

@@ -94,6 +94,35 @@ def test_exact_after_failed_audits(spark, monkeypatch):
     assert sorted(rows_of(nn_descent.near_duplicates(df)), key=repr) == expected(rows)
 
 
+def test_a_table_without_links_is_audited_in_one_pass(spark, monkeypatch):
+    """Orthogonal vectors: only the probes have links. They are found, stand for no row and join
+    nothing, and no more than the fixed number of nodes is compared with all."""
+    passes, searches = [], []
+    audited, searched = nn_descent._audited, nn_descent._searched
+    monkeypatch.setattr(nn_descent, "_audited", lambda queries, threshold: passes.append(len(queries)) or audited(queries, threshold))
+    monkeypatch.setattr(nn_descent, "_searched", lambda *args: searches.append(searched(*args)) or searches[-1])
+    rows = [(n, np.eye(600)[n % 600].tolist(), n // 600) for n in range(1200)]
+    df = spark.createDataFrame(rows, VECTORS).repartition(3)
+    found = rows_of(nn_descent.near_duplicates(df))
+    assert sorted(found) == [(n, 0, n, True) for n in range(1200)]
+    assert passes == [nn_descent.AUDIT_NODES]
+    (_, _, (met, there)), = searches
+    assert there == nn_descent.PROBES and met >= nn_descent.MIN_RECALL * there
+
+
+def test_probes_lie_just_above_the_threshold(spark):
+    rows = [(n, np.random.default_rng(n).normal(size=8)) for n in range(20)]
+    rows = [(n, "8/0", bytearray((v / np.linalg.norm(v)).tobytes())) for n, v in rows] + [(20, "1/0", bytearray(np.ones(1).tobytes()))]
+    nodes = spark.createDataFrame(rows, "node bigint, grp string, full binary")
+    units = {n: np.frombuffer(bytes(v)) for n, _, v in rows}
+    found = nn_descent.probes_of(nodes, 0.93).collect()
+    assert sorted(r["node"] for r in found) == [-1 - n for n in range(19, -1, -1)]
+    for r in found:
+        turned = np.frombuffer(bytes(r["full"]))
+        assert 0.93 < turned @ units[-1 - r["node"]] <= 0.95 + 1e-9
+        assert abs(np.linalg.norm(turned) - 1) < 1e-9 and len(bytes(r["half"])) == 16
+
+
 def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{MIDDLE}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     assert sorted(rows_of(op4_nn_descent(spark, MIDDLE)), key=repr) == expected(rows)

@@ -95,6 +95,27 @@ def test_query(spark):
     assert right[0, False] >= 0.8 * (right[0, True] + right[0, False])
 
 
+def test_verdict_on_labels_that_were_not_fitted(spark):
+    """Fitted on the labels of even checksums, judged on the others."""
+    import zlib
+
+    from incident_stream.llm.common import table
+
+    sf = "/root/testdata/sf0.1"
+    stats = rules.statistics(table(spark, sf, "documents"), carry=["doc_id"]).withColumnRenamed("c0", "doc_id").cache()
+    labels = table(spark, sf, "labels")
+    fitted = rules.fit(stats, labels.where("crc32(string(doc_id)) % 2 = 0"), "doc_id")
+    assert fitted.rules
+    kept = {r[0]: r[1] for r in rows_of(stats.select("doc_id", ~rules.base_failed() & fitted.kept()))}
+    right = Counter()
+    for r in labels.where("quality is not null").collect():
+        if zlib.crc32(str(r["doc_id"]).encode()) % 2 and r["doc_id"] in kept:
+            right[r["quality"], kept[r["doc_id"]]] += 1
+    assert right[1, True] >= 0.95 * (right[1, True] + right[1, False])
+    assert right[0, False] >= 0.75 * (right[0, True] + right[0, False])
+    stats.unpersist()
+
+
 def test_sequential_covering_finds_the_conjunctions():
     rng = np.random.default_rng(1)
     x = {"words": rng.uniform(0, 100, 3000), "upper_share": rng.uniform(0, 1, 3000)}
