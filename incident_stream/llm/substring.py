@@ -187,8 +187,7 @@ def _candidates(width: int, shared):
     of the first."""
 
     def flush(held: list[tuple]) -> pa.RecordBatch:
-        one, two, doc, text, more, place = (np.concatenate([h[i] for h in held]) for i in range(6))
-        missing = np.concatenate([h[6] for h in held])
+        one, two, key, more, place = (np.concatenate([h[i] for h in held]) for i in range(5))
         order = np.lexsort((two, one))
         one, two = one[order], two[order]
         new = np.concatenate(([True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
@@ -200,12 +199,11 @@ def _candidates(width: int, shared):
                 pa.array(one[first].view(np.int64)),
                 pa.array(two[first].view(np.int64)),
                 pa.array(counts),
-                pa.array(doc[at], mask=missing[at]),
-                pa.array(text[at]),
+                pa.array(key[at]),
                 pa.array(more[at]),
                 pa.array(place[at]),
             ],
-            ["h1", "h2", "n", "k1", "k2", "k3", "place"],
+            ["h1", "h2", "n", "k1", "k2", "place"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,11 +211,8 @@ def _candidates(width: int, shared):
         held: list[tuple] = []
         n = 0
         for batch in batches:
-            ids = batch.column(0)
-            missing = np.asarray(ids.is_null())
-            ids = np.asarray(ids.fill_null(0))
-            one, two = np.asarray(batch.column(1)), np.asarray(batch.column(2))
-            for texts in tk.chunks(batch.column(3)):
+            key, more = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            for texts in tk.chunks(batch.column(2)):
                 found = Windows(texts, width)
                 starts = found.starts[sketch.repeated(found.anchors)]
                 hashes = found.hashes(starts)
@@ -225,7 +220,7 @@ def _candidates(width: int, shared):
                 first_word = np.searchsorted(found.spans.doc, np.arange(len(texts)))
                 place = (starts - first_word[row]).astype(np.int32)
                 row = row + texts.first
-                held.append((*hashes, ids[row], one[row], two[row], place, missing[row]))
+                held.append((*hashes, key[row], more[row], place))
                 n += len(starts)
                 if n >= FLUSH // 2:
                     yield flush(held)
@@ -296,40 +291,35 @@ def remove_repeated(
     starts anywhere else, in the same text too, is removed; windows are judged on the input. The
     words left are joined by single spaces. A null text has no words and stays null; a text of
     fewer words than a window is kept whole; repeated rows are copies of each other and lose all
-    their windows. Rows are told apart by id and 128 bits of hash of the
-    text, and need no unique id.
+    their windows. Rows are told apart by 96 bits of hash of id and text,
+    and need no unique id.
     """
     spark = docs.sparkSession
     carry = [c for c in docs.columns if c != text_column] if carry is None else carry
     sketch = build_sketch(docs, text_column, width)
     shared = spark.sparkContext.broadcast(sketch)
-    id_key = F.col(id_column).cast("bigint").alias("k1")
-    # 128 bits: rows of the same id, or of none, are told apart by them alone
-    text_keys = [F.xxhash64(text_column), F.xxhash64(F.lit("second"), text_column)]
-    keys = [id_key, *[key.alias(f"k{i}") for i, key in enumerate(text_keys, 2)]]
+    # 96 bits of two hash functions of id and text: rows of the same id, or of none, are told apart
+    row_keys = [F.xxhash64(id_column, text_column), F.hash(id_column, text_column)]
+    keys = [key.alias(f"k{i}") for i, key in enumerate(row_keys, 1)]
     likely = docs.select(*keys, F.col(text_column).alias("t")).mapInArrow(
-        _candidates(width, shared),
-        "h1 bigint, h2 bigint, n bigint, k1 bigint, k2 bigint, k3 bigint, place int",
+        _candidates(width, shared), "h1 bigint, h2 bigint, n bigint, k1 bigint, k2 int, place int"
     )
     exact = likely.groupBy("h1", "h2").agg(
         F.sum("n").alias("n"),
         F.min("k1").alias("k1"),
         F.min("k2").alias("k2"),
-        F.min("k3").alias("k3"),
         F.min("place").alias("place"),
     )
-    once = exact.where("n = 1").groupBy("k1", "k2", "k3").agg(F.collect_list("place").alias("_once"))
-    once = once.withColumnsRenamed({"k1": "_k1", "k2": "_k2", "k3": "_k3"})
+    once = exact.where("n = 1").groupBy("k1", "k2").agg(F.collect_list("place").alias("_once"))
+    once = once.withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
     rows = docs.select(
         F.col(text_column).alias("_text"),
         *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)],
-        *[key.alias(f"_i{i}") for i, key in enumerate([id_key, *text_keys], 1)],
+        *[key.alias(f"_i{i}") for i, key in enumerate(row_keys, 1)],
     )
     met = rows.join(
         once.hint("shuffle_hash"),
-        F.col("_i1").eqNullSafe(F.col("_k1"))
-        & (F.col("_i2") == F.col("_k2"))
-        & (F.col("_i3") == F.col("_k3")),
+        (F.col("_i1") == F.col("_k1")) & (F.col("_i2") == F.col("_k2")),
         "left",
     )
     carried = met.select("_text", "_once", *[f"_c{i}" for i in range(len(carry))])
