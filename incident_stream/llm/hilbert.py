@@ -285,37 +285,55 @@ def write_shards(
 ) -> Shards:
     """Write the rows, with all their columns, into a folder for each shard of `shard_by_curve`.
 
-    The shards are told by their first keys, which are as many as there are shards; a row finds its
-    shard by comparing its own key with them, so no row is joined. Each shard is written by several
-    tasks, one stretch of the order each. The added columns get underscores where a name is taken.
+    Every shard is cut on into stretches of equal bytes, so many that there is one for each shuffle
+    partition, and a task writes one stretch in the order of the curve. The stretches are told by
+    their first keys; a row finds its stretch by searching its own key among them, so no row is
+    joined. The added columns get underscores where a name is taken.
     """
     spark = docs.sparkSession
     groups = _held(docs, dimensions)
     meta = _meta(_curve(docs, groups, text_column, BITS), id_column, text_column)
+    each = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // shards))
+    cut = _cut(docs, meta, shards * each).withColumnRenamed("shard", "stretch")
     key = F.struct(*[F.col(name) for name in ORDER])
-    firsts = _cut(docs, meta, shards).groupBy("shard").agg(F.min(key).alias("first")).collect()
-    kind = "struct<" + ",".join(f"{name}:bigint" for name in ORDER) + ">"
-    begins = [F.struct(*[F.lit(v).cast("bigint") for v in r["first"]]).cast(kind) for r in firsts]
+    begins = sorted((r[0], *r[1]) for r in cut.groupBy("stretch").agg(F.min(key)).collect())
     names = {own: free_name(docs, f"curve_{own}") for own in ("shard", "size", "crc", "place")}
-    mine = {name: column.alias(f"_{name}_") for name, column in meta.items()}
-    rows = docs.select("*", *mine.values())
-    own_key = F.struct(*[F.col(f"_{name}_").alias(name) for name in ORDER]).cast(kind)
-    passed = [F.when(own_key >= begin, F.lit(r["shard"])) for r, begin in zip(firsts, begins, strict=True)]
-    shard = F.greatest(F.lit(0), F.lit(0), *passed) if passed else F.lit(0)
-    order = ["_shard_", *[f"_{name}_" for name in ORDER]]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sorted_rows = rows.withColumn("_shard_", shard).repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    out = sorted_rows.select(
+    rows = docs.select("*", *[column.alias(f"_{name}_") for name, column in meta.items()])
+    order = [f"_{name}_" for name in ORDER]
+    curve, crc, own_id, tie = (F.col(name) for name in order)
+    known, number = own_id.isNotNull().cast("bigint"), F.coalesce(own_id, F.lit(0))
+    parts_of_key = zip(("curve", "crc", "known", "id", "tie"), (curve, crc, known, number, tie), strict=True)
+    stretch = _searched(begins)(F.struct(*[column.alias(name) for name, column in parts_of_key]))
+    dealt = rows.withColumn("_stretch_", stretch).repartitionById(shards * each, F.col("_stretch_"))
+    out = dealt.sortWithinPartitions("_stretch_", *order).select(
         *docs.columns,
         F.col("_size_").alias(names["size"]),
         F.col("_text_crc32_").alias(names["crc"]),
         F.monotonically_increasing_id().alias(names["place"]),
-        F.col("_shard_").alias(names["shard"]),
+        F.floor(F.col("_stretch_") / each).cast("int").alias(names["shard"]),
     )
     out.write.partitionBy(names["shard"]).parquet(path)
     return Shards(path, names, tuple(groups))
 
 
+def _searched(begins: list[tuple]):
+    """The stretch of a key: that with the last first key that is not above it. A null id is below
+    all others."""
+    kind = np.dtype([("curve", "<i8"), ("crc", "<i8"), ("known", "<i8"), ("id", "<i8"), ("tie", "<i8")])
+    numbers = np.array([b[0] for b in begins], dtype=np.int32)
+    firsts = np.array(
+        [(curve, crc, doc is not None, doc or 0, tie) for _, curve, crc, doc, tie in begins], dtype=kind
+    )
+
+    def stretch(keyed: pd.DataFrame) -> pd.Series:
+        keys = np.empty(len(keyed), dtype=kind)
+        for name in kind.names:
+            keys[name] = keyed[name]
+        return pd.Series(numbers[np.maximum(np.searchsorted(firsts, keys, "right") - 1, 0)])
+
+    return F.pandas_udf(stretch, "int")
+
+
 def digest(shards: Shards, spark: SparkSession, id_column: str = "doc_id") -> DataFrame:
     """Id, size, checksum, shard and slot of every written row."""
     names = shards.names

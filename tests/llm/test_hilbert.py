@@ -137,5 +137,8 @@ def test_edges_of_written_shards(spark, tmp_path):
     assert tuple(bounds) == (len(texts), True, True)
     none = hilbert.write_shards(documents(spark, []), str(tmp_path / "b"))
     assert none.path == str(tmp_path / "b")
+    wide = [(None, "x"), *[((1 << 60) + i, "x" * 50) for i in range(90)]]
+    large = hilbert.write_shards(documents(spark, wide), str(tmp_path / "d"))
+    check(hilbert.digest(large, spark).collect(), wide)
     alone = hilbert.write_shards(documents(spark, [(None, None)]), str(tmp_path / "c"))
     assert [(r["doc_id"], r["size"], r["slot"]) for r in hilbert.digest(alone, spark).collect()] == [(None, 16, 0)]
