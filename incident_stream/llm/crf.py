@@ -27,7 +27,7 @@ from incident_stream.llm.common import hash_sample, written
 # until these are reached. A text that would take more than an eighth of them by itself gives a
 # sample of its stretches, from all over the text.
 MAX_FIT_DOCS = 1000
-MAX_FIT_BYTES = 4 << 20
+MAX_FIT_BYTES = 3 << 20
 STRETCH_BYTES = 16 << 10
 WORD_BITS, NEAR_BITS = 18, 14
 STEMS = (3, 4, 5, 6, 8)
@@ -99,6 +99,20 @@ def tokens_of(texts: tk.Texts) -> Tokens:
     return Tokens(at[spans.start], at[spans.end - 1] + 1, spans.doc, word, stems, features)
 
 
+def all_tokens(texts: list[str]) -> Tokens:
+    """The tokens of all texts, chunk by chunk, without their places."""
+    parts = []
+    for chunk in tk.chunks(pa.array(texts, pa.string())):
+        found = tokens_of(chunk)
+        none = np.empty(0, np.int64)
+        doc = (found.doc + chunk.first).astype(np.int32)
+        parts.append(Tokens(none, none, doc, found.word, found.stems, found.features))
+    doc, word = (np.concatenate([getattr(p, name) for p in parts]) for name in ("doc", "word"))
+    stems = [np.concatenate([p.stems.pop(0) for p in parts]) for _ in STEMS]
+    features = [np.concatenate([p.features.pop(0) for p in parts]) for _ in range(len(STEMS) + 4)]
+    return Tokens(none, none, doc, word, stems, features)
+
+
 class Chains:
     """Tokens of several texts laid out step by step, so that one pass moves all texts at once."""
 
@@ -213,50 +227,51 @@ def token_labels(tokens: Tokens, toxic: np.ndarray) -> np.ndarray:
 
 
 def train(tokens: Tokens, n_docs: int, truth: np.ndarray) -> Model:
-    """Maximum likelihood of the token labels, by Adam over all chains at once."""
+    """Maximum likelihood of the token labels, by Adam over all chains at once. The features are
+    taken from `tokens`, which is of no use afterwards."""
     sizes = [*[1 << WORD_BITS] * (1 + len(STEMS)), *[1 << NEAR_BITS] * 3]
-    tables = [np.zeros(s) for s in sizes]
     last = len(sizes)
-    model = Model(tables, -2.0, np.zeros(4))
+    used, slot = [], []
+    while tokens.features:
+        known, number = np.unique(tokens.features.pop(0), return_inverse=True)
+        used.append(known)
+        slot.append(number.astype(np.int32))
+    params = [np.zeros(len(u)) for u in used] + [np.array([-2.0]), np.zeros(4)]
+    first = [np.zeros_like(p) for p in params]
+    second = [np.zeros_like(p) for p in params]
     chains = Chains(tokens.doc, n_docs)
-    y = truth.astype(float)
     same = np.flatnonzero(tokens.doc[1:] == tokens.doc[:-1])
     a, b = truth[same], truth[same + 1]
     seen = np.array([(~a & ~b).sum(), (~a & b).sum(), (a & ~b).sum(), (a & b).sum()], float)
-    used = [np.unique(f) for f in tokens.features]
-    slot = [
-        np.searchsorted(u, f).astype(np.int32) for u, f in zip(used, tokens.features, strict=True)
-    ]
-    params = [np.zeros(len(u)) for u in used] + [np.array([-2.0]), np.zeros(4)]
-    first = [np.zeros_like(p) for p in params]
-    second = [np.zeros_like(p) for p in params]
     for step in range(1, STEPS + 1):
-        for table, u, p in zip(tables, used, params, strict=False):
-            table[u] = p
-        model.bias, model.move = float(params[last][0]), params[last + 1]
-        odds, move = model.odds(tokens), np.exp(model.move)
+        score = np.full(len(truth), float(params[last][0]))
+        for p, s in zip(params, slot, strict=False):
+            score += p[s]
+        odds = np.exp(np.clip(score, -30, 30))
+        move = np.exp(params[last + 1])
         forward, backward = chains.ratios(odds, move)
         both = forward * backward
-        error = y - both / (1 + both)
-        e = (odds * backward)[same + 1]
-        r = forward[same]
-        joint = np.stack([np.full(len(same), move[0]), move[1] * e, move[2] * r, move[3] * r * e])
-        expected = (joint / joint.sum(axis=0)).sum(axis=1)
+        error = truth - both / (1 + both)
+        e, r = (odds * backward)[same + 1], forward[same]
+        del score, odds, forward, backward, both
+        whole = move[0] + move[1] * e + move[2] * r + move[3] * r * e
+        expected = [(w / whole).sum() for w in (move[0], move[1] * e, move[2] * r, move[3] * r * e)]
+        del e, r, whole
         grads = [
             np.bincount(s, weights=error, minlength=len(u)) for s, u in zip(slot, used, strict=True)
         ]
-        grads += [np.array([error.sum()]), seen - expected]
+        grads += [np.array([error.sum()]), seen - np.array(expected)]
         for i, g in enumerate(grads):
             # words that are frequent get no larger step than rare ones, as the steps are scaled
-            g = g - DECAY * len(y) * 1e-3 * params[i]
+            g = g - DECAY * len(truth) * 1e-3 * params[i]
             first[i] = 0.9 * first[i] + 0.1 * g
             second[i] = 0.99 * second[i] + 0.01 * g * g
             scaled = first[i] / (1 - 0.9**step)
             params[i] = params[i] + RATE * scaled / (np.sqrt(second[i] / (1 - 0.99**step)) + 1e-8)
+    tables = [np.zeros(size, dtype=np.float32) for size in sizes]
     for table, u, p in zip(tables, used, params, strict=False):
         table[u] = p
-    model.bias, model.move = float(params[last][0]), params[last + 1]
-    return Model([t.astype(np.float32) for t in tables], model.bias, model.move)
+    return Model(tables, float(params[last][0]), params[last + 1])
 
 
 def in_fold(id_column: str = "doc_id"):
@@ -342,9 +357,12 @@ def fit(
     toxic = np.array([t[2] == 1 for t in taken], dtype=bool)
     if not toxic.any() or toxic.all():
         return None
-    (texts,) = tk.chunks(pa.array([t[1] for t in taken]), limit=1 << 60)
-    tokens = tokens_of(texts)
-    return train(tokens, len(taken), token_labels(tokens, toxic))
+    n_docs = len(taken)
+    tokens = all_tokens([t[1] for t in taken])
+    del taken
+    truth = token_labels(tokens, toxic)
+    tokens.stems.clear()
+    return train(tokens, n_docs, truth)
 
 
 def _spans(texts: tk.Texts, tokens: Tokens, p: np.ndarray) -> list[list[dict]]:
