@@ -37,11 +37,12 @@ def enrich(
     unique: bool = False,
     join_partitions: int | None = None,
     hot: Collection[str] | None = None,
+    size: int | None = None,
 ) -> DataFrame:
     """Left join on the normalised code; records without a match keep a null category.
 
-    A table of up to `broadcast_bytes`, which is measured first, is broadcast, so the records do
-    not move. A larger one is joined by shuffle and merge, which can spill, in `join_partitions`
+    A table of up to `broadcast_bytes`, which is measured first if its `size` is not known, is
+    broadcast, so the records do not move. A larger one is joined by shuffle and merge, which can spill, in `join_partitions`
     tasks (by default the shuffle partitions of the session when the join is made).
 
     In a batch, adaptive execution splits the tasks of a hot code, and nothing is copied. A stream
@@ -56,7 +57,7 @@ def enrich(
     """
     if unique and not duplicate_codes(codes).isEmpty():
         raise ValueError("a code stands more than once in the code table after normalising")
-    if table_bytes(codes) <= broadcast_bytes:
+    if (table_bytes(codes) if size is None else size) <= broadcast_bytes:
         return records.join(F.broadcast(codes), "IUCR", "left")
     conf = records.sparkSession.conf
     partitions = join_partitions or int(conf.get("spark.sql.shuffle.partitions"))

@@ -111,13 +111,14 @@ def run(
     follow the number of result keys: records are summed up per key before they are shuffled.
 
     The code table is copied below the checkpoints first and read from there: replacing its file has
-    no effect before the next start. One that can be broadcast is read once and kept.
+    no effect before the next start. It is read once and kept, in memory or on disk.
 
     Codes that stand more than once in the code table multiply the records that they match; they
     are reported as a warning, or, with `unique_codes`, refused.
     """
     prepare_session(spark)
-    codes = pin_codes(spark, codes_path, f"{checkpoint_root.rstrip('/')}/codes")
+    # kept in memory as far as it fits, so that the micro-batches do not read it again
+    codes = pin_codes(spark, codes_path, f"{checkpoint_root.rstrip('/')}/codes").persist()
     if not unique_codes:
         warn_of_duplicates(codes)
     lines = read_record_stream(spark, source)
@@ -178,8 +179,9 @@ def _joined(
 ) -> DataFrame:
     """The enriched stream. Where the code table is too large to be broadcast, the batches report
     their frequent codes; those of the last batches, from before this start, are the hot ones."""
-    if table_bytes(normalize_codes(codes)) <= BROADCAST_BYTES:
-        return enriched(lines, codes.persist(), unique=unique_codes)
+    size = table_bytes(normalize_codes(codes))
+    if size <= BROADCAST_BYTES:
+        return enriched(lines, codes, unique=unique_codes, size=size)
     recent = RecentCodes(spark, f"{checkpoint_root.rstrip('/')}/hot_codes")
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     metric = f"{METRIC} {uuid.uuid4().hex}"
@@ -191,5 +193,6 @@ def _joined(
         unique=unique_codes,
         join_partitions=partitions,
         hot=recent.hot(partitions),
+        size=size,
     )
     return fill_unknown(joined)

@@ -35,25 +35,39 @@ def digest(table: DataFrame) -> str:
 def pin_codes(spark: SparkSession, path: str, folder: str) -> DataFrame:
     """The code table as it is now, from a copy of its own in `folder`.
 
-    A job that reads the copy is not touched by what happens to the file. The copy is noted with a
-    digest of its rows: as long as the table is the same, later starts use the same copy. Copies of
-    earlier tables stay, since another job may still read them.
+    A job that reads the copy is not touched by what happens to the file. The copy is noted with the
+    lengths and times of the files it was made from and a digest of its rows: as long as one of the
+    two is the same, later starts use the same copy. Copies of earlier tables stay, since another
+    job may still read them.
     """
     place = Folder(spark, folder.rstrip("/"))
+    files = Folder(spark, path.rstrip("/")).signature()
+    known = _newest(place)[1]
+    if files and known.get("files") == files:
+        return _pinned(spark, place, known["copy"])
     copy = f"copy={uuid.uuid4().hex}"
-    table = read_codes(spark, path)
-    table.write.parquet(f"{place.path}/{copy}")
-    made = spark.read.schema(table.schema).parquet(f"{place.path}/{copy}")
+    read_codes(spark, path).write.parquet(f"{place.path}/{copy}")
+    made = _pinned(spark, place, copy)
     found = digest(made)
     while True:
-        numbers = [int(n[len("pinned_") : -len(".json")]) for n in place.names("pinned_*.json")]
-        newest = max(numbers, default=0)
-        known = place.read_json(f"pinned_{newest}.json") if newest else {}
-        if known.get("digest") == found:
-            place.delete(copy)
-            return spark.read.schema(table.schema).parquet(f"{place.path}/{known['copy']}")
+        newest, known = _newest(place)
+        same = known.get("digest") == found
+        entry = {"digest": found, "copy": known["copy"] if same else copy, "files": files}
         try:
-            place.write_json(f"pinned_{newest + 1}.json", {"digest": found, "copy": copy})
+            place.write_json(f"pinned_{newest + 1}.json", entry)
         except FileExistsError:
             continue  # another job has pinned one just now
-        return made
+        if same:
+            place.delete(copy)
+        return _pinned(spark, place, entry["copy"])
+
+
+def _newest(place: Folder) -> tuple[int, dict]:
+    numbers = [int(n[len("pinned_") : -len(".json")]) for n in place.names("pinned_*.json")]
+    newest = max(numbers, default=0)
+    return newest, place.read_json(f"pinned_{newest}.json") if newest else {}
+
+
+def _pinned(spark: SparkSession, place: Folder, copy: str) -> DataFrame:
+    schema = ", ".join(f"{name} string" for name in CODE_COLUMNS.values())
+    return spark.read.schema(schema).parquet(f"{place.path}/{copy}")

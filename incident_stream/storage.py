@@ -32,6 +32,12 @@ class Folder:
         found = [s.getPath().toString() for s in files.globStatus(place) or []]
         return sorted("/".join(f.split("/")[-depth:]) for f in found)
 
+    def signature(self) -> list[list]:
+        """Name, length and time of the files directly in the folder, or of the file itself."""
+        files, place = self._at("")
+        found = files.listStatus(place) if files.exists(place) else []
+        return sorted([s.getPath().getName(), s.getLen(), s.getModificationTime()] for s in found)
+
     def modified(self, name: str) -> float:
         """When the file was last written, in seconds of the clock of the store."""
         files, place = self._at(name)

@@ -112,7 +112,6 @@ def test_the_job_learns_its_hot_codes(spark, tmp_path, monkeypatch):
         with monkeypatch.context() as patch:
             patch.setattr(pipelines, "enrich", noted)
             patch.setattr(pipelines, "BROADCAST_BYTES", 0)
-            patch.setattr(joins, "BROADCAST_BYTES", 0)
             patch.setattr(joins.enrich, "__defaults__", (0, *joins.enrich.__defaults__[1:]))
             go(spark, tmp_path, salted, Params("A", 2), "salted_c")
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
