@@ -101,8 +101,10 @@ def _size(text_column: str) -> Column:
     return (F.octet_length(text) + ROW_BYTES).cast("bigint")
 
 
-def _curve(docs: DataFrame, groups: list[tuple[str, ...]], text_column: str, bits: int) -> Column:
-    """The place of a row on the curve of its dimensions and its size."""
+def _axes(
+    docs: DataFrame, groups: list[tuple[str, ...]], text_column: str, bits: int
+) -> tuple[dict[str, Column], list[Cells]]:
+    """What the dimensions rest on, the last of them the size, and the cells of each."""
     size = _size(text_column)
     inputs = [*[_category(group) for group in groups], _size_class(size)]
     axes = []
@@ -110,13 +112,24 @@ def _curve(docs: DataFrame, groups: list[tuple[str, ...]], text_column: str, bit
         weights = docs.groupBy(value.alias("value")).agg(F.sum(size).alias("weight"))
         top = weights.orderBy(F.desc("weight"), "value").limit(WEIGHED_VALUES)
         axes.append(Cells.of({r["value"]: float(r["weight"]) for r in top.collect()}, bits))
+    return {f"v{i}": value for i, value in enumerate(inputs)}, axes
+
+
+def _struct(columns: dict[str, Column]) -> Column:
+    return F.struct(*[column.alias(name) for name, column in columns.items()])
+
+
+def _places(axes: list[Cells], values: pd.DataFrame, bits: int) -> np.ndarray:
+    return curve_index([axis.place(values[f"v{i}"].to_numpy()) for i, axis in enumerate(axes)], bits)
+
+
+def _curve(inputs: dict[str, Column], axes: list[Cells], bits: int) -> Column:
+    """The place of a row on the curve."""
 
     def placed(values: pd.DataFrame) -> pd.Series:
-        cells = [axis.place(values[f"v{i}"].to_numpy()) for i, axis in enumerate(axes)]
-        return pd.Series(curve_index(cells, bits))
+        return pd.Series(_places(axes, values, bits))
 
-    names = [value.alias(f"v{i}") for i, value in enumerate(inputs)]
-    return F.pandas_udf(placed, "bigint")(F.struct(*names))
+    return F.pandas_udf(placed, "bigint")(_struct(inputs))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +211,7 @@ def shard_by_curve(
     stretch can leave a shard empty. An empty table gives no rows; nulls are values like any
     other. Only ids, sizes, checksums and places are shuffled, never texts.
     """
-    curve = _curve(docs, _held(docs, dimensions), text_column, BITS)
+    curve = _curve(*_axes(docs, _held(docs, dimensions), text_column, BITS), BITS)
     cut = _cut(docs, _meta(curve, id_column, text_column), shards)
     firsts = cut.groupBy("shard").agg(F.min("row").alias("first_row"))
     return cut.join(F.broadcast(firsts), "shard").select(
@@ -292,46 +305,54 @@ def write_shards(
     """
     spark = docs.sparkSession
     groups = _held(docs, dimensions)
-    meta = _meta(_curve(docs, groups, text_column, BITS), id_column, text_column)
+    inputs, axes = _axes(docs, groups, text_column, BITS)
+    meta = _meta(_curve(inputs, axes, BITS), id_column, text_column)
     each = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // shards))
     cut = _cut(docs, meta, shards * each).withColumnRenamed("shard", "stretch")
     key = F.struct(*[F.col(name) for name in ORDER])
     begins = sorted((r[0], *r[1]) for r in cut.groupBy("stretch").agg(F.min(key)).collect())
     names = {own: free_name(docs, f"curve_{own}") for own in ("shard", "size", "crc", "place")}
-    rows = docs.select("*", *[column.alias(f"_{name}_") for name, column in meta.items()])
-    order = [f"_{name}_" for name in ORDER]
-    curve, crc, own_id, tie = (F.col(name) for name in order)
-    known, number = own_id.isNotNull().cast("bigint"), F.coalesce(own_id, F.lit(0))
-    parts_of_key = zip(("curve", "crc", "known", "id", "tie"), (curve, crc, known, number, tie), strict=True)
-    stretch = _searched(begins)(F.struct(*[column.alias(name) for name, column in parts_of_key]))
-    dealt = rows.withColumn("_stretch_", stretch).repartitionById(shards * each, F.col("_stretch_"))
-    out = dealt.sortWithinPartitions("_stretch_", *order).select(
+    own = {name: F.col(f"_{name}_") for name in meta if name != "curve"}
+    rows = docs.select("*", *[column.alias(f"_{name}_") for name, column in meta.items() if name in own])
+    searched = {
+        **inputs,
+        "crc": own["text_crc32"],
+        "known": own["doc_id"].isNotNull().cast("bigint"),
+        "id": F.coalesce(own["doc_id"], F.lit(0)),
+        "tie": own["tie"],
+    }
+    found = rows.withColumn("_found_", _stretch(axes, BITS, begins)(_struct(searched)))
+    dealt = found.repartitionById(shards * each, F.col("_found_.stretch"))
+    order = [F.col("_found_.stretch"), F.col("_found_.curve"), *[F.col(f"_{name}_") for name in ORDER[1:]]]
+    out = dealt.sortWithinPartitions(*order).select(
         *docs.columns,
         F.col("_size_").alias(names["size"]),
         F.col("_text_crc32_").alias(names["crc"]),
         F.monotonically_increasing_id().alias(names["place"]),
-        F.floor(F.col("_stretch_") / each).cast("int").alias(names["shard"]),
+        F.floor(F.col("_found_.stretch") / each).cast("int").alias(names["shard"]),
     )
     out.write.partitionBy(names["shard"]).parquet(path)
     return Shards(path, names, tuple(groups))
 
 
-def _searched(begins: list[tuple]):
-    """The stretch of a key: that with the last first key that is not above it. A null id is below
-    all others."""
+def _stretch(axes: list[Cells], bits: int, begins: list[tuple]):
+    """The place of a row on the curve, and its stretch: that with the last first key that is not
+    above its own. A null id is below all others."""
     kind = np.dtype([("curve", "<i8"), ("crc", "<i8"), ("known", "<i8"), ("id", "<i8"), ("tie", "<i8")])
     numbers = np.array([b[0] for b in begins], dtype=np.int32)
     firsts = np.array(
         [(curve, crc, doc is not None, doc or 0, tie) for _, curve, crc, doc, tie in begins], dtype=kind
     )
 
-    def stretch(keyed: pd.DataFrame) -> pd.Series:
-        keys = np.empty(len(keyed), dtype=kind)
-        for name in kind.names:
-            keys[name] = keyed[name]
-        return pd.Series(numbers[np.maximum(np.searchsorted(firsts, keys, "right") - 1, 0)])
+    def stretch(values: pd.DataFrame) -> pd.DataFrame:
+        keys = np.empty(len(values), dtype=kind)
+        keys["curve"] = _places(axes, values, bits)
+        for name in kind.names[1:]:
+            keys[name] = values[name]
+        at = np.maximum(np.searchsorted(firsts, keys, "right") - 1, 0)
+        return pd.DataFrame({"curve": keys["curve"], "stretch": numbers[at]})
 
-    return F.pandas_udf(stretch, "int")
+    return F.pandas_udf(stretch, "curve bigint, stretch int")
 
 
 def digest(shards: Shards, spark: SparkSession, id_column: str = "doc_id") -> DataFrame:
