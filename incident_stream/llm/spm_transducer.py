@@ -375,11 +375,15 @@ class Transducer:
             open_ = np.flatnonzero(left >= 0) + lo
             keys = (last[start[open_]] * width + piece[open_]).tolist()
             meets = list(map(self.allowed.get, keys))
-            for i in [i for i, known in enumerate(meets) if known is None]:
-                known = self.allowed.get(keys[i])
-                meets[i] = self._meet(keys[i]) if known is None else known
-            taken = open_[np.array(meets, dtype=bool)]
+            taken = open_[[known is True for known in meets]]
             last[end[taken]] = piece[taken]
+            # what is not known yet is asked only where no arc has come in
+            ends = end[open_].tolist()
+            for i in [i for i, known in enumerate(meets) if known is None]:
+                if last[ends[i]] < 0:
+                    known = self.allowed.get(keys[i])
+                    if self._meet(keys[i]) if known is None else known:
+                        last[ends[i]] = piece[open_[i]]
         # from the ends back to the starts
         node, rows, pieces = first + lengths, np.arange(len(units)), []
         while len(rows):
