@@ -26,7 +26,6 @@ import heapq
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
 from operator import itemgetter
 
 import ahocorasick
@@ -147,18 +146,6 @@ class Transducer:
         for byte, i in self.bytes.items():
             self.text_of[i] = bytes([byte])
         self.text_of[self.unknown] = " ⁇ ".encode()
-        # pieces by numbers from 1, for composing many units at once; 0 is the start
-        self.piece_at = ["", *self.id_of]
-        self.id_at = np.array([0, *self.id_of.values()], dtype=np.int64)
-        self.length_of = np.array([len(p) for p in self.piece_at], dtype=np.int64)
-        self.letters = {p for p in self.id_of if len(p) == 1}
-        inside = set("".join(self.id_of))
-        self.apart = next(c for c in map(chr, range(0xE000, 0x110000)) if c not in inside)
-        self.numbered = ahocorasick.Automaton()
-        for number, piece in enumerate(self.piece_at[1:], 1):
-            self.numbered.add_word(piece, number)
-        if self.id_of:
-            self.numbered.make_automaton()
         self.rules = None
         if rules:
             self.rules = ahocorasick.Automaton()
@@ -181,7 +168,7 @@ class Transducer:
         self.lone = np.ones(0x110000, dtype=bool)
         self.lone[[ord(c) for c in set("".join(self.id_of))]] = False
         # what has been worked out, in two generations: the older one goes when the newer is full
-        self.allowed: dict[int, bool] = {}
+        self.allowed: dict[tuple[str, str], bool] = {}
         self.known: dict[bytes, bytes] = {}
         self.known_before: dict[bytes, bytes] = {}
         self.known_bytes = 0
@@ -307,8 +294,13 @@ class Transducer:
         return [p for p in parts if p is not None]
 
     def may_meet(self, left: str, right: str) -> bool:
-        """Weight of the transition: 0 if true, infinite if not. `left` is empty at the start."""
-        return self.merged(left + right) == ([left, right] if left else [right])
+        """Weight of the transition: 0 if true, infinite if not. `left` is empty at the start. Notes
+        what it finds in `allowed`."""
+        if len(self.allowed) >= CACHE_PAIRS:
+            self.allowed = {}
+        wanted = [left, right] if left else [right]
+        found = self.allowed[left, right] = self.merged(left + right) == wanted
+        return found
 
     # --- shortest path ----------------------------------------------------------------------------
 
@@ -319,12 +311,25 @@ class Transducer:
             return [symbols]
         weight = [0.0] + [INFINITE] * n
         last: list[str] = [""] * (n + 1)
-        merges = self.kind == MERGES
-        for end, (piece, size, arc) in self.arcs(symbols):
-            end += 1
-            total = weight[end - size] + arc
-            if total < weight[end] and (not merges or self.may_meet(last[end - size], piece)):
-                weight[end], last[end] = total, piece
+        if self.kind == MERGES:
+            allowed = self.allowed
+            for end, (piece, size, arc) in self.arcs(symbols):
+                end += 1
+                total = weight[end - size] + arc
+                if total < weight[end]:
+                    left = last[end - size]
+                    meets = allowed.get((left, piece))
+                    if meets is None:
+                        meets = self.may_meet(left, piece)
+                        allowed = self.allowed
+                    if meets:
+                        weight[end], last[end] = total, piece
+        else:
+            for end, (piece, size, arc) in self.arcs(symbols):
+                end += 1
+                total = weight[end - size] + arc
+                if total < weight[end]:
+                    weight[end], last[end] = total, piece
         path = []
         while n:
             path.append(last[n])
@@ -350,93 +355,23 @@ class Transducer:
 
     # --- whole texts --------------------------------------------------------------------------------
 
-    def shortest_paths(self, units: list[str]) -> list[bytes]:
-        """The ids of many units of a model of merges, all composed at once.
-
-        Each unit has nodes between its symbols; the arcs of all units that end after the same
-        number of symbols are followed together. As the merges leave one finite path, the arc that
-        may follow what is known at its start is the only one into its end.
-        """
-        lengths = np.array([len(u) for u in units], dtype=np.int64)
-        first = np.cumsum(lengths + 1) - lengths - 1
-        found = self.numbered.iter(self.apart.join(units))
-        arcs = np.fromiter(chain.from_iterable(found), dtype=np.int64).reshape(-1, 2)
-        end, piece = arcs[:, 0] + 1, arcs[:, 1]
-        start = end - self.length_of[piece]
-        step = end - first[np.searchsorted(first, end - 1, "right") - 1]
-        order = np.argsort(step, kind="stable")
-        end, piece, start = end[order], piece[order], start[order]
-        edges = np.searchsorted(step[order], np.arange(1, int(lengths.max(initial=0)) + 2))
-        last = np.full(int(lengths.sum()) + len(units), -1, dtype=np.int64)
-        last[first] = 0  # pieces have numbers from 1
-        width = len(self.length_of)
-        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-            left = last[start[lo:hi]]
-            open_ = np.flatnonzero(left >= 0) + lo
-            keys = (last[start[open_]] * width + piece[open_]).tolist()
-            meets = list(map(self.allowed.get, keys))
-            taken = open_[[known is True for known in meets]]
-            last[end[taken]] = piece[taken]
-            # what is not known yet is asked only where no arc has come in
-            ends = end[open_].tolist()
-            for i in [i for i, known in enumerate(meets) if known is None]:
-                if last[ends[i]] < 0:
-                    known = self.allowed.get(keys[i])
-                    if self._meet(keys[i]) if known is None else known:
-                        last[ends[i]] = piece[open_[i]]
-        # from the ends back to the starts
-        node, rows, pieces = first + lengths, np.arange(len(units)), []
-        while len(rows):
-            here = last[node]
-            pieces.append((rows, here))
-            node = node - self.length_of[here]
-            on = node > first[rows]
-            rows, node = rows[on], node[on]
-        row = np.concatenate([r for r, _ in pieces])
-        number = np.concatenate([p for _, p in pieces])
-        back = np.lexsort((-np.arange(len(row)), row))
-        raw = self.id_at[number[back]].astype("<u4").tobytes()
-        stops = (4 * np.cumsum(np.bincount(row, minlength=len(units)))).tolist()
-        return [raw[lo:hi] for lo, hi in zip([0, *stops[:-1]], stops, strict=True)]
-
-    def _meet(self, key: int) -> bool:
-        left, right = divmod(key, len(self.length_of))
-        if len(self.allowed) >= CACHE_PAIRS:
-            self.allowed.clear()
-        found = self.allowed[key] = self.may_meet(self.piece_at[left], self.piece_at[right])
+    def _unit(self, unit: bytes) -> bytes:
+        """The ids of a unit, which comes in UTF-32, from the older generation or worked out."""
+        found = self.known_before.get(unit)
+        if found is None:
+            ids = self.ids_of(self.shortest_path(unit.decode("utf-32-le")))
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        if len(unit) <= 4 * LONGEST_KEPT:
+            if self.known_bytes >= CACHE_BYTES:
+                self.known_before, self.known, self.known_bytes = self.known, {}, 0
+            self.known[unit] = found
+            self.known_bytes += len(unit) + len(found) + ENTRY_BYTES
         return found
 
-    def _composed(self, units: list[bytes]) -> list[bytes]:
-        """The ids of units, which come in UTF-32."""
-        texts = [unit.decode("utf-32-le") for unit in units]
-        together, out = [], [b""] * len(units)
-        for i, text in enumerate(texts):
-            if self.kind == MERGES and len(text) <= LONGEST_KEPT and self.letters.issuperset(text):
-                together.append(i)
-            else:
-                ids = self.ids_of(self.shortest_path(text))
-                out[i] = struct.pack(f"<{len(ids)}I", *ids)
-        if together:
-            for i, ids in zip(together, self.shortest_paths([texts[i] for i in together]), strict=True):
-                out[i] = ids
-        return out
-
     def _coded(self, units: list[bytes]) -> list[bytes]:
-        """The ids of units, remembered or composed."""
         coded = list(map(self.known.get, units))
-        missing = [i for i, found in enumerate(coded) if found is None]
-        for i in missing:
-            coded[i] = self.known_before.get(units[i])
-        new = [i for i in missing if coded[i] is None]
-        for i, ids in zip(new, self._composed([units[i] for i in new]), strict=True):
-            coded[i] = ids
-        for i in missing:
-            unit = units[i]
-            if len(unit) <= 4 * LONGEST_KEPT:
-                if self.known_bytes >= CACHE_BYTES:
-                    self.known_before, self.known, self.known_bytes = self.known, {}, 0
-                self.known[unit] = coded[i]
-                self.known_bytes += len(unit) + len(coded[i]) + ENTRY_BYTES
+        for i in [i for i, found in enumerate(coded) if found is None]:
+            coded[i] = self._unit(units[i])
         return coded
 
     def encode_chunk(self, texts: tk.Texts) -> tuple[np.ndarray, np.ndarray]:
